@@ -480,7 +480,7 @@ def statements() -> dict[str, str]:
         from ({counts('documents', ['text', 'lang', 'source'])})) where value_rank <= 5"""
     out["profile_cardinality"] = cp + cardinality("cp", TEXTS)
     customers_measures = measures("cp", "customers", COLUMNS, NUMBERS, TEXTS)
-    out["validate_table"] = cp + customers_measures
+    out["validate_table"] = cp + measures("cp", "customers", COLUMNS, NUMBERS, TEXTS, 6)
     out["validation_report"] = cp + f"""select 'customers' as dataset, * from ({missing('cp', COLUMNS, 6)})
         left join (select column_name, outlier_count::double as outlier_count, outlier_pct, lower_bound, upper_bound
                    from ({outliers('cp', NUMBERS)})) using (column_name)"""

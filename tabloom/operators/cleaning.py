@@ -19,6 +19,7 @@ from ..functions.quantiles import column_quantiles
 from .profiling import categorical_summary, iqr_bounds, per_column, value_counts
 
 FILL_WITHOUT_MODE = "Unknown"
+YES_NO = ("Yes", "No", "yes", "no")
 CAP_METHODS = ("iqr", "zscore", "cap")
 
 
@@ -50,7 +51,7 @@ def fit_only_values(df: DataFrame, columns: Sequence[str], allowed: Sequence[str
 
 def fit_yes_no(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
     """Text columns that hold only yes and no in either spelling."""
-    return fit_only_values(df, string_columns(df) if columns is None else columns, ["Yes", "No", "yes", "no"])
+    return fit_only_values(df, string_columns(df) if columns is None else columns, YES_NO)
 
 
 def standardize_yes_no(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,34 +67,43 @@ class Fill:
     modes: dict[str, str] = field(default_factory=dict)
 
 
-def fit_fill(df: DataFrame, columns: Sequence[str] | None = None) -> Fill:
+@dataclass
+class Facts:
+    """What one scan tells about a table: columns with missing values, and yes/no columns."""
+
+    incomplete: list[str]
+    yes_no: list[str]
+
+
+def scan_facts(df: DataFrame) -> Facts:
+    """Missing values and yes/no columns of a table, found in the same scan."""
+    clean = nan_to_null(df)
+    texts = set(string_columns(df))
+    allowed = ", ".join(f"'{v}'" for v in YES_NO)
+    wanted = [f"count_if({quoted(c)} IS NULL)" for c in df.columns]
+    wanted += [f"coalesce(bool_and({quoted(c)} IN ({allowed})), true)" for c in df.columns if c in texts]
+    row = clean.agg(*[F.expr(e).alias(f"m{i}") for i, e in enumerate(wanted)]).first()
+    incomplete = [c for c, n in zip(df.columns, row) if n]
+    only_allowed = dict(zip([c for c in df.columns if c in texts], row[len(df.columns) :]))
+    return Facts(incomplete, [c for c, only in only_allowed.items() if only and c not in incomplete])
+
+
+def fit_fill(df: DataFrame, columns: Sequence[str] | None = None, facts: Facts | None = None) -> Fill:
     """Medians of numeric and modes of text columns that have missing values.
 
     Equally frequent texts give the smallest; a column without values gives
     'Unknown'. Text frequencies are grouped and shuffled per value, never kept
     in one task.
     """
-    chosen = [c for c in df.columns if columns is None or c in columns]
-    numbers = [c for c in numeric_columns(df) if c in chosen]
-    texts = [c for c in string_columns(df) if c in chosen]
-    if not numbers + texts:
-        return Fill()
-    clean = nan_to_null(df.select(*[col(c) for c in numbers + texts]))
-    row = clean.agg(
-        *[F.expr(f"count_if({quoted(c)} IS NULL) AS c{i}") for i, c in enumerate(numbers + texts)]
-    ).first()
-    incomplete = [c for i, c in enumerate(numbers + texts) if row[f"c{i}"]]
-    medians = column_quantiles(clean, [c for c in numbers if c in incomplete], [0.5])
-    missing_texts = [c for c in texts if c in incomplete]
-    found = {}
-    if missing_texts:
-        found = {
-            r.column_name: r.most_frequent
-            for r in categorical_summary(value_counts(clean, missing_texts)).collect()
-        }
-    return Fill(
-        {c: m for c, (m,) in medians.items()}, {c: found.get(c, FILL_WITHOUT_MODE) for c in missing_texts}
-    )
+    chosen = df.select(*[col(c) for c in df.columns if columns is None or c in columns])
+    facts = facts or scan_facts(chosen)
+    clean = nan_to_null(chosen)
+    numbers = [c for c in numeric_columns(chosen) if c in facts.incomplete]
+    texts = [c for c in string_columns(chosen) if c in facts.incomplete]
+    medians = column_quantiles(clean, numbers, [0.5])
+    modes = categorical_summary(value_counts(clean, texts)).collect() if texts else []
+    found = {r.column_name: r.most_frequent for r in modes}
+    return Fill({c: m for c, (m,) in medians.items()}, {c: found.get(c, FILL_WITHOUT_MODE) for c in texts})
 
 
 def fill_missing(df: DataFrame, fill: Fill) -> DataFrame:

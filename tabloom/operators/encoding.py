@@ -131,14 +131,15 @@ class Encoding:
 def fit_encoding(df: DataFrame, keys: Iterable[str] = ()) -> Encoding:
     """Yes/No columns, columns with many values, and the categories of the rest.
 
-    Key columns identify rows and are never encoded.
+    Key columns identify rows and are never encoded. A complete column with no
+    category but Yes and No is a binary one.
     """
     texts = string_columns(df, keys)
-    binary = fit_only_values(df, texts, ["Yes", "No"])
+    categories = fit_categories(df, texts)
+    binary = fit_only_values(df, [c for c in texts if set(categories.get(c, "-")) <= {"Yes", "No"}], ["Yes", "No"])
     rest = [c for c in texts if c not in binary]
-    one_hot = fit_categories(df, rest)
-    labels = {c: label_dictionary(df, c) for c in rest if c not in one_hot}
-    return Encoding(binary, labels, {c: one_hot[c] for c in rest if c in one_hot})
+    labels = {c: label_dictionary(df, c) for c in rest if c not in categories}
+    return Encoding(binary, labels, {c: categories[c] for c in rest if c in categories})
 
 
 def encode(df: DataFrame, encoding: Encoding) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, literal, nan_to_null, numeric_columns
 from ..sources.snapshots import latest
 from ..sources.workspace import path_exists
-from .profiling import per_column
+from .profiling import LONG_TEXT, per_column
 
 KEYS = ["name", "version"]
 REGISTRY_SCHEMA = (
@@ -20,6 +20,12 @@ REGISTRY_SCHEMA = (
 )
 
 
+def _short_text(value: Column) -> Column:
+    """A text to count distinct values by; a long one is replaced by its SHA-256."""
+    text = value.cast("string")
+    return F.when(F.octet_length(text) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
+
+
 def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Type, missing and distinct values of each column, and moments of numeric ones, per group.
 
@@ -52,10 +58,8 @@ def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, by: S
             )
     table = moments[0] if len(moments) == 1 else moments[0].unionByName(moments[1])
 
-    # numbers are compared as numbers, not as text: 0.0 and -0.0 are one value
-    texts = clean.select(
-        *by, *[(col(c) + 0 if c in numeric else col(c)).cast("string").alias(c) for c in columns]
-    )
+    # adding 0 makes -0.0 the same text as 0.0
+    texts = clean.select(*by, *[_short_text(col(c) + 0 if c in numeric else col(c)).alias(c) for c in columns])
     values = texts.unpivot([F.col(b) for b in by], [col(c) for c in columns], "column_name", "value")
     distinct = (
         values.groupBy(*by, "column_name", "value")

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import (
     NUMBER_PATTERN,
@@ -28,6 +29,7 @@ TOP_VALUES = 5
 IQR_FACTOR = 1.5
 HIGH_CARDINALITY_SHARE = 0.5
 LOW_CARDINALITY = 10
+LONG_TEXT = 128  # bytes
 
 
 def per_column(
@@ -137,10 +139,21 @@ def mixed_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return per_name.where(F.size("found") > 1).select("column_name", F.inline("found"))
 
 
+def identity(df: DataFrame, name: str) -> Column:
+    """A value to compare rows by: the column itself, or the SHA-256 of a long text.
+
+    Keeps whole documents out of the shuffle where only equality matters.
+    """
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return col(name)
+    is_long = F.octet_length(col(name)) > LONG_TEXT
+    return F.struct(is_long, F.when(is_long, F.sha2(col(name), 256)).otherwise(col(name)))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows; missing equals missing."""
     return (
-        df.groupBy(*[col(c) for c in df.columns])
+        df.groupBy(*[identity(df, c).alias(f"k{i}") for i, c in enumerate(df.columns)])
         .agg(F.count("*").alias("_copies"))
         .agg(
             F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
@@ -207,16 +220,18 @@ def zero_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return _share_of_values(df, columns, "= 0", "zero")
 
 
+def iqr_limits(q1: float | None, q3: float | None) -> tuple:
+    """Values outside Q1 - 1.5 IQR .. Q3 + 1.5 IQR are outliers."""
+    if q1 is None or q3 is None:
+        return None, None
+    reach = IQR_FACTOR * (q3 - q1)
+    return q1 - reach, q3 + reach
+
+
 def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
     """(Q1, Q3, lower bound, upper bound) per column."""
-    out = {}
-    for name, (q1, q3) in column_quantiles(df, columns, [0.25, 0.75]).items():
-        if q1 is None:
-            out[name] = (None, None, None, None)
-        else:
-            reach = IQR_FACTOR * (q3 - q1)
-            out[name] = (q1, q3, q1 - reach, q3 + reach)
-    return out
+    quartiles = column_quantiles(df, columns, [0.25, 0.75])
+    return {c: (q1, q3, *iqr_limits(q1, q3)) for c, (q1, q3) in quartiles.items()}
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

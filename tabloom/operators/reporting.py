@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col, nan_to_null, numeric_columns, quoted
+from ..functions.quantiles import column_quantiles
 from . import profiling
 
 OUTLIER_SHARE_PCT = 5
@@ -14,24 +16,6 @@ WIDE_TABLE = 100
 MEASURE_SCHEMA = "dataset string, check string, column_name string, metric string, value double"
 
 
-def _tidy(df: DataFrame, dataset: str, check: str, metrics: Mapping[str, str], column=None) -> DataFrame:
-    """One row per metric; ``metrics`` maps the name in the report to a column."""
-    cells = ", ".join(
-        f"named_struct('metric', '{name}', 'value', CAST({source} AS double))" for name, source in metrics.items()
-    )
-    name = F.col("column_name") if column is None else F.lit(column).cast("string")
-    return df.select(
-        F.lit(dataset).alias("dataset"),
-        F.lit(check).alias("check"),
-        name.alias("column_name"),
-        F.expr(f"inline(array({cells}))"),
-    )
-
-
-def same_names(*names: str) -> dict[str, str]:
-    return {name: name for name in names}
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
@@ -39,59 +23,112 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _scan_measures(df: DataFrame) -> tuple[dict, dict[str, dict]]:
+    """Measures that need no fitted value, for the table and per column, from one scan."""
+    numbers = set(numeric_columns(df))
+    any_missing = " OR ".join(f"{quoted(c)} IS NULL" for c in df.columns)
+    wanted = {(None, "row_count"): "count(*)", (None, "rows_with_missing"): f"count_if({any_missing})"}
+    for c in df.columns:
+        name = quoted(c)
+        wanted[c, "missing_count"] = f"count_if({name} IS NULL)"
+        wanted[c, "is_constant"] = f"coalesce(min({name}) = max({name}), false)"
+        if c in numbers:
+            wanted[c, "min_value"] = f"CAST(min({name}) AS double)"
+            wanted[c, "max_value"] = f"CAST(max({name}) AS double)"
+            wanted[c, "mean_value"] = f"CAST(avg({name}) AS double)"
+            wanted[c, "std_value"] = f"stddev_samp({name})"
+            wanted[c, "negative_count"] = f"count_if({name} < 0)"
+            wanted[c, "zero_count"] = f"count_if({name} = 0)"
+    row = df.agg(*[F.expr(e).alias(f"m{i}") for i, e in enumerate(wanted.values())]).first()
+    whole, columns = {}, {c: {} for c in df.columns}
+    for (column, metric), value in zip(wanted, row):
+        (whole if column is None else columns[column])[metric] = value
+    return whole, columns
+
+
+def _outlier_counts(df: DataFrame, bounds: Mapping[str, tuple]) -> dict[str, int]:
+    known = {c: ends for c, ends in bounds.items() if ends[0] is not None}
+    if not known:
+        return {}
+    row = df.agg(
+        *[F.count_if((col(c) < F.lit(lo)) | (col(c) > F.lit(hi))).alias(f"m{i}") for i, (c, (lo, hi)) in
+          enumerate(known.items())]
+    ).first()
+    return dict(zip(known, row))
+
+
+def _percent(part, whole):
+    return None if not whole else part * 100.0 / whole
+
+
 def validate(df: DataFrame, dataset: str) -> DataFrame:
-    """Every check of the table as (dataset, check, column_name, metric, value)."""
-    counts = profiling.value_counts(df)
-    row_count = df.count()
-    frames = [
-        _tidy(profiling.shape(df, dataset), dataset, "shape", same_names("row_count", "column_count"), ""),
-        _tidy(profiling.missing_values(df), dataset, "missing", same_names("missing_count", "missing_pct")),
-        _tidy(
-            profiling.rows_with_missing(df),
-            dataset,
-            "missing",
-            same_names("rows_with_missing", "missing_rows_pct"),
-            "",
-        ),
-        _tidy(
-            profiling.duplicate_rows(df),
-            dataset,
-            "duplicates",
-            same_names("duplicate_rows", "distinct_rows", "duplicate_pct"),
-            "",
-        ),
-        _tidy(profiling.constant_columns(df), dataset, "duplicates", {"constant": "1"}),
-        _tidy(
-            profiling.categorical_summary(counts),
-            dataset,
-            "categories",
-            same_names("distinct_count", "most_frequent_count", "least_frequent_count"),
-        ),
-        _tidy(
-            profiling.cardinality_classes(counts, row_count).where("cardinality = 'high'"),
-            dataset,
+    """Every check of the table as (dataset, check, column_name, metric, value).
+
+    One scan gives all counts and moments, the quartile search follows, one
+    scan counts outliers, and two groupings count values and equal rows. What
+    comes back to the driver is a few numbers per column.
+    """
+    clean = nan_to_null(df)
+    whole, columns = _scan_measures(clean)
+    rows = whole["row_count"]
+    numbers = numeric_columns(df)
+    quartiles = column_quantiles(clean, numbers, [0.25, 0.5, 0.75]) if numbers else {}
+    bounds = {c: profiling.iqr_limits(q1, q3) for c, (q1, _, q3) in quartiles.items()}
+    outliers = _outlier_counts(clean, bounds)
+    copies = profiling.duplicate_rows(df).first()
+    texts = profiling.categorical_summary(profiling.value_counts(clean)).collect()
+
+    out = []
+
+    def add(check: str, column: str, **metrics):
+        out.extend((dataset, check, column, m, None if v is None else float(v)) for m, v in metrics.items())
+
+    add("shape", "", row_count=rows, column_count=len(df.columns))
+    add(
+        "missing",
+        "",
+        rows_with_missing=whole["rows_with_missing"],
+        missing_rows_pct=_percent(whole["rows_with_missing"], rows),
+    )
+    add(
+        "duplicates",
+        "",
+        duplicate_rows=copies.duplicate_rows,
+        distinct_rows=copies.distinct_rows,
+        duplicate_pct=copies.duplicate_pct,
+    )
+    for c, found in columns.items():
+        add(
+            "missing", c, missing_count=found["missing_count"], missing_pct=_percent(found["missing_count"], rows)
+        )
+        if found["is_constant"]:
+            add("duplicates", c, constant=1)
+    for row in texts:
+        add(
             "categories",
-            {"high_cardinality": "1"},
-        ),
-    ]
-    if profiling.numeric_columns(df):
-        frames += [
-            _tidy(
-                profiling.numeric_ranges(df),
-                dataset,
-                "ranges",
-                same_names("min_value", "max_value", "mean_value", "std_value", "median_value"),
-            ),
-            _tidy(profiling.negative_values(df), dataset, "ranges", same_names("negative_count", "negative_pct")),
-            _tidy(profiling.zero_values(df), dataset, "ranges", same_names("zero_count", "zero_pct")),
-            _tidy(
-                profiling.iqr_outliers(df),
-                dataset,
-                "outliers",
-                same_names("outlier_count", "outlier_pct", "lower_bound", "upper_bound"),
-            ),
-        ]
-    return _union(frames)
+            row.column_name,
+            distinct_count=row.distinct_count,
+            most_frequent_count=row.most_frequent_count,
+            least_frequent_count=row.least_frequent_count,
+        )
+        if row.distinct_count > rows * profiling.HIGH_CARDINALITY_SHARE:
+            add("categories", row.column_name, high_cardinality=1)
+    for c in numbers:
+        found, present = columns[c], rows - columns[c]["missing_count"]
+        add("ranges", c, **{m: found[m] for m in ("min_value", "max_value", "mean_value", "std_value")})
+        add("ranges", c, median_value=quartiles[c][1])
+        for name in ("negative", "zero"):
+            count = found[f"{name}_count"]
+            add("ranges", c, **{f"{name}_count": count, f"{name}_pct": _percent(count, present)})
+        add(
+            "outliers",
+            c,
+            outlier_count=outliers.get(c, 0),
+            outlier_pct=_percent(outliers.get(c, 0), present),
+            lower_bound=bounds[c][0],
+            upper_bound=bounds[c][1],
+        )
+    return df.sparkSession.createDataFrame(out, MEASURE_SCHEMA)
 
 
 # Rule, the metric that triggers it, the limit it has to exceed, and the advice.

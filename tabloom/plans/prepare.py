@@ -49,9 +49,10 @@ def prepare(
     """
     base = typed(df if fit_on is None else fit_on)
     learned = Preparation()
-    learned.yes_no = cleaning.fit_yes_no(base)
+    facts = cleaning.scan_facts(base)
+    learned.yes_no = facts.yes_no
     base = cleaning.standardize_yes_no(base, learned.yes_no)
-    learned.fill = cleaning.fit_fill(base)
+    learned.fill = cleaning.fit_fill(base, facts=facts)
     distinct = materialized(cleaning.drop_duplicates(cleaning.fill_missing(base, learned.fill)), "distinct")
     learned.caps = cleaning.fit_caps(distinct, method=method)
     learned.encoding = encoding.fit_encoding(distinct, keys)

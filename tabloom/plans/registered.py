@@ -274,7 +274,7 @@ def profile_cardinality(spark, sf_dir):
 
 @query
 def validate_table(spark, sf_dir):
-    return rounded(measure({"customers": customers(spark, sf_dir)}), 4)
+    return rounded(measure({"customers": customers(spark, sf_dir)}))
 
 
 @query

@@ -7,20 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.reporting import combined_summary, find_issues, validate
-from ..sources.workspace import materialized
 
 
 def measure(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The checks of every table in one report.
-
-    The report has a few rows per column. It is written once, because several
-    summaries are made from it.
-    """
+    """The checks of every table in one report: a few rows per column."""
     report = None
     for name, df in tables.items():
         part = validate(df, name)
         report = part if report is None else report.unionByName(part)
-    return materialized(report.repartition(1), "measures")
+    return report
 
 
 def validate_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
