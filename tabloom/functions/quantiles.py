@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .columns import col, without_nan
 
-DIRECT_ROWS = 200_000  # up to here one exact percentile aggregate is the faster way
+DIRECT_ROWS = 100_000  # up to here one exact percentile aggregate is the faster way
 GATHER_ROWS = 50_000  # an interval this small is sorted inside the aggregate
 ACCURACY = 10_000  # sketch size; its rank error is 1 / ACCURACY of the interval
 GRID = 500  # sketch points kept when the rank inside the interval is not known yet
@@ -35,6 +35,7 @@ class _Search:
     high: float | None = None
     size: int | None = None
     pivots: tuple[float, float] | None = None
+    share: float = 1.0  # of the interval, expected between the pivots
     value: float | None = None
 
     def between(self, low, high) -> str:
@@ -66,6 +67,7 @@ def _grid_points() -> str:
 def _set_pivots(search: _Search, grid: Sequence[float]) -> None:
     at = search.rank / max(search.size - 1, 1) * GRID
     search.pivots = (grid[max(math.floor(at) - 1, 0)], grid[min(math.ceil(at) + 1, GRID)])
+    search.share = 4 / GRID
 
 
 def _advance(values: DataFrame, searches: list[_Search]) -> None:
@@ -92,7 +94,10 @@ def _advance(values: DataFrame, searches: list[_Search]) -> None:
                 ask(f"count_if({middle})"),
                 ask(f"count_if({s.series} = {_number(b)})"),
             ]
-            replies.append(("probe", counts, ask(_sketch(middle, s.series, _grid_points()))))
+            # a sketch of the middle saves a scan later, unless the middle is about to be small
+            large = s.size is None or s.size * s.share > GATHER_ROWS / 2
+            grid = ask(_sketch(middle, s.series, _grid_points())) if large else None
+            replies.append(("probe", counts, grid))
 
     row = values.agg(*[F.expr(e).alias(name) for e, name in wanted.items()]).first()
     for s, (kind, first, grid) in zip(searches, replies):
@@ -112,7 +117,8 @@ def _advance(values: DataFrame, searches: list[_Search]) -> None:
                 s.value = a
             elif s.rank < below + on_a + middle:
                 s.narrow(a, b, below + on_a, middle)
-                _set_pivots(s, row[grid])
+                if grid is not None:
+                    _set_pivots(s, row[grid])
             elif s.rank < below + on_a + middle + on_b:
                 s.value = b
             else:
@@ -131,17 +137,22 @@ def _series_frame(df: DataFrame, series: Mapping[str, Column]) -> tuple[DataFram
 
 
 def quantiles(
-    df: DataFrame, series: Mapping[str, Column], probs: Sequence[float], direct_rows: int = DIRECT_ROWS
+    df: DataFrame,
+    series: Mapping[str, Column],
+    probs: Sequence[float],
+    rows: int | None = None,
+    direct_rows: int = DIRECT_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each series, missing values left out.
 
     A series is any numeric expression, so per-group quantiles are the same
-    call with one conditional series per group.
+    call with one conditional series per group. ``rows`` is the size of the
+    table where the caller knows it.
     """
     if not series:
         return {}
     values, names = _series_frame(df, series)
-    if df.count() <= direct_rows:
+    if (df.count() if rows is None else rows) <= direct_rows:
         points = ", ".join(f"{p!r}D" for p in map(float, probs))
         row = values.agg(*[F.expr(f"percentile({s}, array({points})) AS {s}") for s in names.values()]).first()
         return {name: list(row[s]) if row[s] is not None else [None] * len(probs) for name, s in names.items()}
@@ -165,7 +176,7 @@ def quantiles(
             low, high = math.floor(position), math.ceil(position)
             for rank in (low, high):
                 pivots = (row[f"q_{s}"][2 * i], row[f"q_{s}"][2 * i + 1])
-                searches.setdefault((s, rank), _Search(s, rank, size=n, pivots=pivots))
+                searches.setdefault((s, rank), _Search(s, rank, size=n, pivots=pivots, share=2 * slack))
             parts[name].append((low, high, position - low))
     _finish(values, list(searches.values()))
 
@@ -184,9 +195,20 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     return quantiles(df, {c: col(c) for c in columns}, probs, **options)
 
 
-def ranked_values(df: DataFrame, series: Mapping[str, Column], ranks: Mapping[str, int]) -> dict[str, float]:
-    """The value at a 0-based ascending rank of each series."""
+def ranked_values(
+    df: DataFrame,
+    series: Mapping[str, Column],
+    ranks: Mapping[str, int],
+    guesses: Mapping[str, tuple[int, float, float]] | None = None,
+) -> dict[str, float]:
+    """The value at a 0-based ascending rank of each series.
+
+    A guess (size of the series, low, high) about where the value lies saves
+    the first scan. It need not be right: it is checked like any other pivots.
+    """
     values, names = _series_frame(df, {name: series[name] for name in ranks})
     searches = {name: _Search(names[name], rank) for name, rank in ranks.items()}
+    for name, (size, low, high) in (guesses or {}).items():
+        searches[name].size, searches[name].pivots, searches[name].share = size, (low, high), 0.0
     _finish(values, list(searches.values()))
     return {name: s.value for name, s in searches.items()}

@@ -69,8 +69,9 @@ class Fill:
 
 @dataclass
 class Facts:
-    """What one scan tells about a table: columns with missing values, and yes/no columns."""
+    """What one scan tells about a table: its size, columns with missing values, yes/no columns."""
 
+    rows: int
     incomplete: list[str]
     yes_no: list[str]
 
@@ -82,10 +83,10 @@ def scan_facts(df: DataFrame) -> Facts:
     allowed = ", ".join(f"'{v}'" for v in YES_NO)
     wanted = [f"count_if({quoted(c)} IS NULL)" for c in df.columns]
     wanted += [f"coalesce(bool_and({quoted(c)} IN ({allowed})), true)" for c in df.columns if c in texts]
-    row = clean.agg(*[F.expr(e).alias(f"m{i}") for i, e in enumerate(wanted)]).first()
-    incomplete = [c for c, n in zip(df.columns, row) if n]
-    only_allowed = dict(zip([c for c in df.columns if c in texts], row[len(df.columns) :]))
-    return Facts(incomplete, [c for c, only in only_allowed.items() if only and c not in incomplete])
+    rows, *found = clean.agg(F.count("*"), *[F.expr(e).alias(f"m{i}") for i, e in enumerate(wanted)]).first()
+    incomplete = [c for c, n in zip(df.columns, found) if n]
+    only_allowed = dict(zip([c for c in df.columns if c in texts], found[len(df.columns) :]))
+    return Facts(rows, incomplete, [c for c, only in only_allowed.items() if only and c not in incomplete])
 
 
 def fit_fill(df: DataFrame, columns: Sequence[str] | None = None, facts: Facts | None = None) -> Fill:
@@ -100,7 +101,7 @@ def fit_fill(df: DataFrame, columns: Sequence[str] | None = None, facts: Facts |
     clean = nan_to_null(chosen)
     numbers = [c for c in numeric_columns(chosen) if c in facts.incomplete]
     texts = [c for c in string_columns(chosen) if c in facts.incomplete]
-    medians = column_quantiles(clean, numbers, [0.5])
+    medians = column_quantiles(clean, numbers, [0.5], rows=facts.rows)
     modes = categorical_summary(value_counts(clean, texts)).collect() if texts else []
     found = {r.column_name: r.most_frequent for r in modes}
     return Fill({c: m for c, (m,) in medians.items()}, {c: found.get(c, FILL_WITHOUT_MODE) for c in texts})
@@ -119,7 +120,9 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def fit_caps(df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr") -> dict[str, tuple]:
+def fit_caps(
+    df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr", rows: int | None = None
+) -> dict[str, tuple]:
     """Lower and upper limit per numeric column.
 
     iqr: Q1 - 1.5 IQR and Q3 + 1.5 IQR; zscore: mean -/+ 3 standard
@@ -130,9 +133,9 @@ def fit_caps(df: DataFrame, columns: Sequence[str] | None = None, method: str =
     columns = numeric_columns(df) if columns is None else list(columns)
     clean = nan_to_null(df.select(*[col(c) for c in columns]))
     if method == "iqr":
-        return {c: (low, high) for c, (_, _, low, high) in iqr_bounds(clean, columns).items()}
+        return {c: (low, high) for c, (_, _, low, high) in iqr_bounds(clean, columns, rows).items()}
     if method == "cap":
-        return {c: tuple(ends) for c, ends in column_quantiles(clean, columns, [0.01, 0.99]).items()}
+        return {c: tuple(ends) for c, ends in column_quantiles(clean, columns, [0.01, 0.99], rows=rows).items()}
     if not columns:
         return {}
     row = clean.agg(

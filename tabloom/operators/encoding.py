@@ -8,9 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, quoted, string_columns
+from ..functions.columns import col, literal, quoted, string_columns
 from ..functions.ordering import with_running_totals
-from .cleaning import fit_only_values
 from .profiling import value_counts
 
 MAX_ONE_HOT = 50  # more distinct values than this get codes instead of flags
@@ -23,31 +22,42 @@ SALTS = 1_000
 
 def encode_binary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Yes as 1 and No as 0."""
-    codes = {c: F.when(col(c) == "Yes", 1).when(col(c) == "No", 0) for c in columns}
+    codes = {c: F.expr(f"CASE {quoted(c)} WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END") for c in columns}
     return df.withColumns(codes) if codes else df
 
 
-def _few_valued(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Columns that may have few distinct values; unique texts are left out without a shuffle."""
-    if not columns:
-        return []
-    row = df.agg(
-        *[F.expr(f"approx_count_distinct({quoted(c)}) AS c{i}") for i, c in enumerate(columns)]
+@dataclass
+class TextFacts:
+    """What two small jobs tell about text columns: table size, columns with gaps, categories."""
+
+    rows: int
+    incomplete: list[str]
+    categories: dict[str, list[str]]
+
+
+def scan_texts(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_HOT) -> TextFacts:
+    """Sorted distinct values of the columns that have at most ``limit``.
+
+    An approximate count, which needs no shuffle, sets aside the columns that
+    surely have more; only the values of the others are grouped and collected.
+    """
+    rows, *found = df.agg(
+        F.count("*"),
+        *[F.expr(f"count_if({quoted(c)} IS NULL) AS n{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"hll_sketch_estimate(hll_sketch_agg({quoted(c)})) AS d{i}") for i, c in enumerate(columns)],
     ).first()
-    return [c for i, c in enumerate(columns) if row[f"c{i}"] <= SURELY_MORE]
+    incomplete = [c for c, n in zip(columns, found) if n]
+    few = [c for c, n in zip(columns, found[len(columns) :]) if (n or 0) <= SURELY_MORE]
+    values = {c: [] for c in few}
+    if few:
+        for row in value_counts(df, few).select("column_name", "value").collect():
+            values[row.column_name].append(row.value)
+    return TextFacts(rows, incomplete, {c: sorted(v) for c, v in values.items() if len(v) <= limit})
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_HOT) -> dict[str, list[str]]:
     """Sorted distinct values of the columns that have at most ``limit``."""
-    few = _few_valued(df, columns)
-    if not few:
-        return {}
-    values = value_counts(df, few).select("column_name", "value")
-    sizes = {r.column_name: r["count"] for r in values.groupBy("column_name").count().collect()}
-    found = {c: [] for c in few if sizes.get(c, 0) <= limit}
-    for row in values.where(F.col("column_name").isin(list(found))).collect():
-        found[row.column_name].append(row.value)
-    return {c: sorted(v) for c, v in found.items()}
+    return scan_texts(df, columns, limit).categories
 
 
 def route_cardinality(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_ONE_HOT) -> DataFrame:
@@ -112,7 +122,7 @@ def encode_one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> Da
     Flags follow the other columns, in column and category order.
     """
     flags = [
-        F.coalesce((col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+        F.expr(f"CAST(coalesce({quoted(c)} = {literal(v)}, false) AS int) AS {quoted(f'{c}_{v}')}")
         for c, values in categories.items()
         for v in sorted(values)[1:]
     ]
@@ -128,18 +138,19 @@ class Encoding:
     one_hot: dict[str, list[str]] = field(default_factory=dict)
 
 
-def fit_encoding(df: DataFrame, keys: Iterable[str] = ()) -> Encoding:
+def fit_encoding(df: DataFrame, keys: Iterable[str] = (), facts: TextFacts | None = None) -> Encoding:
     """Yes/No columns, columns with many values, and the categories of the rest.
 
     Key columns identify rows and are never encoded. A complete column with no
     category but Yes and No is a binary one.
     """
     texts = string_columns(df, keys)
-    categories = fit_categories(df, texts)
-    binary = fit_only_values(df, [c for c in texts if set(categories.get(c, "-")) <= {"Yes", "No"}], ["Yes", "No"])
+    facts = facts or scan_texts(df, texts)
+    found = facts.categories
+    binary = [c for c in texts if c in found and c not in facts.incomplete and set(found[c]) <= {"Yes", "No"}]
     rest = [c for c in texts if c not in binary]
-    labels = {c: label_dictionary(df, c) for c in rest if c not in categories}
-    return Encoding(binary, labels, {c: categories[c] for c in rest if c in categories})
+    labels = {c: label_dictionary(df, c) for c in rest if c not in found}
+    return Encoding(binary, labels, {c: found[c] for c in rest if c in found})
 
 
 def encode(df: DataFrame, encoding: Encoding) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col, literal, nan_to_null, numeric_columns
 from ..sources.snapshots import latest
@@ -20,10 +21,32 @@ REGISTRY_SCHEMA = (
 )
 
 
-def _short_text(value: Column) -> Column:
-    """A text to count distinct values by; a long one is replaced by its SHA-256."""
-    text = value.cast("string")
-    return F.when(F.octet_length(text) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
+def _comparable(df: DataFrame, name: str) -> tuple[str, Column]:
+    """(kind, value) to count distinct values by; long texts are replaced by their SHA-256."""
+    data_type = df.schema[name].dataType
+    if isinstance(data_type, T.IntegralType):
+        return "bigint", col(name).cast("bigint")
+    if isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType):
+        return "double", col(name).cast("double")
+    text = col(name).cast("string")
+    short = F.when(F.octet_length(text) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
+    return "text", short
+
+
+def _unique_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Distinct values per column and group, one grouping per kind of value."""
+    kinds: dict[str, dict[str, Column]] = {}
+    for c in columns:
+        kind, value = _comparable(df, c)
+        kinds.setdefault(kind, {})[c] = value
+    out = None
+    for values in kinds.values():
+        long = df.select(*by, *[v.alias(c) for c, v in values.items()]).unpivot(
+            [F.col(b) for b in by], [col(c) for c in values], "column_name", "value"
+        )
+        part = long.distinct().groupBy(*by, "column_name").agg(F.count("value").alias("unique_count"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -58,15 +81,7 @@ def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, by: S
             )
     table = moments[0] if len(moments) == 1 else moments[0].unionByName(moments[1])
 
-    # adding 0 makes -0.0 the same text as 0.0
-    texts = clean.select(*by, *[_short_text(col(c) + 0 if c in numeric else col(c)).alias(c) for c in columns])
-    values = texts.unpivot([F.col(b) for b in by], [col(c) for c in columns], "column_name", "value")
-    distinct = (
-        values.groupBy(*by, "column_name", "value")
-        .agg(F.lit(1).alias("_one"))
-        .groupBy(*by, "column_name")
-        .agg(F.count("value").alias("unique_count"))
-    )
+    distinct = _unique_counts(clean, columns, by)
     kind = "CASE column_name " + " ".join(f"WHEN {literal(c)} THEN '{k}'" for c, k in kinds.items()) + " END"
     out = table.withColumn("data_type", F.expr(kind)).join(distinct, [*by, "column_name"])
     return out.select(

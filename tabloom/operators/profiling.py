@@ -30,12 +30,13 @@ IQR_FACTOR = 1.5
 HIGH_CARDINALITY_SHARE = 0.5
 LOW_CARDINALITY = 10
 LONG_TEXT = 128  # bytes
+AGGREGATE_FIELDS, FIELDS_PER_MEASURE = 100, 2.5
 
 
 def per_column(
     df: DataFrame, columns: Sequence[str], measures: Mapping[str, tuple[str, str]], by: Sequence[str] = ()
 ) -> DataFrame:
-    """One aggregate over the frame, as a row per column (and group).
+    """Aggregates of columns as a row per column (and group).
 
     A measure maps its name to (aggregate, type); ``{c}`` in the aggregate
     stands for the column.
@@ -43,19 +44,33 @@ def per_column(
     if not columns:
         fields = [f"{b} {df.schema[b].dataType.simpleString()}" for b in by] + ["column_name string"]
         return df.sparkSession.createDataFrame([], ", ".join(fields + [f"{m} {t}" for m, (_, t) in measures.items()]))
-    aggregates = [
-        F.expr(f"CAST({template.format(c=quoted(c))} AS {kind}) AS m{i}_{name}")
-        for i, c in enumerate(columns)
-        for name, (template, kind) in measures.items()
-    ]
-    wide = df.groupBy(*by).agg(*aggregates)
-    rows = ", ".join(
-        "named_struct('column_name', {}, {})".format(
-            literal(c), ", ".join(f"'{name}', m{i}_{name}" for name in measures)
+    out = None
+    for group in _groups(columns, len(measures)):
+        aggregates = [
+            F.expr(f"CAST({template.format(c=quoted(c))} AS {kind}) AS m{i}_{name}")
+            for i, c in enumerate(group)
+            for name, (template, kind) in measures.items()
+        ]
+        wide = df.groupBy(*by).agg(*aggregates)
+        rows = ", ".join(
+            "named_struct('column_name', {}, {})".format(
+                literal(c), ", ".join(f"'{name}', m{i}_{name}" for name in measures)
+            )
+            for i, c in enumerate(group)
         )
-        for i, c in enumerate(columns)
-    )
-    return wide.select(*by, F.expr(f"inline(array({rows}))"))
+        part = wide.select(*by, F.expr(f"inline(array({rows}))"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _groups(columns: Sequence[str], measures: int) -> list[Sequence[str]]:
+    """Columns in groups whose aggregates fit one generated function.
+
+    Past a hundred buffer fields Spark gives up whole-stage code. Each group
+    scans its own columns only, so all groups together read the table once.
+    """
+    width = max(int(AGGREGATE_FIELDS / (FIELDS_PER_MEASURE * measures)), 1)
+    return [columns[i : i + width] for i in range(0, len(columns), width)]
 
 
 def shape(df: DataFrame, dataset: str) -> DataFrame:
@@ -228,9 +243,9 @@ def iqr_limits(q1: float | None, q3: float | None) -> tuple:
     return q1 - reach, q3 + reach
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+def iqr_bounds(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> dict[str, tuple]:
     """(Q1, Q3, lower bound, upper bound) per column."""
-    quartiles = column_quantiles(df, columns, [0.25, 0.75])
+    quartiles = column_quantiles(df, columns, [0.25, 0.75], rows=rows)
     return {c: (q1, q3, *iqr_limits(q1, q3)) for c, (q1, q3) in quartiles.items()}
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, nan_to_null, numeric_columns, quoted
@@ -23,27 +24,32 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _scan_measures(df: DataFrame) -> tuple[dict, dict[str, dict]]:
-    """Measures that need no fitted value, for the table and per column, from one scan."""
-    numbers = set(numeric_columns(df))
+def _scan_missing(df: DataFrame) -> tuple[int, int, dict[str, int]]:
+    """Rows, rows with a missing value, and missing values per column, from one scan."""
     any_missing = " OR ".join(f"{quoted(c)} IS NULL" for c in df.columns)
-    wanted = {(None, "row_count"): "count(*)", (None, "rows_with_missing"): f"count_if({any_missing})"}
-    for c in df.columns:
-        name = quoted(c)
-        wanted[c, "missing_count"] = f"count_if({name} IS NULL)"
-        wanted[c, "is_constant"] = f"coalesce(min({name}) = max({name}), false)"
-        if c in numbers:
-            wanted[c, "min_value"] = f"CAST(min({name}) AS double)"
-            wanted[c, "max_value"] = f"CAST(max({name}) AS double)"
-            wanted[c, "mean_value"] = f"CAST(avg({name}) AS double)"
-            wanted[c, "std_value"] = f"stddev_samp({name})"
-            wanted[c, "negative_count"] = f"count_if({name} < 0)"
-            wanted[c, "zero_count"] = f"count_if({name} = 0)"
-    row = df.agg(*[F.expr(e).alias(f"m{i}") for i, e in enumerate(wanted.values())]).first()
-    whole, columns = {}, {c: {} for c in df.columns}
-    for (column, metric), value in zip(wanted, row):
-        (whole if column is None else columns[column])[metric] = value
-    return whole, columns
+    rows, incomplete, *missing = df.agg(
+        F.count("*"),
+        F.expr(f"count_if({any_missing})"),
+        *[F.expr(f"count_if({quoted(c)} IS NULL) AS m{i}") for i, c in enumerate(df.columns)],
+    ).first()
+    return rows, incomplete, dict(zip(df.columns, missing))
+
+
+def _scan_values(df: DataFrame) -> tuple[list[str], dict[str, Row]]:
+    """Columns with one value, and the moments of numeric columns."""
+    numbers, others = numeric_columns(df), [c for c in df.columns if c not in numeric_columns(df)]
+    same = {"is_constant": ("min({c}) = max({c})", "boolean")}
+    moments = {
+        "min_value": ("min({c})", "double"),
+        "max_value": ("max({c})", "double"),
+        "mean_value": ("avg({c})", "double"),
+        "std_value": ("stddev_samp({c})", "double"),
+        "negative_count": ("count_if({c} < 0)", "bigint"),
+        "zero_count": ("count_if({c} = 0)", "bigint"),
+    }
+    ends = profiling.per_column(df, others, same).collect()
+    found = {r.column_name: r for r in profiling.per_column(df, numbers, same | moments).collect()}
+    return [r.column_name for r in [*ends, *found.values()] if r.is_constant], found
 
 
 def _outlier_counts(df: DataFrame, bounds: Mapping[str, tuple]) -> dict[str, int]:
@@ -64,19 +70,22 @@ def _percent(part, whole):
 def validate(df: DataFrame, dataset: str) -> DataFrame:
     """Every check of the table as (dataset, check, column_name, metric, value).
 
-    One scan gives all counts and moments, the quartile search follows, one
-    scan counts outliers, and two groupings count values and equal rows. What
-    comes back to the driver is a few numbers per column.
+    Missing values come from one scan, ranges from a second, then follow the
+    quartile search and a scan that counts outliers. Two groupings count values
+    and equal rows. Independent jobs run beside each other. What comes back to
+    the driver is a few numbers per column.
     """
     clean = nan_to_null(df)
-    whole, columns = _scan_measures(clean)
-    rows = whole["row_count"]
     numbers = numeric_columns(df)
-    quartiles = column_quantiles(clean, numbers, [0.25, 0.5, 0.75]) if numbers else {}
-    bounds = {c: profiling.iqr_limits(q1, q3) for c, (q1, _, q3) in quartiles.items()}
-    outliers = _outlier_counts(clean, bounds)
-    copies = profiling.duplicate_rows(df).first()
-    texts = profiling.categorical_summary(profiling.value_counts(clean)).collect()
+    with ThreadPoolExecutor(3) as beside:
+        finding_copies = beside.submit(profiling.duplicate_rows(df).first)
+        counting = beside.submit(profiling.categorical_summary(profiling.value_counts(clean)).collect)
+        measuring = beside.submit(_scan_values, clean)
+        rows, incomplete_rows, missing = _scan_missing(clean)
+        quartiles = column_quantiles(clean, numbers, [0.25, 0.5, 0.75], rows=rows)
+        bounds = {c: profiling.iqr_limits(q1, q3) for c, (q1, _, q3) in quartiles.items()}
+        outliers = _outlier_counts(clean, bounds)
+        copies, texts, (constants, moments) = finding_copies.result(), counting.result(), measuring.result()
 
     out = []
 
@@ -84,12 +93,7 @@ def validate(df: DataFrame, dataset: str) -> DataFrame:
         out.extend((dataset, check, column, m, None if v is None else float(v)) for m, v in metrics.items())
 
     add("shape", "", row_count=rows, column_count=len(df.columns))
-    add(
-        "missing",
-        "",
-        rows_with_missing=whole["rows_with_missing"],
-        missing_rows_pct=_percent(whole["rows_with_missing"], rows),
-    )
+    add("missing", "", rows_with_missing=incomplete_rows, missing_rows_pct=_percent(incomplete_rows, rows))
     add(
         "duplicates",
         "",
@@ -97,12 +101,10 @@ def validate(df: DataFrame, dataset: str) -> DataFrame:
         distinct_rows=copies.distinct_rows,
         duplicate_pct=copies.duplicate_pct,
     )
-    for c, found in columns.items():
-        add(
-            "missing", c, missing_count=found["missing_count"], missing_pct=_percent(found["missing_count"], rows)
-        )
-        if found["is_constant"]:
-            add("duplicates", c, constant=1)
+    for c, count in missing.items():
+        add("missing", c, missing_count=count, missing_pct=_percent(count, rows))
+    for c in constants:
+        add("duplicates", c, constant=1)
     for row in texts:
         add(
             "categories",
@@ -114,7 +116,7 @@ def validate(df: DataFrame, dataset: str) -> DataFrame:
         if row.distinct_count > rows * profiling.HIGH_CARDINALITY_SHARE:
             add("categories", row.column_name, high_cardinality=1)
     for c in numbers:
-        found, present = columns[c], rows - columns[c]["missing_count"]
+        found, present = moments[c], rows - missing[c]
         add("ranges", c, **{m: found[m] for m in ("min_value", "max_value", "mean_value", "std_value")})
         add("ranges", c, median_value=quartiles[c][1])
         for name in ("negative", "zero"):

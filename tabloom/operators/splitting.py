@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,9 +42,16 @@ def stratified_split(
     """
     sizes = {r.c: r.n for r in df.groupBy(col(label).alias("c")).agg(F.count("*").alias("n")).collect()}
     hashed = row_number_hash(key, seed)
+    numbers = df.select(col(label).alias("c"), hashed.alias("h"))
     ranks = {c: int(n * test_share + 0.5) - 1 for c, n in sizes.items() if int(n * test_share + 0.5)}
-    series = {c: F.when(col(label).eqNullSafe(F.lit(c)), hashed) for c in ranks}
-    limits = ranked_values(df, series, ranks) if ranks else {}
+    series = {c: F.when(F.col("c").eqNullSafe(F.lit(c)), F.col("h")) for c in ranks}
+    # hashes are spread evenly, so the limit lies close to its share of their range
+    reach = {c: 6 * math.sqrt(test_share * (1 - test_share) / sizes[c]) for c in ranks}
+    guesses = {
+        c: (sizes[c], max(test_share - r, 0.0) * HASH_RANGE, min(test_share + r, 1.0) * HASH_RANGE)
+        for c, r in reach.items()
+    }
+    limits = ranked_values(numbers, series, ranks, guesses) if ranks else {}
     is_test = F.lit(False)
     for c, limit in limits.items():
         is_test = is_test | (col(label).eqNullSafe(F.lit(c)) & (hashed <= F.lit(int(limit))))

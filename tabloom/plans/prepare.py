@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from ..functions.columns import col
+from ..functions.columns import col, string_columns
 from ..operators import cleaning, encoding
 from ..sources.workspace import materialized
 
@@ -54,8 +54,9 @@ def prepare(
     base = cleaning.standardize_yes_no(base, learned.yes_no)
     learned.fill = cleaning.fit_fill(base, facts=facts)
     distinct = materialized(cleaning.drop_duplicates(cleaning.fill_missing(base, learned.fill)), "distinct")
-    learned.caps = cleaning.fit_caps(distinct, method=method)
-    learned.encoding = encoding.fit_encoding(distinct, keys)
+    texts = encoding.scan_texts(distinct, string_columns(distinct, keys))
+    learned.caps = cleaning.fit_caps(distinct, method=method, rows=texts.rows)
+    learned.encoding = encoding.fit_encoding(distinct, keys, texts)
     if fit_on is not None:
         distinct = cleaning.drop_duplicates(filled(df, learned))
     return finished(distinct, learned, keys), learned
