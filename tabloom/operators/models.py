@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
@@ -91,9 +93,17 @@ def train(name: str, matrix: Matrix, rows: DataFrame, rounds: int = 100) -> Pipe
     return Pipeline(stages=[*_assembled(matrix.features, name), estimator]).fit(rows)
 
 
-def train_all(matrix: Matrix, rows: DataFrame, rounds: int = 100) -> dict[str, PipelineModel]:
-    """Every classifier, one after the other; each training run uses the whole cluster."""
-    return {name: train(name, matrix, rows, rounds) for name in estimators(matrix.label, 1)}
+def _side_by_side(jobs: Mapping, parallelism: int) -> dict:
+    """Results of independent training jobs; the cluster shares its slots among them."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
+def train_all(matrix: Matrix, rows: DataFrame, rounds: int = 100, parallelism: int = 4) -> dict[str, PipelineModel]:
+    """Every classifier fitted on the same rows."""
+    names = list(estimators(matrix.label, 1))
+    return _side_by_side({n: partial(train, n, matrix, rows, rounds) for n in names}, parallelism)
 
 
 def score(model: PipelineModel, rows: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -121,11 +131,13 @@ def evaluate(models: Mapping[str, PipelineModel], rows: DataFrame, label: str) -
     )
 
 
-def cross_validate(name: str, matrix: Matrix, folded: DataFrame, folds: int = 5, rounds: int = 100) -> DataFrame:
+def cross_validate(
+    name: str, matrix: Matrix, folded: DataFrame, folds: int = 5, rounds: int = 100, parallelism: int = 5
+) -> DataFrame:
     """F1 per fold, each measured on rows the model was not trained on."""
+    jobs = {f: partial(train, name, matrix, folded.where(F.col("fold") != f), rounds) for f in range(folds)}
     parts = None
-    for fold in range(folds):
-        model = train(name, matrix, folded.where(F.col("fold") != fold), rounds)
+    for fold, model in _side_by_side(jobs, parallelism).items():
         part = score(model, folded.where(F.col("fold") == fold), matrix.label).withColumn("fold", F.lit(fold))
         parts = part if parts is None else parts.unionByName(part)
     return metrics(confusion(parts, "label", "prediction", by=["fold"])).select(
@@ -189,7 +201,7 @@ def tune_logistic(matrix: Matrix, folded: DataFrame, penalties: Sequence[float],
         numFolds=folds,
         foldCol="fold",
         seed=SEED,
-        parallelism=2,
+        parallelism=4,
     )
     means = search.fit(prepared.select("features", matrix.label, "fold")).avgMetrics
     rows = [(float(p), float(m)) for p, m in zip(penalties, means)]

@@ -829,28 +829,43 @@ def train_linear_svc(spark, sf_dir):
     return _train_one(spark, sf_dir, "linear_svc")
 
 
-@query
-def cv_scores(spark, sf_dir):
-    matrix = _matrix(spark, sf_dir)
-    return models.cross_validate("logistic_regression", matrix, matrix.frame)
+_TRAINED: dict[tuple, str] = {}
 
 
-@query
-def feature_importance(spark, sf_dir):
+def _training(spark, sf_dir):
+    """All classifiers, trained and saved by the first query that needs them in this application."""
+    slot = (spark.sparkContext.applicationId, sf_dir)
     matrix = _matrix(spark, sf_dir)
-    model = models.train("random_forest", matrix, training_plan.rows_of(matrix, "train"))
-    return models.feature_importance(model, matrix.features, matrix.frame)
+    if slot not in _TRAINED or not path_exists(spark, _TRAINED[slot]):
+        root = new_path(spark, "training")
+        training_plan.save(training_plan.train_and_compare(matrix), root)
+        _TRAINED[slot] = root
+    return training_plan.load(matrix, _TRAINED[slot])
 
 
 @query
 def train_and_evaluate(spark, sf_dir):
-    training = training_plan.train_and_compare(_matrix(spark, sf_dir), rounds=20)
+    training = _training(spark, sf_dir)
     return training.results.withColumn("is_best", F.col("model") == training.best)
 
 
 @query
 def model_report(spark, sf_dir):
-    return training_plan.report(training_plan.train_and_compare(_matrix(spark, sf_dir), rounds=20))
+    return training_plan.report(_training(spark, sf_dir))
+
+
+@query
+def feature_importance(spark, sf_dir):
+    training = _training(spark, sf_dir)
+    return models.feature_importance(
+        training.models["random_forest"], training.matrix.features, training.matrix.frame
+    )
+
+
+@query
+def cv_scores(spark, sf_dir):
+    matrix = _matrix(spark, sf_dir)
+    return models.cross_validate("logistic_regression", matrix, matrix.frame)
 
 
 @query

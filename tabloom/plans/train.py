@@ -44,6 +44,19 @@ def train_and_compare(matrix: models.Matrix, rounds: int = 100) -> Training:
     return Training(matrix, fitted, results, best_model(results).first().best_model)
 
 
+def save(training: Training, root: str) -> None:
+    """Models and results, to be taken up again with :func:`load`."""
+    models.save_models(training.models, f"{root}/models")
+    training.results.write.mode("overwrite").parquet(f"{root}/results")
+
+
+def load(matrix: models.Matrix, root: str) -> Training:
+    results = matrix.frame.sparkSession.read.parquet(f"{root}/results")
+    names = [r.model for r in results.select("model").collect()]
+    fitted = {name: models.load_model(f"{root}/models/{name}") for name in names}
+    return Training(matrix, fitted, results, best_model(results).first().best_model)
+
+
 def cross_validate_best(training: Training, rounds: int = 100) -> DataFrame:
     """Scores per fold of the best classifier."""
     return models.cross_validate(training.best, training.matrix, training.matrix.frame, rounds=rounds)
