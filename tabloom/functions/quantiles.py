@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from .columns import col, without_nan
 
 DIRECT_ROWS = 100_000  # up to here one exact percentile aggregate is the faster way
-GATHER_ROWS = 50_000  # an interval this small is sorted inside the aggregate
+GATHER_ROWS = 20_000  # an interval this small is sorted inside the aggregate
+SERIES_PER_SCAN = 16  # more series are handled in turns, each reading its own columns only
 ACCURACY = 10_000  # sketch size; its rank error is 1 / ACCURACY of the interval
 GRID = 500  # sketch points kept when the rank inside the interval is not known yet
 
@@ -38,6 +39,10 @@ class _Search:
     share: float = 1.0  # of the interval, expected between the pivots
     value: float | None = None
 
+    @property
+    def is_small(self) -> bool:
+        return self.size is not None and self.size <= GATHER_ROWS
+
     def between(self, low, high) -> str:
         tests = [f"{self.series} IS NOT NULL"]
         if low is not None:
@@ -77,11 +82,19 @@ def _advance(values: DataFrame, searches: list[_Search]) -> None:
     def ask(expression: str) -> str:
         return wanted.setdefault(expression, f"m{len(wanted)}")
 
+    gathered: dict[tuple, list[int]] = {}
+    for s in searches:
+        if s.is_small:
+            gathered.setdefault((s.series, s.low, s.high), []).append(s.rank)
+
     replies = []
     for s in searches:
-        if s.size is not None and s.size <= GATHER_ROWS:
+        if s.is_small:
+            # ranks in the same interval, such as two neighbours, share its list
+            ranks = gathered[s.series, s.low, s.high]
+            first, length = min(ranks), max(ranks) - min(ranks) + 1
             listed = f"sort_array(collect_list(CASE WHEN {s.between(s.low, s.high)} THEN {s.series} END))"
-            replies.append(("gather", ask(f"element_at({listed}, {s.rank + 1})"), None))
+            replies.append(("gather", ask(f"slice({listed}, {first + 1}, {length})"), s.rank - first))
         elif s.pivots is None:
             test = s.between(s.low, s.high)
             replies.append(("sketch", ask(f"count_if({test})"), ask(_sketch(test, s.series, _grid_points()))))
@@ -100,9 +113,9 @@ def _advance(values: DataFrame, searches: list[_Search]) -> None:
             replies.append(("probe", counts, grid))
 
     row = values.agg(*[F.expr(e).alias(name) for e, name in wanted.items()]).first()
-    for s, (kind, first, grid) in zip(searches, replies):
+    for s, (kind, first, grid) in zip(searches, replies):  # for a list, grid is the place in it
         if kind == "gather":
-            s.value = row[first]
+            s.value = row[first][grid]
         elif kind == "sketch":
             s.size = row[first]
             _set_pivots(s, row[grid])
@@ -151,8 +164,17 @@ def quantiles(
     """
     if not series:
         return {}
+    rows = df.count() if rows is None else rows
+    if len(series) > SERIES_PER_SCAN:
+        names = list(series)
+        found = {}
+        for i in range(0, len(names), SERIES_PER_SCAN):
+            part = {name: series[name] for name in names[i : i + SERIES_PER_SCAN]}
+            found |= quantiles(df, part, probs, rows, direct_rows)
+        return found
+
     values, names = _series_frame(df, series)
-    if (df.count() if rows is None else rows) <= direct_rows:
+    if rows <= direct_rows:
         points = ", ".join(f"{p!r}D" for p in map(float, probs))
         row = values.agg(*[F.expr(f"percentile({s}, array({points})) AS {s}") for s in names.values()]).first()
         return {name: list(row[s]) if row[s] is not None else [None] * len(probs) for name, s in names.items()}

@@ -68,19 +68,22 @@ def anova_scores(df: DataFrame, target: str, columns: Sequence[str] | None = Non
         },
         by=["_class"],
     ).where("n > 0")
-    pooled = by_class.groupBy("column_name").agg(
-        F.sum("n").alias("n"),
-        F.count("*").alias("g"),
-        F.sum(F.col("n") * F.col("mean")).alias("s"),
-        F.sum(F.col("n") * F.col("var")).alias("within"),
-        F.collect_list(F.struct("n", "mean")).alias("classes"),  # one entry per class
+    overall = by_class.groupBy("column_name").agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("overall"),
     )
-    between = F.aggregate(
-        "classes",
-        F.lit(0.0),
-        lambda total, c: total + c["n"] * (c["mean"] - F.col("s") / F.col("n")) * (c["mean"] - F.col("s") / F.col("n")),
+    # one row per column on the small side
+    apart = F.col("n") * F.pow(F.col("mean") - F.col("overall"), 2)
+    pooled = (
+        by_class.join(F.broadcast(overall), "column_name")
+        .groupBy("column_name")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count("*").alias("g"),
+            F.sum(apart).alias("between"),
+            F.sum(F.col("n") * F.col("var")).alias("within"),
+        )
     )
-    explained = between / F.expr("nullif(g - 1, 0)")
+    explained = F.col("between") / F.expr("nullif(g - 1, 0)")
     unexplained = F.col("within") / F.expr("nullif(n - g, 0)")
     score = F.when((unexplained == 0) & (explained > 0), F.lit(float("inf"))).otherwise(
         F.try_divide(explained, unexplained)

@@ -16,6 +16,16 @@ HASH_DIGITS = 13
 HASH_RANGE = 16**HASH_DIGITS
 TEST_SHARE = 0.2
 FOLDS = 5
+MAX_CLASSES = 200
+
+
+def class_sizes(df: DataFrame, label: str) -> dict:
+    """Rows per class; a label with very many values is no class label."""
+    classes = df.groupBy(col(label).alias("c")).agg(F.count("*").alias("n"))
+    found = {r.c: r.n for r in classes.limit(MAX_CLASSES + 1).collect()}
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return found
 
 
 def row_number_hash(key: Sequence[str], seed: int = 42) -> Column:
@@ -40,7 +50,7 @@ def stratified_split(
     and no task per class. Classes are few. Rows whose hashes are equal at the
     limit go to the same side.
     """
-    sizes = {r.c: r.n for r in df.groupBy(col(label).alias("c")).agg(F.count("*").alias("n")).collect()}
+    sizes = class_sizes(df, label)
     hashed = row_number_hash(key, seed)
     numbers = df.select(col(label).alias("c"), hashed.alias("h"))
     ranks = {c: int(n * test_share + 0.5) - 1 for c, n in sizes.items() if int(n * test_share + 0.5)}
@@ -63,18 +73,22 @@ def assign_folds(df: DataFrame, key: Sequence[str], folds: int = FOLDS, seed: in
     return df.withColumn("fold", F.pmod(row_number_hash(key, seed), F.lit(folds)).cast("int"))
 
 
+def _weights(sizes: dict) -> dict:
+    total = sum(sizes.values())
+    return {c: total / (len(sizes) * n) for c, n in sizes.items()}
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Weight per class that makes all classes count the same in training."""
-    classes = df.groupBy(col(label).alias("label")).agg(F.count("*").alias("label_count"))
-    totals = classes.agg(F.sum("label_count"), F.count("*")).first()
-    weight = F.lit(totals[0]) / (F.lit(totals[1]) * F.col("label_count"))
-    return classes.withColumn("class_weight", weight.cast("double"))
+    sizes = class_sizes(df, label)
+    rows = [(c, sizes[c], w) for c, w in _weights(sizes).items()]
+    kind = df.schema[label].dataType.simpleString()
+    return df.sparkSession.createDataFrame(rows, f"label {kind}, label_count bigint, class_weight double")
 
 
-def with_class_weight(df: DataFrame, label: str, weights: DataFrame) -> DataFrame:
+def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     """The weight of its class on each row."""
-    pairs = {r.label: r.class_weight for r in weights.collect()}
     out = F.lit(None).cast("double")
-    for value, weight in pairs.items():
+    for value, weight in _weights(class_sizes(df, label)).items():
         out = F.when(col(label).eqNullSafe(F.lit(value)), weight).otherwise(out)
     return df.withColumn("class_weight", out)

@@ -37,10 +37,11 @@ def store_raw(df: DataFrame, root: str, data_type: str, source, ingest_date) ->
         .parquet(path)
     )
     listed = catalog(df.sparkSession, root, data_type)
-    if not isinstance(source, Column):
-        listed = listed.where(F.col("source") == F.lit(source))
-    if not isinstance(ingest_date, Column):
-        listed = listed.where(F.col("ingest_date") == F.lit(ingest_date).cast("date"))
+    if isinstance(source, Column) or isinstance(ingest_date, Column):
+        listed = listed.join(rows.select(*PARTITIONS).distinct(), PARTITIONS, "left_semi")
+    else:
+        day = F.lit(ingest_date).cast("date")
+        listed = listed.where((F.col("source") == source) & (F.col("ingest_date") == day))
     return listed.groupBy(*PARTITIONS).agg(
         F.lit(data_type).alias("data_type"),
         F.sum("row_count").alias("row_count"),

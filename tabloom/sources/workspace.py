@@ -26,7 +26,17 @@ def workspace(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{workspace(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    return f"{_tables(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _tables(spark: SparkSession) -> str:
+    return f"{workspace(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this application, once no result needs them any more."""
+    if path_exists(spark, _tables(spark)):
+        delete_path(spark, _tables(spark))
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:
