@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, names_like, numeric_columns
+from ..functions.jobs import side_by_side
 from ..sources.workspace import workspace
 from .cleaning import fill_missing, fit_fill
 from .evaluation import best_model, compare_models, confusion, metrics, roc_auc
 
 SEED = 42
+ROWS_PER_TASK = 25_000
 SCALED = ("logistic_regression", "linear_svc")
 
 
@@ -89,21 +91,18 @@ def _assembled(features: Sequence[str], name: str) -> list:
 def train(name: str, matrix: Matrix, rows: DataFrame, rounds: int = 100) -> PipelineModel:
     """One classifier fitted on ``rows``; scaling is part of the model and fitted on the same rows."""
     workspace(rows.sparkSession)  # tree training checkpoints its lineage there
-    estimator = estimators(matrix.label, rows.count(), rounds)[name]()
+    n = rows.count()
+    if name in SCALED:
+        # a linear step is cheap per row, so a small table is not spread over many tasks
+        rows = rows.coalesce(math.ceil(n / ROWS_PER_TASK) or 1)
+    estimator = estimators(matrix.label, n, rounds)[name]()
     return Pipeline(stages=[*_assembled(matrix.features, name), estimator]).fit(rows)
 
 
-def _side_by_side(jobs: Mapping, parallelism: int) -> dict:
-    """Results of independent training jobs; the cluster shares its slots among them."""
-    with ThreadPoolExecutor(parallelism) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
-        return {name: job.result() for name, job in running.items()}
-
-
 def train_all(matrix: Matrix, rows: DataFrame, rounds: int = 100, parallelism: int = 4) -> dict[str, PipelineModel]:
     """Every classifier fitted on the same rows."""
     names = list(estimators(matrix.label, 1))
-    return _side_by_side({n: partial(train, n, matrix, rows, rounds) for n in names}, parallelism)
+    return side_by_side({n: partial(train, n, matrix, rows, rounds) for n in names}, parallelism)
 
 
 def score(model: PipelineModel, rows: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -137,7 +136,7 @@ def cross_validate(
     """F1 per fold, each measured on rows the model was not trained on."""
     jobs = {f: partial(train, name, matrix, folded.where(F.col("fold") != f), rounds) for f in range(folds)}
     parts = None
-    for fold, model in _side_by_side(jobs, parallelism).items():
+    for fold, model in side_by_side(jobs, parallelism).items():
         part = score(model, folded.where(F.col("fold") == fold), matrix.label).withColumn("fold", F.lit(fold))
         parts = part if parts is None else parts.unionByName(part)
     return metrics(confusion(parts, "label", "prediction", by=["fold"])).select(

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, nan_to_null, numeric_columns, quoted
+from ..functions.jobs import side_by_side
 from ..functions.quantiles import column_quantiles
 from . import profiling
 
@@ -77,15 +78,25 @@ def validate(df: DataFrame, dataset: str) -> DataFrame:
     """
     clean = nan_to_null(df)
     numbers = numeric_columns(df)
-    with ThreadPoolExecutor(3) as beside:
-        finding_copies = beside.submit(profiling.duplicate_rows(df).first)
-        counting = beside.submit(profiling.categorical_summary(profiling.value_counts(clean)).collect)
-        measuring = beside.submit(_scan_values, clean)
-        rows, incomplete_rows, missing = _scan_missing(clean)
-        quartiles = column_quantiles(clean, numbers, [0.25, 0.5, 0.75], rows=rows)
+
+    def ranges():
+        quartiles = column_quantiles(clean, numbers, [0.25, 0.5, 0.75])
         bounds = {c: profiling.iqr_limits(q1, q3) for c, (q1, _, q3) in quartiles.items()}
-        outliers = _outlier_counts(clean, bounds)
-        copies, texts, (constants, moments) = finding_copies.result(), counting.result(), measuring.result()
+        return quartiles, bounds, _outlier_counts(clean, bounds)
+
+    found = side_by_side(
+        {
+            "missing": partial(_scan_missing, clean),
+            "values": partial(_scan_values, clean),
+            "ranges": ranges,
+            "copies": profiling.duplicate_rows(df).first,
+            "texts": profiling.categorical_summary(profiling.value_counts(clean)).collect,
+        }
+    )
+    rows, incomplete_rows, missing = found["missing"]
+    constants, moments = found["values"]
+    quartiles, bounds, outliers = found["ranges"]
+    copies, texts = found["copies"], found["texts"]
 
     out = []
 
@@ -116,11 +127,11 @@ def validate(df: DataFrame, dataset: str) -> DataFrame:
         if row.distinct_count > rows * profiling.HIGH_CARDINALITY_SHARE:
             add("categories", row.column_name, high_cardinality=1)
     for c in numbers:
-        found, present = moments[c], rows - missing[c]
-        add("ranges", c, **{m: found[m] for m in ("min_value", "max_value", "mean_value", "std_value")})
+        seen, present = moments[c], rows - missing[c]
+        add("ranges", c, **{m: seen[m] for m in ("min_value", "max_value", "mean_value", "std_value")})
         add("ranges", c, median_value=quartiles[c][1])
         for name in ("negative", "zero"):
-            count = found[f"{name}_count"]
+            count = seen[f"{name}_count"]
             add("ranges", c, **{f"{name}_count": count, f"{name}_pct": _percent(count, present)})
         add(
             "outliers",

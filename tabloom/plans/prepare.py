@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from ..functions.columns import col, string_columns
+from ..functions.jobs import side_by_side
 from ..operators import cleaning, encoding
 from ..sources.workspace import materialized
 
@@ -81,4 +83,5 @@ def apply_preparation(df: DataFrame, learned: Preparation, keys: Sequence[str] =
 
 def prepare_all(tables: dict[str, DataFrame], keys: Sequence[str] = (KEY,)) -> dict[str, DataFrame]:
     """Each table prepared on its own."""
-    return {name: prepare(df, keys)[0] for name, df in tables.items()}
+    done = side_by_side({name: partial(prepare, df, keys) for name, df in tables.items()})
+    return {name: prepared for name, (prepared, _) in done.items()}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import feature_store, versioning
 from ..sources import raw_zone, snapshots
-from .prepare import KEY, prepare
+from .prepare import KEY, prepare_all
 from .train import train_and_compare, training_matrix
 from .transform import transform
 from .validate import validate_tables
@@ -47,8 +47,8 @@ def run(
     stages += [("validate", source, found.get(source, 0), len(landed[source].columns)) for source in landed]
 
     prepared = {}
-    for source, df in landed.items():
-        log = snapshots.save_table(prepare(df, (key,))[0], f"{root}/prepared", source).first()
+    for source, df in prepare_all(landed, (key,)).items():
+        log = snapshots.save_table(df, f"{root}/prepared", source).first()
         prepared[source] = snapshots.load_latest(spark, f"{root}/prepared", source)
         stages.append(("prepare", source, log.row_count, log.column_count))
 

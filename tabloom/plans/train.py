@@ -29,6 +29,9 @@ def training_matrix(table: DataFrame, target: str = "Churn", keys: Sequence[str]
     """Features with split and fold of each row, written once for the many scans of training."""
     matrix = models.model_matrix(table, target, keys)
     base = materialized(matrix.frame, "matrix")
+    slots = base.sparkSession.sparkContext.defaultParallelism
+    if base.count() < slots * models.ROWS_PER_TASK:
+        base = base.repartition(slots)  # growing trees is heavy per row: use every core
     marked = splitting.assign_folds(splitting.stratified_split(base, keys, matrix.label), keys)
     return models.Matrix(marked, matrix.features, matrix.label, list(keys))
 

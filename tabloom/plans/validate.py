@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.jobs import side_by_side
 from ..operators.reporting import combined_summary, find_issues, validate
 
 
 def measure(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The checks of every table in one report: a few rows per column."""
-    report = None
-    for name, df in tables.items():
-        part = validate(df, name)
-        report = part if report is None else report.unionByName(part)
-    return report
+    parts = side_by_side({name: partial(validate, df, name) for name, df in tables.items()})
+    return reduce(DataFrame.unionByName, parts.values())
 
 
 def validate_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
