@@ -622,8 +622,9 @@ def statements() -> dict[str, str]:
         f"select '{c}' as column_name, count({q(c)}) as row_count, {rnd(f'avg({q(c)})')} as mean_value from featured"
         for c in [*NUMERIC_FEATURES, "Churn"]
     )
-    out["select_k_best"] = f"""with {FEATURED}, best as (select column_name from ({anova()})
-        order by f_score desc nulls last, column_name limit 20)
+    places = ", ".join(f"('{c}', {i})" for i, c in enumerate(NUMERIC_FEATURES))
+    out["select_k_best"] = f"""with {FEATURED}, best as (select column_name from ({anova()}) join (values {places}) p(column_name, place) using (column_name)
+        order by round(f_score, 6) desc nulls last, place desc limit 20)
         select * from ({means}) where column_name in (select column_name from best) or column_name = 'Churn'"""
     out["split_features_labels"] = (
         f"with {FEATURED} select customerID, {rnd('tenure_squared')} as tenure_squared, {len(NUMERIC_FEATURES)} as feature_count, Churn from featured"

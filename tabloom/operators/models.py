@@ -56,14 +56,14 @@ def model_matrix(df: DataFrame, target: str = "Churn", keys: Sequence[str] = ())
     return Matrix(frame, features, label, list(keys))
 
 
-def estimators(label: str, rows: int, rounds: int = 100) -> dict[str, Callable]:
+def estimators(label: str, rows: int, rounds: int = 100, weight: str | None = None) -> dict[str, Callable]:
     """The four classifiers with the settings they are compared with.
 
     Linear models get an L2 penalty of 1 / rows, which is a cost factor of 1
     on the summed loss. The linear support vector machine gives a margin, not
     a probability; that is enough to rank rows.
     """
-    columns = {"labelCol": label, "featuresCol": "features"}
+    columns = {"labelCol": label, "featuresCol": "features"} | ({"weightCol": weight} if weight else {})
     penalty = 1.0 / max(rows, 1)
     return {
         "logistic_regression": lambda: LogisticRegression(
@@ -88,14 +88,20 @@ def _assembled(features: Sequence[str], name: str) -> list:
     ]
 
 
-def train(name: str, matrix: Matrix, rows: DataFrame, rounds: int = 100) -> PipelineModel:
-    """One classifier fitted on ``rows``; scaling is part of the model and fitted on the same rows."""
+def train(
+    name: str, matrix: Matrix, rows: DataFrame, rounds: int = 100, weight: str | None = None
+) -> PipelineModel:
+    """One classifier fitted on ``rows``; scaling is part of the model and fitted on the same rows.
+
+    ``weight`` names a column of row weights, such as class weights for
+    unevenly frequent classes.
+    """
     workspace(rows.sparkSession)  # tree training checkpoints its lineage there
     n = rows.count()
     if name in SCALED:
         # a linear step is cheap per row, so a small table is not spread over many tasks
         rows = rows.coalesce(math.ceil(n / ROWS_PER_TASK) or 1)
-    estimator = estimators(matrix.label, n, rounds)[name]()
+    estimator = estimators(matrix.label, n, rounds, weight)[name]()
     return Pipeline(stages=[*_assembled(matrix.features, name), estimator]).fit(rows)
 
 

@@ -91,6 +91,23 @@ def anova_scores(df: DataFrame, target: str, columns: Sequence[str] | None = Non
     return pooled.select("column_name", score.alias("f_score"))
 
 
+def best_columns(scores: Mapping[str, float | None], k: int) -> list[str]:
+    """The k best columns in the given order.
+
+    Of equal scores the later column wins; columns without a score come last.
+    Scores are compared to nine digits, since equal columns may be summed in a
+    different order.
+    """
+    names = list(scores)
+
+    def rank(i):
+        value = scores[names[i]]
+        return (float("-inf") if value is None else float(f"{value:.9g}"), i)
+
+    kept = set(sorted(range(len(names)), key=rank, reverse=True)[:k])
+    return [name for i, name in enumerate(names) if i in kept]
+
+
 def select_k_best(df: DataFrame, target: str, k: int = 20, keys: Sequence[str] = ()) -> DataFrame:
     """The k numeric columns with the highest score, in table order, and the target last.
 
@@ -99,13 +116,6 @@ def select_k_best(df: DataFrame, target: str, k: int = 20, keys: Sequence[str] =
     if target not in df.columns:
         return df
     candidates = numeric_columns(df, [target, *keys])
-    best = (
-        anova_scores(df, target, candidates)
-        .orderBy(F.desc_nulls_last("f_score"), F.asc("column_name"))
-        .limit(k)
-        .collect()
-    )
-    chosen = {row.column_name for row in best}
-    return df.select(
-        *[col(c) for c in keys], *[col(c) for c in candidates if c in chosen], col(target)
-    )
+    found = {row.column_name: row.f_score for row in anova_scores(df, target, candidates).collect()}
+    chosen = best_columns({c: found.get(c) for c in candidates}, k)
+    return df.select(*[col(c) for c in [*keys, *chosen, target]])

@@ -19,9 +19,18 @@ from ..operators.models import score
 from ..plans.prepare import KEY, Preparation, apply_preparation
 
 
-def read_stream(spark: SparkSession, folder: str, schema: T.StructType | str, pattern: str = "*.parquet") -> DataFrame:
-    """New Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str,
+    pattern: str = "*.parquet",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """New Parquet files of a folder as a stream; ``files_per_batch`` limits what a batch holds at once."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def stream_features(rows: DataFrame, learned: Preparation, keys: Sequence[str] = (KEY,)) -> DataFrame:

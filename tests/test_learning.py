@@ -114,6 +114,14 @@ def test_training(spark, points, tmp_path):
     first = models.feature_importance(loaded.models["gradient_boosting"], matrix.features, matrix.frame).first()
     assert first.feature == "a"
 
+    weighted = splitting.with_class_weight(matrix.frame, "Churn")
+    heavier = models.train("logistic_regression", matrix, weighted, weight="class_weight")
+
+    def positives(model):
+        return models.score(model, matrix.frame, "Churn").agg(F.sum("prediction")).first()[0]
+
+    assert positives(heavier) > positives(training.models["logistic_regression"])
+
     folds = models.cross_validate("logistic_regression", matrix, matrix.frame)
     summary = models.cv_summary(folds).first()
     assert summary.folds == 5 and summary.cv_mean_f1 > 0.8

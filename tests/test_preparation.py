@@ -165,6 +165,12 @@ def test_anova_and_selection(spark):
     assert scaling.select_k_best(df, "nothing", 1) is df
 
 
+def test_later_column_wins_a_tie():
+    scores = {"a": 1.0, "b": 2.0, "c": 1.0 + 1e-13, "d": None, "e": 1.0}
+    assert scaling.best_columns(scores, 2) == ["b", "e"]
+    assert scaling.best_columns(scores, 4) == ["a", "b", "c", "e"]
+
+
 def test_learned_on_other_rows(spark):
     train = spark.createDataFrame([(str(i), float(i), "ab"[i % 2]) for i in range(20)], "customerID string, x double, c string")
     new = spark.createDataFrame([("n1", 1000.0, "b"), ("n2", None, "never seen")], "customerID string, x double, c string")
