@@ -62,10 +62,10 @@ def stratified_split(
         for c, r in reach.items()
     }
     limits = ranked_values(numbers, series, ranks, guesses) if ranks else {}
-    is_test = F.lit(False)
-    for c, limit in limits.items():
-        is_test = is_test | (col(label).eqNullSafe(F.lit(c)) & (hashed <= F.lit(int(limit))))
-    return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
+    limit = F.lit(-1).cast("bigint")
+    for c, value in limits.items():
+        limit = F.when(col(label).eqNullSafe(F.lit(c)), F.lit(int(value))).otherwise(limit)
+    return df.withColumn("split", F.when(hashed <= limit, "test").otherwise("train"))
 
 
 def assign_folds(df: DataFrame, key: Sequence[str], folds: int = FOLDS, seed: int = 42) -> DataFrame:
