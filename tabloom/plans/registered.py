@@ -136,7 +136,7 @@ _RAW_ROOTS: dict[tuple, str] = {}
 def _raw_events(spark, sf_dir):
     """Root of a raw zone holding the events, by type and day."""
     slot = (spark.sparkContext.applicationId, sf_dir)
-    if slot not in _RAW_ROOTS:
+    if slot not in _RAW_ROOTS or not path_exists(spark, _RAW_ROOTS[slot]):
         root = new_path(spark, "raw")
         _land_events(spark, sf_dir, root)
         _RAW_ROOTS[slot] = root
@@ -894,6 +894,14 @@ def drift_psi(spark, sf_dir):
     )
 
 
+@query
+def train_weighted(spark, sf_dir):
+    matrix = _matrix(spark, sf_dir)
+    rows = splitting.with_class_weight(training_plan.rows_of(matrix, "train"), matrix.label)
+    model = models.train("logistic_regression", matrix, rows, weight="class_weight")
+    return models.evaluate({"logistic_regression": model}, training_plan.rows_of(matrix, "test"), matrix.label)
+
+
 @query
 def quality_score(spark, sf_dir):
     rules = {
