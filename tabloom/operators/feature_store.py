@@ -62,7 +62,8 @@ def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, by: S
     kinds = {c: clean.schema[c].dataType.simpleString() for c in columns}
 
     moments = []
-    for chosen, is_numeric in (([c for c in columns if c in numeric], True), ([c for c in columns if c not in numeric], False)):
+    for is_numeric in (True, False):
+        chosen = [c for c in columns if (c in numeric) == is_numeric]
         if chosen:
             number = "{c}" if is_numeric else "CAST(NULL AS double)"
             moments.append(

@@ -32,7 +32,7 @@ from ..operators import (
     versioning,
 )
 from ..sources import files, raw_zone, snapshots
-from ..sources.workspace import materialized, new_path, path_exists
+from ..sources.workspace import new_path, path_exists
 from ..streaming import scoring
 from . import train as training_plan
 from .customer_profile import SCHEMA, customer_profile
@@ -798,9 +798,11 @@ def model_comparison(spark, sf_dir):
 
 def _matrix(spark, sf_dir):
     """Feature matrix with split and fold, written once per application."""
-    build = models.model_matrix(customer_features(spark, sf_dir), "Churn", [KEY])
-    frame = landed(spark, sf_dir, "matrix", lambda: training_plan.training_matrix(customer_features(spark, sf_dir)).frame)
-    return models.Matrix(frame, build.features, build.label, [KEY])
+    frame = landed(
+        spark, sf_dir, "matrix", lambda: training_plan.training_matrix(customer_features(spark, sf_dir)).frame
+    )
+    features = numeric_columns(frame, ["Churn", "fold"])
+    return models.Matrix(frame, features, "Churn", [KEY])
 
 
 def _train_one(spark, sf_dir, name):

@@ -184,7 +184,11 @@ def test_learned_on_other_rows(spark):
 
 def test_whole_preparation_ignores_row_order(spark):
     df = spark.createDataFrame(
-        [(f"c{i}", i % 2, i % 73, 20.0 + i, " " if i % 73 == 0 else str(i * 3.5), "YN"[i % 2], ["yes", "No"][i % 2]) for i in range(150)] * 2,
+        [
+            (f"c{i}", i % 2, i % 73, 20.0 + i, " " if i % 73 == 0 else str(i * 3.5), "YN"[i % 2], ["yes", "No"][i % 2])
+            for i in range(150)
+        ]
+        * 2,
         "customerID string, SeniorCitizen int, tenure int, MonthlyCharges double, TotalCharges string, g string, Churn string",
     )
     one = transform(prepare(df)[0])
