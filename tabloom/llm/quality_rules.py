@@ -147,12 +147,13 @@ def kept(rules) -> Column:
 
 
 def _thresholds(labelled: DataFrame, quantiles: int) -> dict[str, list[float]]:
-    """Candidate cuts of each statistic: quantiles among the accepted and among the rejected rows."""
+    """Candidate cuts of each statistic: half-way between quantiles of the accepted and of the rejected rows."""
     shares = [i / quantiles for i in range(quantiles + 1)]
     found = labelled.groupBy("bad").agg(
         *[F.percentile_approx(_feature(f), shares, 2000).alias(f) for f in FEATURES]
     ).collect()
-    return {f: sorted({float(v) for row in found for v in (row[f] or [])}) for f in FEATURES}
+    seen = {f: sorted({float(v) for row in found for v in (row[f] or [])}) for f in FEATURES}
+    return {f: [(a + b) / 2 for a, b in zip(v, v[1:])] for f, v in seen.items()}
 
 
 def _gain(p: int, n: int, p0: int, n0: int) -> float:
@@ -191,7 +192,7 @@ def learn_rules(
         ),
         F.lit(0),
     )
-    used = [f for f in FEATURES if len(cuts[f]) > 1]
+    used = [f for f in FEATURES if cuts[f]]
     if not used:
         return []
     placed = materialized(labelled.select("bad", "held_out", *[place(f).alias(f) for f in used]), "labelled-places")
