@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: The white space words are separated by.
 BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Inside a character class: whatever some library may take for white space, and controls.
+MAYBE_BLANK = r"\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 #: A key with more than one in so many rows is looked up without a shuffle.
 HOT_SHARE = 1000
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import exact_dedup, line_dedup, quality_rules
+from tabloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,22 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+@query
+def op3_best_fit_packing(spark, folder):
+    pieces = packing.token_pieces(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    checked = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(checked)
+
+
+@query
+def op6_byte_bpe(spark, folder):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.round_trip(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256")
+    )
+
+
 @query
 def op7_line_dedup(spark, folder):
     result = line_dedup.drop_common_lines(read(spark, folder, "documents"))
