@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality_rules
+from tabloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +30,12 @@ def op3_best_fit_packing(spark, folder):
     return packing.pack(checked)
 
 
+@query
+def op5_simhash_near_dedup(spark, folder):
+    result = simhash.near_duplicates(read(spark, folder, "documents"))
+    return result.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_byte_bpe(spark, folder):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
