@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality_rules, simhash
+from tabloom.llm import byte_bpe, exact_dedup, language_model, line_dedup, packing, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +51,11 @@ def op7_line_dedup(spark, folder):
     return result.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op8_language_model(spark, folder):
+    return language_model.score(read(spark, folder, "documents"))
+
+
 @query
 def op9_quality_rules(spark, folder):
     result = quality_rules.judge(read(spark, folder, "documents"), read(spark, folder, "labels"))
