@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import byte_bpe, exact_dedup, language_model, line_dedup, packing, quality_rules, simhash
+from tabloom.llm import byte_bpe, exact_dedup, language_model, line_dedup, packing, quality_classifier, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,13 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+@query
+def op2_quality_classifier(spark, folder):
+    docs = read(spark, folder, "documents")
+    # the table has no addresses: its source stands for the host, the language for the path
+    return quality_classifier.classify(docs, read(spark, folder, "labels"), docs["source"], docs["lang"])
+
+
 @query
 def op3_best_fit_packing(spark, folder):
     pieces = packing.token_pieces(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
