@@ -1,7 +1,9 @@
 """Quality of documents by hierarchical empirical Bayes.
 
 A document classifier (naive Bayes over binned text statistics, learned from all
-labelled rows by one grouped count) gives each document log odds. Documents are
+labelled rows by one grouped count, its statistics weighted by logistic
+regression because they depend on each other) gives each document log odds.
+Documents are
 grouped by host and by path within a host; each group's share of good documents
 is estimated from the labels of its documents, or from the classifier where
 there is none. A path is shrunk towards its host and a host towards the whole
@@ -23,8 +25,9 @@ documents of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +38,7 @@ BROADCAST_ROWS = 50_000
 QUANTILES = 20
 SYMBOLS = "#*$%&|<>"
 
-FEATURES = ["symbol_share", "upper_share", "shout_share", "distinct_share", "mean_word", "log_words"]
+FEATURES = ["symbol_share", "upper_share", "shout_share", "distinct_share", "stutter_share"]
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -54,8 +57,7 @@ def evidence_features(text: Column) -> Column:
             _share(count(UPPER), chars).alias("upper_share"),
             _share(count("!"), n).alias("shout_share"),
             _share(F.size(F.array_distinct(words)), n).alias("distinct_share"),
-            _share(chars, n).alias("mean_word"),
-            F.when(n > 0, F.log2(n.cast("double"))).alias("log_words"),
+            _share(F.size(F.filter(words, lambda w, i: F.get(words, i - 1) == w)), n).alias("stutter_share"),
         )
 
     return let(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), ""), of_words)
@@ -63,10 +65,15 @@ def evidence_features(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Evidence:
-    """Cuts of each statistic, and the log odds of good against bad of each bin; -1 is the bin of nulls."""
+    """Cuts of each statistic, and the log odds of good against bad of each bin; -1 is the bin of nulls.
+
+    Statistics depend on each other, so each has a weight.
+    """
 
     cuts: dict[str, list[float]]
     odds: dict[str, dict[int, float]]
+    weights: dict[str, float] = field(default_factory=dict)
+    shift: float = 0.0
 
 
 def _nested(value: Column, cuts: list[float], results: list) -> Column:
@@ -106,16 +113,51 @@ def learn_evidence(labelled: DataFrame, quantiles: int = QUANTILES) -> Evidence:
         bins = range(-1, len(cuts[f]) + 1)
         share = lambda b, good: (n.get((f, b, good), 0) + 1) / (totals[good] + len(bins))  # noqa: B023, E731
         odds[f] = {b: math.log(share(b, True) / share(b, False)) for b in bins}
-    return Evidence(cuts, odds)
+    scores = materialized(
+        labelled.select(F.col("good").cast("double").alias("good"), *_scores(Evidence(cuts, odds), F.col("features"))),
+        "feature-scores",
+    )
+    weights, intercept = _logistic(scores)
+    return Evidence(cuts, odds, weights, intercept - math.log(totals[True] / totals[False]))
+
+
+def _logistic(scores: DataFrame, steps: int = 12, ridge: float = 1.0) -> tuple[dict[str, float], float]:
+    """Weights of the scores by Newton steps, each one aggregate; the prior is a weight of one each."""
+    names, x = [*FEATURES, "one"], np.append(np.ones(len(FEATURES)), 0.0)
+    scores = scores.withColumn("one", F.lit(1.0))
+    prior = np.append(np.full(len(FEATURES), ridge), 1e-3)
+    for _ in range(steps):
+        margin = sum((F.col(n) * float(v) for n, v in zip(names[1:], x[1:])), F.col(names[0]) * float(x[0]))
+        p = 1 / (1 + F.exp(-F.least(F.greatest(margin, F.lit(-30.0)), F.lit(30.0))))
+        rows = scores.withColumn("p", p).withColumn("w", F.col("p") * (1 - F.col("p")))
+        slope = [F.sum((F.col("good") - F.col("p")) * F.col(n)) for n in names]
+        bend = [F.sum(F.col("w") * F.col(m) * F.col(n)) for m in names for n in names]
+        got = np.array(list(rows.agg(*slope, *bend).first()), float)
+        k = len(names)
+        step = np.linalg.solve(
+            got[k:].reshape(k, k) + np.diag(prior), got[:k] - prior * (x - np.append(np.ones(k - 1), 0.0))
+        )
+        x = x + step / max(1.0, np.abs(step).max())  # no step longer than one
+        if np.abs(step).max() < 1e-6:
+            break
+    return dict(zip(FEATURES, x.tolist())), float(x[-1])
 
 
-def log_odds(evidence: Evidence, features: Column) -> Column:
-    total = F.lit(0.0)
+def _scores(evidence: Evidence, features: Column) -> list[Column]:
+    """The log odds of each statistic's bin."""
+    found = []
     for f in FEATURES:
-        if f in evidence.odds:
-            of_bins = [evidence.odds[f][b] for b in range(len(evidence.cuts[f]) + 1)]
-            known = _nested(features[f], evidence.cuts[f], of_bins)
-            total = total + F.when(features[f].isNull(), F.lit(evidence.odds[f][-1])).otherwise(known)
+        of_bins = [evidence.odds[f][b] for b in range(len(evidence.cuts[f]) + 1)]
+        known = _nested(features[f], evidence.cuts[f], of_bins)
+        found.append(F.when(features[f].isNull(), F.lit(evidence.odds[f][-1])).otherwise(known).alias(f))
+    return found
+
+
+def log_odds(evidence: Evidence, features: Column) -> Column:
+    total = F.lit(evidence.shift)
+    if evidence.odds:
+        for f, score in zip(FEATURES, _scores(evidence, features)):
+            total = total + F.lit(evidence.weights[f]) * score
     return total
 
 
