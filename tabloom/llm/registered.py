@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import byte_bpe, exact_dedup, language_model, line_dedup, packing, quality_classifier, quality_rules, simhash
+from tabloom.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_model,
+    license_scan,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +34,11 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+@query
+def op1_license_scan(spark, folder):
+    return license_scan.find_licenses(read(spark, folder, "documents"))
+
+
 @query
 def op2_quality_classifier(spark, folder):
     docs = read(spark, folder, "documents")
@@ -37,6 +53,12 @@ def op3_best_fit_packing(spark, folder):
     return packing.pack(checked)
 
 
+@query
+def op4_token_counts(spark, folder):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return token_counts.count_tokens(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 @query
 def op5_simhash_near_dedup(spark, folder):
     result = simhash.near_duplicates(read(spark, folder, "documents"))
