@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def sha(text: str | bytes) -> str:
+    return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
 
 
 def quality_counts(text):
     text = text or ""
     words = WORD.findall(text)
     windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
-    many = {w for w in windows if windows.count(w) > 1} if len(windows) < 300 else _repeated(windows)
+    seen = Counter(windows)
     inside = set()
     for i, w in enumerate(windows):
-        if w in many:
+        if seen[w] > 1:
             inside.update(range(i, i + 5))
-    seen, dup = set(), 0
+    lines, dup = set(), 0
     for line in text.split("\n"):
         if WORD.search(line):
-            dup += line in seen
-            seen.add(line)
+            dup += line in lines
+            lines.add(line)
     return {
         "n_words": len(words),
         "word_chars": sum(map(len, words)),
@@ -30,8 +40,68 @@ def quality_counts(text):
     }
 
 
-def _repeated(items):
-    seen, twice = set(), set()
-    for x in items:
-        (twice if x in seen else seen).add(x)
-    return twice
+def without_common_lines(rows, min_chars=40, min_docs=5):
+    """(doc_id, n_lines, n_dropped, kept text) of each row."""
+    key = lambda line: line.strip(" \t\n\x0b\f\r").translate(_LOWER)
+    holders = defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                holders[key(line)].add(i)
+    common = {k: max((i for i in v if i is not None), default=None) for k, v in holders.items() if len(v) >= min_docs}
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if key(x) not in common or common[key(x)] == i]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def simhash(text, shingle=3):
+    words = WORD.findall((text or "").translate(_LOWER))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)] or [" ".join(words)]
+    counts = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for bit in range(64):
+            counts[bit] += h >> bit & 1
+    return sum(1 << bit for bit in range(64) if 2 * counts[bit] > len(shingles))
+
+
+def linked(n, links):
+    """The smallest member of each place's component."""
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(n)]
+
+
+def near_links(prints, radius):
+    prints = np.array(prints, np.uint64)
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i + 1 :] ^ prints[i]) <= radius):
+            yield i, i + 1 + int(j)
+
+
+def segmentation_tokens(pretoken, scores, longest=128):
+    data = pretoken.encode()
+    best = [(0.0, 0)]
+    for end in range(1, len(data) + 1):
+        ways = [
+            (best[start][0] + scores[data[start:end]], -(best[start][1] + 1))
+            for start in range(max(0, end - longest), end)
+            if data[start:end] in scores
+        ]
+        score, tokens = max(ways)
+        best.append((score, -tokens))
+    return best[-1][1]
