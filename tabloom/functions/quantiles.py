@@ -1,11 +1,15 @@
 """Exact order statistics in a few scans with bounded state.
 
-Spark's ``percentile`` keeps every distinct value of a column in one task. Past
-``DIRECT_ROWS`` rows the value is found by narrowing instead: a sketch proposes
+Spark's ``percentile`` keeps every distinct value of a column in one task. Here
+a value is found by narrowing, whatever the size of the table: a sketch proposes
 two pivots around the wanted rank, the next scan counts exactly how many values
 lie below, on and between them, and the search goes on in the part that holds
-the rank. Each scan is one global aggregate for all columns, so no data is
-shuffled, and heavy duplicates end a search as soon as they become a pivot.
+the rank; a part of few values is sorted. Each scan is one global aggregate for
+all columns, so no data is shuffled, and heavy duplicates end a search as soon as
+they become a pivot. Infinities are values like others.
+
+Quantiles per group come from one range-partitioned order of (group, value)
+counts, for any number of groups.
 """
 
 from __future__ import annotations
@@ -17,9 +21,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import materialized
 from .columns import col, without_nan
+from .joins import attach
+from .ordering import with_running_totals
 
-DIRECT_ROWS = 100_000  # up to here one exact percentile aggregate is the faster way
 GATHER_ROWS = 20_000  # an interval this small is sorted inside the aggregate
 SERIES_PER_SCAN = 16  # more series are handled in turns, each reading its own columns only
 ACCURACY = 10_000  # sketch size; its rank error is 1 / ACCURACY of the interval
@@ -58,6 +64,8 @@ class _Search:
 
 
 def _number(value: float) -> str:
+    if math.isinf(value):
+        return f"CAST('{'' if value > 0 else '-'}Infinity' AS double)"
     return f"({float(value)!r}D)"
 
 
@@ -149,36 +157,32 @@ def _series_frame(df: DataFrame, series: Mapping[str, Column]) -> tuple[DataFram
     return values.select(*[without_nan(F.col(f.name), f.dataType).alias(f.name) for f in values.schema]), names
 
 
+def between(a: float, b: float, share: float) -> float:
+    """The value a share of the way from a to b; infinite ends stay infinite."""
+    if a == b or share == 0:
+        return a
+    return a + (b - a) * share if math.isfinite(a) else a * (1 - share) + b * share
+
+
 def quantiles(
     df: DataFrame,
     series: Mapping[str, Column],
     probs: Sequence[float],
-    rows: int | None = None,
-    direct_rows: int = DIRECT_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each series, missing values left out.
 
-    A series is any numeric expression, so per-group quantiles are the same
-    call with one conditional series per group. ``rows`` is the size of the
-    table where the caller knows it.
+    A series is any numeric expression.
     """
     if not series:
         return {}
-    rows = df.count() if rows is None else rows
     if len(series) > SERIES_PER_SCAN:
         names = list(series)
         found = {}
         for i in range(0, len(names), SERIES_PER_SCAN):
-            part = {name: series[name] for name in names[i : i + SERIES_PER_SCAN]}
-            found |= quantiles(df, part, probs, rows, direct_rows)
+            found |= quantiles(df, {name: series[name] for name in names[i : i + SERIES_PER_SCAN]}, probs)
         return found
 
     values, names = _series_frame(df, series)
-    if rows <= direct_rows:
-        points = ", ".join(f"{p!r}D" for p in map(float, probs))
-        row = values.agg(*[F.expr(f"percentile({s}, array({points})) AS {s}") for s in names.values()]).first()
-        return {name: list(row[s]) if row[s] is not None else [None] * len(probs) for name, s in names.items()}
-
     slack = 2 / ACCURACY
     near = [f"{min(max(p + d, 0.0), 1.0)!r}D" for p in map(float, probs) for d in (-slack, slack)]
     row = values.agg(
@@ -206,15 +210,14 @@ def quantiles(
         if part is None:
             return None
         low, high, share = part
-        a, b = searches[s, low].value, searches[s, high].value
-        return a + (b - a) * share
+        return between(searches[s, low].value, searches[s, high].value, share)
 
     return {name: [value(s, part) for part in parts[name]] for name, s in names.items()}
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> dict:
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
     """Quantiles of plain columns."""
-    return quantiles(df, {c: col(c) for c in columns}, probs, **options)
+    return quantiles(df, {c: col(c) for c in columns}, probs)
 
 
 def ranked_values(
@@ -234,3 +237,50 @@ def ranked_values(
         searches[name].size, searches[name].pivots, searches[name].share = size, (low, high), 0.0
     _finish(values, list(searches.values()))
     return {name: s.value for name, s in searches.items()}
+
+
+def group_key(group: Column) -> Column:
+    """A text that is equal for equal groups, of any type, and never null."""
+    return F.to_json(F.struct(group.alias("g")))
+
+
+def grouped_ranks(df: DataFrame, group: Column, value: Column, ranks: Mapping[str, Column]) -> DataFrame:
+    """``key``, ``n`` and the value at each rank of every group.
+
+    A rank is an expression of ``n``, the number of values of the group; values
+    are ascending and the first has rank 0. Equal values of a group are counted
+    before they are ordered, and the order is cut into ranges, so neither a large
+    group nor a hot value meets one task, and groups may be many.
+    """
+    pairs = df.select(group_key(group).alias("key"), value.alias("v")).where("v IS NOT NULL")
+    counts = pairs.groupBy("key", "v").agg(F.count(F.lit(1)).alias("m"))
+    ordered = materialized(with_running_totals(counts, ["key", "v"], {"before": F.col("m")}), "ordered-values")
+    sizes = ordered.groupBy("key").agg(
+        F.min("before").alias("start"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("entries")
+    )
+    placed = attach(ordered, materialized(sizes, "group-sizes"), "key", "entries")
+    first = F.col("before") - F.col("start")
+    picked = [
+        F.max(F.when((first <= rank) & (rank < first + F.col("m")), F.col("v"))).alias(name) for name, rank in ranks.items()
+    ]
+    return placed.groupBy("key").agg(F.first("n").alias("n"), *picked)
+
+
+def grouped_quantiles(df: DataFrame, group: Column, value: Column, probs: Mapping[str, float]) -> DataFrame:
+    """``key`` (see :func:`group_key`) and interpolated quantiles of each group that has a value."""
+    position = {name: (F.col("n") - 1) * F.lit(float(p)) for name, p in probs.items()}
+    ranks = {f"low_{name}": F.floor(x) for name, x in position.items()}
+    ranks |= {f"high_{name}": F.ceil(x) for name, x in position.items()}
+    found = grouped_ranks(df, group, value.cast("double"), ranks)
+
+    def quantile(name):
+        low, high, share = F.col(f"low_{name}"), F.col(f"high_{name}"), position[name] - F.floor(position[name])
+        infinite = F.abs(low) == F.lit(math.inf)
+        return (
+            F.when((low == high) | (share == 0), low)
+            .when(infinite, low * (1 - share) + high * share)
+            .otherwise(low + (high - low) * share)
+            .alias(name)
+        )
+
+    return found.select("key", *[quantile(name) for name in probs])

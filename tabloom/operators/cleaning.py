@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import NUMBER_PATTERN, col, nan_to_null, numeric_columns, quoted, string_columns
 from ..functions.expressions import clip, recoded
 from ..functions.quantiles import column_quantiles
-from .profiling import categorical_summary, iqr_bounds, per_column, value_counts
+from .profiling import categorical_summary, iqr_bounds, per_column
 
 FILL_WITHOUT_MODE = "Unknown"
 YES_NO = ("Yes", "No", "yes", "no")
@@ -101,8 +101,8 @@ def fit_fill(df: DataFrame, columns: Sequence[str] | None = None, facts: Facts |
     clean = nan_to_null(chosen)
     numbers = [c for c in numeric_columns(chosen) if c in facts.incomplete]
     texts = [c for c in string_columns(chosen) if c in facts.incomplete]
-    medians = column_quantiles(clean, numbers, [0.5], rows=facts.rows)
-    modes = categorical_summary(value_counts(clean, texts)).collect() if texts else []
+    medians = column_quantiles(clean, numbers, [0.5])
+    modes = categorical_summary(clean, texts).collect() if texts else []
     found = {r.column_name: r.most_frequent for r in modes}
     return Fill({c: m for c, (m,) in medians.items()}, {c: found.get(c, FILL_WITHOUT_MODE) for c in texts})
 
@@ -121,7 +121,7 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 
 def fit_caps(
-    df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr", rows: int | None = None
+    df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr"
 ) -> dict[str, tuple]:
     """Lower and upper limit per numeric column.
 
@@ -133,9 +133,9 @@ def fit_caps(
     columns = numeric_columns(df) if columns is None else list(columns)
     clean = nan_to_null(df.select(*[col(c) for c in columns]))
     if method == "iqr":
-        return {c: (low, high) for c, (_, _, low, high) in iqr_bounds(clean, columns, rows).items()}
+        return {c: (low, high) for c, (_, _, low, high) in iqr_bounds(clean, columns).items()}
     if method == "cap":
-        return {c: tuple(ends) for c, ends in column_quantiles(clean, columns, [0.01, 0.99], rows=rows).items()}
+        return {c: tuple(ends) for c, ends in column_quantiles(clean, columns, [0.01, 0.99]).items()}
     if not columns:
         return {}
     row = clean.agg(

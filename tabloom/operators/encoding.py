@@ -9,15 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, literal, quoted, string_columns
+from ..functions.joins import attach_any
 from ..functions.ordering import with_running_totals
-from .profiling import value_counts
+from .profiling import value_counts, value_hashes
 
 MAX_ONE_HOT = 50  # more distinct values than this get codes instead of flags
-SURELY_MORE = 1_000  # an approximate count above this cannot be MAX_ONE_HOT or fewer
-SMALL_ROWS, SMALL_BYTES = 100_000, 16 << 20  # a dictionary within both is sent to every executor
-HOT_SHARE = 1_000  # a value with more than 1/HOT_SHARE of the rows is joined without a shuffle
-HOT_BYTES = 4_096  # longest value that counts as hot, so hot values stay below 4 MB
-SALTS = 1_000
+APPROXIMATE = 2  # an estimate above so many times the limit means more values than the limit
 
 
 def encode_binary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,7 +36,8 @@ def scan_texts(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_HOT)
     """Sorted distinct values of the columns that have at most ``limit``.
 
     An approximate count, which needs no shuffle, sets aside the columns that
-    surely have more; only the values of the others are grouped and collected.
+    surely have more. The values of the others are counted by hash, and fetched
+    only for columns that have no more than the limit.
     """
     rows, *found = df.agg(
         F.count("*"),
@@ -47,12 +45,17 @@ def scan_texts(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_HOT)
         *[F.expr(f"hll_sketch_estimate(hll_sketch_agg({quoted(c)})) AS d{i}") for i, c in enumerate(columns)],
     ).first()
     incomplete = [c for c, n in zip(columns, found) if n]
-    few = [c for c, n in zip(columns, found[len(columns) :]) if (n or 0) <= SURELY_MORE]
-    values = {c: [] for c in few}
+    estimates = dict(zip(columns, found[len(columns) :]))
+    few = [c for c in columns if (estimates[c] or 0) <= APPROXIMATE * limit + 100]
+    categories = {c: [] for c in few}
     if few:
-        for row in value_counts(df, few).select("column_name", "value").collect():
-            values[row.column_name].append(row.value)
-    return TextFacts(rows, incomplete, {c: sorted(v) for c, v in values.items() if len(v) <= limit})
+        hashes = value_hashes(df, few)
+        sizes = hashes.groupBy("column_name").agg(F.count("*").alias("n")).collect()
+        categories = {c: v for c, v in categories.items() if {r.column_name: r.n for r in sizes}.get(c, 0) <= limit}
+    if categories:
+        for row in value_counts(df, list(categories)).select("column_name", "value").collect():
+            categories[row.column_name].append(row.value)
+    return TextFacts(rows, incomplete, {c: sorted(v) for c, v in categories.items()})
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_HOT) -> dict[str, list[str]]:
@@ -63,7 +66,7 @@ def fit_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_H
 def route_cardinality(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_ONE_HOT) -> DataFrame:
     """Distinct values and the encoding chosen per text column."""
     columns = string_columns(df) if columns is None else list(columns)
-    distinct = value_counts(df, columns).groupBy("column_name").agg(F.count("*").alias("distinct_count"))
+    distinct = value_hashes(df, columns).groupBy("column_name").agg(F.count("*").alias("distinct_count"))
     return distinct.withColumn("encoding", F.when(F.col("distinct_count") > limit, "label").otherwise("one_hot"))
 
 
@@ -78,31 +81,16 @@ def label_dictionary(df: DataFrame, column: str) -> DataFrame:
 def _lookup(df: DataFrame, column: str, dictionary: DataFrame, result: str) -> DataFrame:
     """The frame with ``_found``: the dictionary's result for the column's value.
 
-    A dictionary of checked size is broadcast. Otherwise the most frequent
-    values (fewer than ``HOT_SHARE`` of them, by definition) are looked up
-    without a shuffle and only the rest is joined by value, so no task receives
-    a hot value.
+    Values are compared by 128 bits of their hash, so a dictionary row has a
+    bounded width however long its text is. Rows with the most frequent values
+    (fewer than a thousand, by definition) and rows without a value are not
+    shuffled at all; the others are joined by hash.
     """
-    size = dictionary.agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"), F.sum("value_count"))
-    rows, size_bytes, total = size.first()
-    entries = dictionary.select("value", F.col(result).alias("_found"), "value_count")
-    if rows <= SMALL_ROWS and (size_bytes or 0) <= SMALL_BYTES:
-        table = F.broadcast(entries.select(F.col("value").alias("_value"), "_found"))
-        return df.join(table, col(column) == F.col("_value"), "left").drop("_value")
-
-    is_hot = (F.col("value_count") * HOT_SHARE > total) & (F.octet_length("value") <= HOT_BYTES)
-    hot = entries.where(is_hot).select(F.col("value").alias("_hot"), F.col("_found").alias("_hot_found"))
-    cold = entries.where(~is_hot).select(F.col("value").alias("_value"), F.col("_found").alias("_cold_found"))
-    salt = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(SALTS)))
-    settled = F.col("_hot").isNotNull() | col(column).isNull()
-    return (
-        df.join(F.broadcast(hot), col(column) == F.col("_hot"), "left")
-        # settled rows get a key that matches nothing and spreads evenly
-        .withColumn("_key", F.when(settled, salt).otherwise(col(column)))
-        .join(cold, F.col("_key") == F.col("_value"), "left")
-        .withColumn("_found", F.coalesce("_hot_found", "_cold_found"))
-        .drop("_hot", "_hot_found", "_key", "_value", "_cold_found")
+    hashed = dictionary.select(
+        F.unhex(F.md5("value")).alias("_key"), F.col(result).alias("_found"), F.col("value_count").alias("_weight")
     )
+    rows = df.withColumn("_key", F.unhex(F.md5(col(column).cast("string"))))
+    return attach_any(rows, hashed, "_key", "_weight", "left").drop("_key", "_weight")
 
 
 def encode_label(df: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:

@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, literal, nan_to_null, numeric_columns, quoted, without_nan
-from ..functions.quantiles import quantiles
-
-MAX_CLASSES = 200
+from ..functions.quantiles import group_key, grouped_quantiles
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
@@ -33,23 +31,15 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 def boxplot_by_class(df: DataFrame, column: str, by: str) -> DataFrame:
     """Count, minimum, quartiles and maximum of a column per class.
 
-    Classes are meant to be few; their quartiles are found together in the
-    same scans, each as its own conditional series.
+    Classes may be many and one of them large: values are counted, ordered in
+    ranges, and picked by their rank inside the class.
     """
-    classes = df.select(col(by).alias("c")).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{by} has more than {MAX_CLASSES} classes")
     value = without_nan(col(column), df.schema[column].dataType).cast("double")
-    series = {row.c: F.when(col(by).eqNullSafe(F.lit(row.c)), value) for row in classes}
-    boxes = quantiles(df, series, [0.25, 0.5, 0.75])
-    kind = df.schema[by].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(
-        [(c, *q) for c, q in boxes.items()], f"class {kind}, q1 double, median double, q3 double"
-    )
+    boxes = grouped_quantiles(df, col(by), value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     ends = df.groupBy(col(by).alias("class")).agg(
         F.count(value).alias("value_count"), F.min(value).alias("min_value"), F.max(value).alias("max_value")
     )
-    return ends.join(F.broadcast(table), ends["class"].eqNullSafe(table["class"])).drop(table["class"])
+    return ends.withColumn("key", group_key(F.col("class"))).join(boxes, "key", "left").drop("key")
 
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

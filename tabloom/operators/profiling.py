@@ -2,7 +2,7 @@
 
 Measures of single columns come from one aggregate over the table that is then
 turned into a row per column. Value frequencies are one unpivot and one
-grouping, which is combined before the shuffle. No check loops over columns.
+grouping of hashes, combined before the shuffle. No check loops over columns.
 """
 
 from __future__ import annotations
@@ -23,13 +23,16 @@ from ..functions.columns import (
     quoted,
     string_columns,
 )
+from ..functions.joins import SMALL
 from ..functions.quantiles import column_quantiles
+from ..sources.workspace import materialized
 
 TOP_VALUES = 5
 IQR_FACTOR = 1.5
 HIGH_CARDINALITY_SHARE = 0.5
 LOW_CARDINALITY = 10
 LONG_TEXT = 128  # bytes
+START = 64  # characters of a text that go with its hash
 AGGREGATE_FIELDS, FIELDS_PER_MEASURE = 100, 2.5
 
 
@@ -167,6 +170,7 @@ def identity(df: DataFrame, name: str) -> Column:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows; missing equals missing."""
+    df = comparable(nan_to_null(df))
     return (
         df.groupBy(*[identity(df, c).alias(f"k{i}") for i, c in enumerate(df.columns)])
         .agg(F.count("*").alias("_copies"))
@@ -179,11 +183,24 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def comparable(df: DataFrame) -> DataFrame:
+    """Columns of types that have no order, such as maps, as JSON."""
+    return df.withColumns({f.name: F.to_json(col(f.name)) for f in df.schema if _unordered(f.dataType)})
+
+
+def _unordered(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _unordered(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return any(_unordered(f.dataType) for f in data_type)
+    return isinstance(data_type, (T.MapType, T.VariantType))
+
+
 def constant_columns(df: DataFrame) -> DataFrame:
     """Columns with exactly one distinct value, missing values ignored."""
     ends = {"low": ("min({c})", "string"), "high": ("max({c})", "string")}
     return (
-        per_column(nan_to_null(df), df.columns, ends)
+        per_column(comparable(nan_to_null(df)), df.columns, ends)
         .where("low = high")
         .select("column_name", F.col("low").alias("constant_value"))
     )
@@ -243,9 +260,9 @@ def iqr_limits(q1: float | None, q3: float | None) -> tuple:
     return q1 - reach, q3 + reach
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> dict[str, tuple]:
+def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
     """(Q1, Q3, lower bound, upper bound) per column."""
-    quartiles = column_quantiles(df, columns, [0.25, 0.75], rows=rows)
+    quartiles = column_quantiles(df, columns, [0.25, 0.75])
     return {c: (q1, q3, *iqr_limits(q1, q3)) for c, (q1, q3) in quartiles.items()}
 
 
@@ -272,6 +289,32 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return counts.join(F.broadcast(fitted), "column_name")
 
 
+def value_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Frequency of every value of the text columns, by 128 bits of its hash and its first characters.
+
+    Long texts stay where they are read: what is combined and shuffled has a
+    bounded width, so it is combined in a hash table, without a sort.
+    """
+    columns = string_columns(df) if columns is None else list(columns)
+    if not columns:
+        return _no_rows(df, "column_name string, h1 bigint, h2 bigint, start string, value_count bigint")
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("place"))
+    return (
+        _hashed(df, columns)
+        .groupBy("place", "h1", "h2", F.substring("value", 1, START).alias("start"))
+        .agg(F.count("*").alias("value_count"))
+        .select(names.alias("column_name"), "h1", "h2", "start", "value_count")
+    )
+
+
+def _hashed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Place of the column (from 1), two 64-bit halves of the MD5 of each value, and the value."""
+    cells = F.array(*[F.struct(F.lit(i + 1).alias("place"), col(c).alias("value")) for i, c in enumerate(columns)])
+    cells = df.select(F.inline(cells)).where("value IS NOT NULL")
+    half = lambda start: F.conv(F.substring(F.md5("value"), start, 16), 16, -10).cast("bigint")
+    return cells.select("place", half(1).alias("h1"), half(17).alias("h2"), "value")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Frequency of every value of the text columns."""
     columns = string_columns(df) if columns is None else list(columns)
@@ -280,35 +323,82 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return _unpivoted(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("value_count"))
 
 
-def categorical_summary(counts: DataFrame) -> DataFrame:
+def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values, most and least frequent value per column.
 
-    Equal counts are ordered by value. The running best is one value per
-    column, so a column of unique texts costs no sort and no large state.
+    Equal counts are ordered by value. Values are counted by hash; long texts are
+    read again only for the few that tie in count and first characters.
     """
-    order = F.struct(-F.col("value_count"), F.col("value"))
-    return counts.groupBy("column_name").agg(
+    columns = string_columns(df) if columns is None else list(columns)
+    if not columns:
+        return _no_rows(
+            df,
+            "column_name string, distinct_count bigint, most_frequent string, most_frequent_count bigint,"
+            " least_frequent string, least_frequent_count bigint",
+        )
+    counts = materialized(value_hashes(df, columns), "value-hashes")
+    order = F.struct(-F.col("value_count"), F.col("start"))
+    ends = counts.groupBy("column_name").agg(
         F.count("*").alias("distinct_count"),
-        F.min_by("value", order).alias("most_frequent"),
         F.max("value_count").alias("most_frequent_count"),
-        F.max_by("value", order).alias("least_frequent"),
         F.min("value_count").alias("least_frequent_count"),
+        F.min(order)["start"].alias("most_start"),
+        F.max(order)["start"].alias("least_start"),
+    )
+    first = "value_count = most_frequent_count AND start = most_start"
+    last = "value_count = least_frequent_count AND start = least_start"
+    edge = counts.join(F.broadcast(ends), "column_name").where(f"({first}) OR ({last})").select(*counts.columns)
+    found = _texts_of(df, columns, edge)
+    texts = found.join(F.broadcast(ends), "column_name").groupBy("column_name").agg(
+        F.min(F.when(F.expr(first), F.col("value"))).alias("most_frequent"),
+        F.max(F.when(F.expr(last), F.col("value"))).alias("least_frequent"),
+    )
+    return ends.join(texts, "column_name").select(
+        "column_name", "distinct_count", "most_frequent", "most_frequent_count", "least_frequent", "least_frequent_count"
     )
 
 
-def top_values(counts: DataFrame, k: int = TOP_VALUES) -> DataFrame:
-    """The k most frequent values per column.
+def _texts_of(df: DataFrame, columns: Sequence[str], chosen: DataFrame) -> DataFrame:
+    """The text of each chosen hash: column_name, start, value, value_count.
 
-    Each task keeps its own best k before the window sees them.
+    A text no longer than its start is known already. The others are few, as
+    they tie in count and start; their hashes are broadcast if they are, and meet
+    the rows in a join otherwise.
+    """
+    short = chosen.where(F.length("start") < START).withColumn("value", F.col("start"))
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column_name")).cast("int")
+    wanted = materialized(chosen.where(F.length("start") >= START).withColumn("place", place), "chosen-values")
+    count = wanted.count()
+    names = ["column_name", "start", "value", "value_count"]
+    if not count:
+        return short.select(*names)
+    met = _hashed(df, columns).join(F.broadcast(wanted) if count <= SMALL else wanted, ["place", "h1", "h2"])
+    return short.select(*names).unionByName(met.select(*names))
+
+
+def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP_VALUES) -> DataFrame:
+    """The k most frequent values per column; equal counts are ordered by value.
+
+    Values are counted by hash, and each task keeps its best k; long texts are
+    fetched only for those and what ties with the last of them.
     """
+    columns = string_columns(df) if columns is None else list(columns)
+    if not columns:
+        return _no_rows(df, "column_name string, value string, value_count bigint, value_rank int")
+    counts = materialized(value_hashes(df, columns), "value-hashes")
+    ranked = Window.partitionBy("column_name").orderBy(F.desc("value_count"), F.asc("start"))
+    best = counts.withColumn("nth", F.row_number().over(ranked)).where(F.col("nth") <= k)
+    limits = best.groupBy("column_name").agg(F.max(F.struct(-F.col("value_count"), F.col("start"))).alias("limit"))
+    inside = F.struct(-F.col("value_count"), F.col("start")) <= F.col("limit")
+    chosen = counts.join(F.broadcast(limits), "column_name").where(inside).drop("limit")
+    texts = _texts_of(df, columns, chosen).groupBy("column_name", "value").agg(F.max("value_count").alias("value_count"))
     order = Window.partitionBy("column_name").orderBy(F.desc("value_count"), F.asc("value"))
-    ranked = counts.withColumn("value_rank", F.row_number().over(order))
-    return ranked.where(F.col("value_rank") <= k)
+    return texts.withColumn("value_rank", F.row_number().over(order)).where(F.col("value_rank") <= k)
 
 
-def cardinality_classes(counts: DataFrame, row_count: int) -> DataFrame:
+def cardinality_classes(df: DataFrame, row_count: int, columns: Sequence[str] | None = None) -> DataFrame:
     """high above half the rows, low below ten distinct values, else neither."""
-    distinct = counts.groupBy("column_name").agg(F.count("*").alias("distinct_count"))
+    distinct = value_hashes(df, columns).groupBy("column_name").agg(F.count("*").alias("distinct_count"))
     return distinct.withColumn(
         "cardinality",
         F.when(F.col("distinct_count") > row_count * HIGH_CARDINALITY_SHARE, "high")

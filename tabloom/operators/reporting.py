@@ -87,10 +87,10 @@ def validate(df: DataFrame, dataset: str) -> DataFrame:
     found = side_by_side(
         {
             "missing": partial(_scan_missing, clean),
-            "values": partial(_scan_values, clean),
+            "values": partial(_scan_values, profiling.comparable(clean)),
             "ranges": ranges,
             "copies": profiling.duplicate_rows(df).first,
-            "texts": profiling.categorical_summary(profiling.value_counts(clean)).collect,
+            "texts": profiling.categorical_summary(clean).collect,
         }
     )
     rows, incomplete_rows, missing = found["missing"]

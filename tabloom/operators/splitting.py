@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,22 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col
 from ..functions.expressions import hash_number
-from ..functions.quantiles import ranked_values
+from ..functions.joins import attach_any
+from ..functions.quantiles import group_key, grouped_ranks
+from ..sources.workspace import materialized
 
 HASH_DIGITS = 13
 HASH_RANGE = 16**HASH_DIGITS
 TEST_SHARE = 0.2
 FOLDS = 5
-MAX_CLASSES = 200
-
-
-def class_sizes(df: DataFrame, label: str) -> dict:
-    """Rows per class; a label with very many values is no class label."""
-    classes = df.groupBy(col(label).alias("c")).agg(F.count("*").alias("n"))
-    found = {r.c: r.n for r in classes.limit(MAX_CLASSES + 1).collect()}
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return found
 
 
 def row_number_hash(key: Sequence[str], seed: int = 42) -> Column:
@@ -45,27 +36,18 @@ def stratified_split(
     """Marks ``test_share`` of each class (rounded to whole rows) as test rows.
 
     The test rows of a class are those with the smallest hashes. Their number
-    is known from the class size, so all that is needed is the hash at that
-    rank: a few scans with one number per class as result, no sort, no shuffle
-    and no task per class. Classes are few. Rows whose hashes are equal at the
-    limit go to the same side.
+    follows from the class size, so what is needed is the hash at that rank, for
+    every class at once; it then meets the rows, without a shuffle for large
+    classes or for few. Rows whose hashes are equal at the limit go to the same
+    side.
     """
-    sizes = class_sizes(df, label)
     hashed = row_number_hash(key, seed)
-    numbers = df.select(col(label).alias("c"), hashed.alias("h"))
-    ranks = {c: int(n * test_share + 0.5) - 1 for c, n in sizes.items() if int(n * test_share + 0.5)}
-    series = {c: F.when(F.col("c").eqNullSafe(F.lit(c)), F.col("h")) for c in ranks}
-    # hashes are spread evenly, so the limit lies close to its share of their range
-    reach = {c: 6 * math.sqrt(test_share * (1 - test_share) / sizes[c]) for c in ranks}
-    guesses = {
-        c: (sizes[c], max(test_share - r, 0.0) * HASH_RANGE, min(test_share + r, 1.0) * HASH_RANGE)
-        for c, r in reach.items()
-    }
-    limits = ranked_values(numbers, series, ranks, guesses) if ranks else {}
-    limit = F.lit(-1).cast("bigint")
-    for c, value in limits.items():
-        limit = F.when(col(label).eqNullSafe(F.lit(c)), F.lit(int(value))).otherwise(limit)
-    return df.withColumn("split", F.when(hashed <= limit, "test").otherwise("train"))
+    wanted = F.floor(F.col("n") * F.lit(float(test_share)) + 0.5).cast("bigint")
+    limits = grouped_ranks(df, col(label), hashed, {"_limit": wanted - 1})
+    limits = materialized(limits.select(F.col("key").alias("_class"), "n", "_limit"), "split-limits")
+    marked = attach_any(df.withColumn("_class", group_key(col(label))), limits, "_class", "n")
+    split = F.when(hashed <= F.col("_limit"), "test").otherwise("train").alias("split")
+    return marked.select(*[col(c) for c in df.columns], split)
 
 
 def assign_folds(df: DataFrame, key: Sequence[str], folds: int = FOLDS, seed: int = 42) -> DataFrame:
@@ -73,22 +55,35 @@ def assign_folds(df: DataFrame, key: Sequence[str], folds: int = FOLDS, seed: in
     return df.withColumn("fold", F.pmod(row_number_hash(key, seed), F.lit(folds)).cast("int"))
 
 
-def _weights(sizes: dict) -> dict:
-    total = sum(sizes.values())
-    return {c: total / (len(sizes) * n) for c, n in sizes.items()}
-
-
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Weight per class that makes all classes count the same in training."""
-    sizes = class_sizes(df, label)
-    rows = [(c, sizes[c], w) for c, w in _weights(sizes).items()]
-    kind = df.schema[label].dataType.simpleString()
-    return df.sparkSession.createDataFrame(rows, f"label {kind}, label_count bigint, class_weight double")
+    sizes = df.groupBy(col(label).alias("label")).agg(F.count("*").alias("label_count"))
+    total, classes = sizes.agg(F.sum("label_count"), F.count("*")).first()
+    return sizes.withColumn("class_weight", F.lit(float(total or 0)) / (F.lit(classes) * F.col("label_count")))
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     """The weight of its class on each row."""
-    out = F.lit(None).cast("double")
-    for value, weight in _weights(class_sizes(df, label)).items():
-        out = F.when(col(label).eqNullSafe(F.lit(value)), weight).otherwise(out)
-    return df.withColumn("class_weight", out)
+    weights = class_weights(df, label).select(group_key(F.col("label")).alias("_class"), "label_count", "class_weight")
+    marked = attach_any(
+        df.withColumn("_class", group_key(col(label))), materialized(weights, "class-weights"), "_class", "label_count"
+    )
+    return marked.select(*[col(c) for c in df.columns], "class_weight")
+
+
+def oversample(df: DataFrame, label: str, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """Rows repeated until every class is as large as the largest (random oversampling).
+
+    Every row comes whole numbers of times; the rows that come once more are
+    those whose hash of key and seed is in the remaining share, so the sizes are
+    equal up to chance and the result is the same in every run.
+    """
+    sizes = df.groupBy(group_key(col(label)).alias("_class")).agg(F.count("*").alias("_n"))
+    sizes = materialized(sizes, "class-sizes")
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    marked = attach_any(df.withColumn("_class", group_key(col(label))), sizes, "_class", "_n")
+    times = F.lit(float(largest)) / F.col("_n")
+    extra = row_number_hash(key, seed) < F.floor((times - F.floor(times)) * F.lit(float(HASH_RANGE)))
+    copies = (F.floor(times) + extra.cast("bigint")).cast("int")
+    repeated = marked.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    return repeated.select(*[col(c) for c in df.columns])

@@ -258,18 +258,18 @@ def profile_outliers_iqr_customers(spark, sf_dir):
 
 @query
 def profile_categorical(spark, sf_dir):
-    return profiling.categorical_summary(profiling.value_counts(customers(spark, sf_dir)))
+    return profiling.categorical_summary(customers(spark, sf_dir))
 
 
 @query
 def profile_top5(spark, sf_dir):
-    return profiling.top_values(profiling.value_counts(table(spark, sf_dir, "documents")))
+    return profiling.top_values(table(spark, sf_dir, "documents"))
 
 
 @query
 def profile_cardinality(spark, sf_dir):
     rows = customers(spark, sf_dir)
-    return profiling.cardinality_classes(profiling.value_counts(rows), rows.count())
+    return profiling.cardinality_classes(rows, rows.count())
 
 
 @query

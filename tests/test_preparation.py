@@ -5,7 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.operators import cleaning, encoding, features, scaling
+from tabloom.functions import joins as joins_module
+from tabloom.operators import cleaning, encoding, exploring, features, profiling, reporting, scaling, splitting
 from tabloom.plans.prepare import apply_preparation, prepare
 from tabloom.plans.transform import transform
 
@@ -92,7 +93,7 @@ def _words(spark):
 @pytest.mark.parametrize("small", [True, False])
 def test_labels_are_ranks(spark, monkeypatch, small):
     if not small:
-        monkeypatch.setattr(encoding, "SMALL_ROWS", 0)
+        monkeypatch.setattr(joins_module, "SMALL", 0)
     df = _words(spark)
     out = encoding.encode_label(df, "w", encoding.label_dictionary(df, "w"))
     words = {r.id: r.w for r in df.collect()}
@@ -100,13 +101,24 @@ def test_labels_are_ranks(spark, monkeypatch, small):
     assert {r.id: r.w for r in out.collect()} == {i: codes.get(w) for i, w in words.items()}
 
 
-def test_hot_values_do_not_reach_the_shuffled_join(spark, monkeypatch):
-    monkeypatch.setattr(encoding, "SMALL_ROWS", 0)
-    monkeypatch.setattr(encoding, "SALTS", 50)
-    df = _words(spark)
+@pytest.mark.parametrize("long", [False, True])
+def test_hot_values_do_not_reach_the_shuffled_join(spark, monkeypatch, long):
+    """The rows of the shuffled branch hold no value, null or text, more often than its share."""
+    monkeypatch.setattr(joins_module, "SMALL", 0)
+    df = _words(spark).select((F.concat(F.col("w"), F.lit("x" * 9000)) if long else F.col("w")).alias("w"))
+    shuffled = []
+    join = type(df).join
+
+    def watched(self, other, on=None, how=None):
+        if how == "left":
+            shuffled.append(self)
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(type(df), "join", watched)
     looked_up = encoding._lookup(df, "w", encoding.label_dictionary(df, "w"), "code")
-    plan = looked_up._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("LeftOuter") == 2
+    assert looked_up.count() == 6000 and looked_up.where("_found IS NULL").count() == looked_up.where("w IS NULL").count()
+    assert len(shuffled) == 1
+    assert shuffled[0].groupBy("_key").count().agg(F.max("count")).first()[0] <= 6000 / joins_module.HOT_SHARE + 1
 
 
 def test_target_means(spark):
@@ -198,3 +210,49 @@ def test_whole_preparation_ignores_row_order(spark):
     assert one.where("Churn NOT IN (0, 1)").count() == 0
     flags = [c for c in one.columns if c.startswith("tenure_") and c.endswith(("year", "years")) and c != "tenure_years"]
     assert one.where(" + ".join(f"`{c}`" for c in flags) + " > 1").count() == 0
+
+
+def test_categories_up_to_any_limit(spark):
+    df = spark.range(4000).selectExpr("concat('v', id % 2000) AS c", "concat('w', id) AS d")
+    found = encoding.fit_categories(df, ["c", "d"], limit=2500)
+    assert len(found["c"]) == 2000 and "d" not in found
+    assert encoding.fit_categories(df, ["c", "d"]) == {}
+
+
+def test_classes_may_be_many(spark):
+    df = spark.range(3000).selectExpr("id", "id % 301 AS c", "CAST(id AS double) AS v")
+    assert splitting.class_weights(df, "c").count() == 301
+    weighted = splitting.with_class_weight(df, "c")
+    assert weighted.count() == 3000 and weighted.where("class_weight IS NULL").count() == 0
+    marked = splitting.stratified_split(df, ["id"], "c")
+    tests = marked.groupBy("c").agg({"split": "count"}).count(), marked.where("split = 'test'").count()
+    assert tests == (301, 602)  # two of each ten, or nine, rows
+    boxes = exploring.boxplot_by_class(df, "v", "c").collect()
+    assert len(boxes) == 301 and all(b["min_value"] <= b["q1"] <= b["median"] <= b["q3"] <= b["max_value"] for b in boxes)
+
+
+def test_labels_of_long_and_frequent_texts(spark):
+    long = "x" * 10_000
+    df = spark.createDataFrame([(long,)] * 50 + [(None,)] * 50 + [(f"v{i}",) for i in range(60)], "t string")
+    dictionary = encoding.label_dictionary(df, "t")
+    coded = encoding.encode_label(df, "t", dictionary)
+    assert coded.where("t IS NULL").count() == 50
+    assert coded.groupBy("t").count().where("count = 50 AND t IS NOT NULL").count() == 1
+    joins_module.SMALL, small = 0, joins_module.SMALL
+    try:  # the way for dictionaries too large to broadcast gives the same
+        assert sorted(map(str, encoding.encode_label(df, "t", dictionary).collect())) == sorted(map(str, coded.collect()))
+    finally:
+        joins_module.SMALL = small
+
+
+def test_oversampling_evens_classes(spark):
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END AS c")
+    sizes = {r["c"]: r["count"] for r in splitting.oversample(df, "c", ["id"]).groupBy("c").count().collect()}
+    assert sizes[0] == 2700 and abs(sizes[1] - 2700) < 60
+
+
+def test_tables_with_maps_are_profiled(spark):
+    df = spark.sql("SELECT map('a', 1) AS m, CAST('NaN' AS double) AS x UNION ALL SELECT map('a', 1), NULL")
+    assert [r["column_name"] for r in profiling.constant_columns(df).collect()] == ["m"]
+    assert profiling.duplicate_rows(df).first()["duplicate_rows"] == 1
+    assert reporting.validate(df, "maps").count() > 0

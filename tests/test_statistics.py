@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import quantiles as Q
 from tabloom.functions.expressions import bin_flags, bin_label, clip, ratio, recoded, row_sum
+from tabloom.functions import joins
 from tabloom.functions.ordering import with_running_totals
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -34,7 +35,7 @@ def test_narrowing_equals_numpy(spark, narrow):
         "wide": rng.standard_cauchy(n) * 1e12,
         "same": np.full(n, -2.5),
     }
-    found = Q.column_quantiles(frame(spark, **columns), list(columns), PROBS, direct_rows=0)
+    found = Q.column_quantiles(frame(spark, **columns), list(columns), PROBS)
     for name, values in columns.items():
         np.testing.assert_allclose(found[name], np.quantile(values.astype(float), PROBS), rtol=1e-12)
 
@@ -53,11 +54,53 @@ def test_wrong_guess_is_corrected(spark, narrow):
         assert Q.ranked_values(df, {"x": F.col("x")}, {"x": 421}, {"x": guess}) == {"x": 421.0}
 
 
-def test_direct_and_narrow_agree_and_skip_missing(spark):
+def test_missing_values_do_not_count(spark):
     df = frame(spark, x=[None, 3, 1, None, 2, float("nan"), 10], empty=[None] * 7)
-    direct = Q.column_quantiles(df, ["x", "empty"], [0.25, 0.5])
-    narrowed = Q.column_quantiles(df, ["x", "empty"], [0.25, 0.5], direct_rows=0)
-    assert direct == narrowed == {"x": [1.75, 2.5], "empty": [None, None]}
+    assert Q.column_quantiles(df, ["x", "empty"], [0.25, 0.5]) == {"x": [1.75, 2.5], "empty": [None, None]}
+
+
+@pytest.mark.parametrize("n", [1_000, 150_000])
+def test_infinities_at_any_size(spark, n):
+    """The same shares of infinities give the same answer in a small and in a large table."""
+    inf = "CAST('Infinity' AS double)"
+    df = spark.range(n).selectExpr(
+        f"CASE WHEN id % 10 = 0 THEN {inf} WHEN id % 10 = 1 THEN -{inf} ELSE id % 10 END AS x", "id % 10 AS plain"
+    )
+    found = Q.column_quantiles(df, ["x", "plain"], [0.0, 0.05, 0.5, 0.95, 1.0])
+    assert found["x"] == [float("-inf"), float("-inf"), 5.5, float("inf"), float("inf")]
+    assert found["plain"] == [0.0, 0.0, 4.5, 9.0, 9.0]
+
+
+def test_quantiles_of_many_groups(spark):
+    """More than 200 groups, one of them large, one with ties, one infinite, one without values."""
+    rng = np.random.default_rng(3)
+    rows = [(f"g{i % 300}", float(v)) for i, v in enumerate(rng.integers(0, 50, 6000))]
+    rows += [("hot", float(v)) for v in rng.random(5000)] + [("inf", float("inf")), ("inf", 1.0), ("none", None), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    found = Q.grouped_quantiles(df, F.col("g"), F.col("v"), {"a": 0.25, "b": 0.5, "c": 1.0}).collect()
+    by = {}
+    for g, v in rows:
+        if v is not None:
+            by.setdefault(g, []).append(v)
+    got = {r["key"]: (r["a"], r["b"], r["c"]) for r in found}
+    keys = {g: spark.range(1).select(Q.group_key(F.lit(g))).first()[0] for g in (None, "hot", "inf", "g7")}
+    assert len(got) == len(by)
+    for g in (None, "hot", "g7"):
+        np.testing.assert_allclose(got[keys[g]], np.quantile(by[g], [0.25, 0.5, 1.0]))
+    assert got[keys["inf"]] == (float("inf"), float("inf"), float("inf"))
+
+
+def test_frequent_keys_are_not_shuffled(spark):
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 5 = 0 THEN NULL ELSE cast(id % 3000 AS string) END AS k", "id")
+    groups = rows.where("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    for how in ("left", "inner"):
+        got = joins.attach(rows, groups, "k", "n", how)
+        want = rows.join(groups, "k", how)
+        assert sorted(map(str, got.select("k", "id", "n", "top").collect())) == sorted(
+            map(str, want.select("k", "id", "n", "top").collect())
+        )
+    hot = groups.where(F.col("n") > 20)
+    assert [r["k"] for r in hot.collect()] == ["hot"]
 
 
 def test_running_totals_over_many_ranges(spark):
