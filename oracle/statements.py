@@ -345,9 +345,21 @@ TABLES = {
     "part": (["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"], ["p_name", "p_brand", "p_type"], []),
     "region": (["r_regionkey", "r_name"], ["r_name"], []),
     "supplier": (["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], ["s_name"], []),
+    "documents": (["doc_id", "text", "lang", "source", "n_chars"], ["text", "lang", "source"], []),
+    "embeddings": (["vec_id", "embedding", "label"], [], ["embedding"]),
+    "pages": (["page_id", "url", "html"], ["url", "html"], []),
+    "benchmark": (["item_id", "text"], ["text"], []),
+    "labels": (["doc_id", "quality", "toxic"], [], []),
+    "conversations": (["conv_id", "turn", "role", "text"], ["role", "text"], []),
 }
 
 
+def scaled_cell(c: str) -> str:
+    """Distance from the mean in population standard deviations; a spread of 0 counts as 1."""
+    spread = f"(select stddev_pop({q(c)}) from featured)"
+    return f"({q(c)} - (select avg({q(c)}) from featured)) / coalesce(nullif({spread}, 0), 1)"
+
+
 def table_measures(name: str) -> str:
     columns, texts, other = TABLES[name]
     return measures(name, name, columns, [c for c in columns if c not in texts + other], texts)
@@ -365,9 +377,12 @@ def fingerprint(parts) -> str:
     return f"cast(sum({md5_number(parts, 15)}::decimal(38,0)) as varchar)"
 
 
-LINE_TEXTS = [*LINE_KEYS, "l_returnflag", "l_linestatus", "l_shipdate", "cents"]
-LINE_TABLE = f"""(select {', '.join(LINE_KEYS)}, l_returnflag, l_linestatus, cast(l_shipdate as date) as l_shipdate,
-    cast(floor(l_extendedprice * 100 + 0.5) as bigint) as cents from lineitem)"""
+def exact(c: str) -> str:
+    """A double as the number of its millionths, as fingerprints count it."""
+    return f"cast(cast(floor({c} * 1000000.0::double + 0.5::double) as bigint) as varchar)"
+
+
+LINE_PRINT = fingerprint([exact(c) if c in MONEY else f"{c}::varchar" for c in LINE_TYPES])
 EVENT_SETS = """(select event_type as name, cast(cast(ts as date) as varchar) as version, ts, user_id, value, props from events)"""
 
 
@@ -430,13 +445,15 @@ def statements() -> dict[str, str]:
         "max(customerID) as last_customer from cp, (values ('store_a'), ('store_b')) s(source) group by source"
     )
     out["raw_zone_write"] = """select event_type as source, cast(cast(ts as date) as varchar) as ingest_date, 'events' as data_type,
-        count(*) as row_count, 6 as column_count, 'event_id,ts,user_id,event_type,value,props' as columns
-        from events group by 1, 2"""
-    out["raw_zone_catalog"] = """select event_type as source, cast(cast(ts as date) as varchar) as ingest_date, count(*) as row_count
+        count(*) as row_count, 6 as column_count, 'event_id,ts,user_id,event_type,value,props' as columns, true as has_files
         from events group by 1, 2"""
+    out["raw_zone_catalog"] = """select event_type as source, cast(cast(ts as date) as varchar) as ingest_date, count(*) as row_count,
+        true as has_files, true as files_are_distinct from events group by 1, 2"""
+    out["raw_zone_expire"] = """select event_type as source, cast(cast(ts as date) as varchar) as ingest_date, count(*) as row_count
+        from events where cast(ts as date) >= date '2024-01-21' group by 1, 2"""
     out["raw_zone_retention"] = """select event_type as source,
         case when cast(ts as date) < date '2024-01-21' then 'expired' else 'kept' end as state,
-        count(distinct cast(ts as date)) as day_count, count(*) as row_count from events group by 1, 2"""
+        count(distinct cast(ts as date)) as day_count, count(*) as row_count, true as has_files from events group by 1, 2"""
     out["raw_zone_summary"] = """select event_type as source, count(*) as row_count,
         count(distinct cast(ts as date)) as day_count, 6 as column_count from events group by 1"""
     out["prepared_table_metadata"] = (
@@ -651,14 +668,25 @@ def statements() -> dict[str, str]:
         for c in PREPARED_COLUMNS if c not in ("customerID", "Churn")
     )
     out["label_distribution"] = f"with {PREPARED} select Churn as label, count(*) as label_count from prepared group by 1"
-    line_print = fingerprint([f"{c}::varchar" for c in LINE_TEXTS])
-    out["dataset_fingerprint"] = f"select count(*) as row_count, {line_print} as fingerprint from {LINE_TABLE}"
-    out["version_record"] = f"""select count(*) as row_count, 7 as feature_count, '{','.join(c for c in LINE_TEXTS if c != 'l_returnflag')}' as columns,
-        {line_print} as fingerprint, 'Data version - ' || count(*) || ' rows, 7 features' as message from {LINE_TABLE}"""
+    others = [c for c in LINE_TYPES if c != "l_returnflag"]
+    out["dataset_fingerprint"] = f"select count(*) as row_count, {LINE_PRINT} as fingerprint from lineitem"
+    out["version_record"] = f"""select count(*) as row_count, {len(others)} as feature_count, '{','.join(others)}' as columns,
+        {LINE_PRINT} as fingerprint, 'Data version - ' || count(*) || ' rows, {len(others)} features' as message from lineitem"""
+    event_print = fingerprint(["event_id::varchar", "ts::varchar", "user_id::varchar", "event_type", exact("value"), "props"])
     out["version_history"] = f"""select *, row_count - lag(row_count) over w as row_change,
         coalesce(fingerprint <> lag(fingerprint) over w, true) as content_changed
-        from (select name, version, count(*) as row_count, {fingerprint(['user_id::varchar', 'props'])} as fingerprint from {EVENT_SETS} group by 1, 2)
+        from (select event_type as name, cast(cast(ts as date) as varchar) as version, count(*) as row_count, {event_print} as fingerprint
+              from events group by 1, 2)
         window w as (partition by name order by version)"""
+    out["version_log"] = f"""with v as (
+          select count(*) as n, {LINE_PRINT} as f, count(*) filter (l_returnflag <> 'R') as m,
+                 (select {LINE_PRINT} from lineitem where l_returnflag <> 'R') as g from lineitem)
+        select 'v20240101_000000' as version_tag, n as row_count, f as fingerprint, null::bigint as row_change, true as content_changed from v
+        union all select 'v20240102_000000', n, f, 0, false from v
+        union all select 'v20240103_000000', m, g, m - n, f <> g from v"""
+    out["stored_feature_catalog"] = typed + """, c as (select distinct customerID, tenure, MonthlyCharges, TotalCharges, Churn from typed)
+        select 'charges' as name, 'a' as version, count(*) filter (tenure > 0) as row_count, 3 as feature_count, 3::bigint as catalog_rows from c
+        union all select 'money', 'a', count(*), 2, 2 from c"""
 
     # models
     out["model_matrix"] = typed + (
@@ -701,7 +729,22 @@ def statements() -> dict[str, str]:
         select 'validate', dataset, found, {len(COLUMNS)} from s, i union all
         select 'prepare', dataset, ready, {len(PREPARED_COLUMNS)} from s, p union all
         select 'transform', 'store_a', ready, {len(FEATURED_COLUMNS)} from p union all
-        select 'version', 'store_a', ready, {len(FEATURED_COLUMNS) - 1} from p"""
+        select 'version', 'store_a', ready, {len(FEATURED_COLUMNS) - 1} from p union all
+        select 'train', 'store_a', 4, {len(NUMERIC_FEATURES)}"""
+    tests = f"""{PREPARED}, r as (select Churn, row_number() over (partition by Churn order by {split_hash(['customerID'])})
+          <= floor(count(*) over (partition by Churn) * 0.2 + 0.5) as is_test from prepared),
+        t as (select count(*) as test_rows, count(*) filter (Churn = 1) as positive_rows from r where is_test)"""
+    facts = "test_rows, positive_rows, true as shares_in_range, true as accuracy_agrees from t"
+    out["trained_model_facts"] = f"""with {tests} select model, {facts}, (values ('logistic_regression'), ('random_forest'),
+        ('gradient_boosting'), ('linear_svc')) m(model)"""
+    out["weighted_model_facts"] = f"with {tests} select 'logistic_regression' as model, {facts}"
+    out["best_model_facts"] = f"""select section, item_count, true as is_top from (values ('comparison', 20::bigint), ('best_model', 1),
+        ('importance', {len(NUMERIC_FEATURES)})) s(section, item_count)"""
+    out["importance_facts"] = f"select {len(NUMERIC_FEATURES)}::bigint as feature_count, true as sums_to_one, true as none_negative"
+    out["fold_facts"] = f"""with {PREPARED} select cast({split_hash(['customerID'])} % 5 as int) as fold, count(*) as row_count,
+        true as summary_agrees from prepared group by 1"""
+    out["component_facts"] = "select range::int as component, true as not_above_the_one_before, true as is_share from range(1, 6)"
+    out["tuning_facts"] = "select penalty::double as penalty, true as is_share from (values (0.001), (0.01), (0.1)) p(penalty)"
 
     # stated goals
     out["target_encoding"] = cp + f""", g as (select avg(case when Churn = 'Yes' then 1.0::double else 0 end) as overall from cp),
@@ -736,6 +779,32 @@ def statements() -> dict[str, str]:
         count(*) filter (value is null) as missing_count, count(*) filter (value < 0) as negative_count,
         cast(sum(cast(floor(value * 100) as bigint)) as bigint) as total_cents from events group by 1, 2"""
     out["window_quality_batch"] = windows
-    out["window_quality_stream"] = f"""select * from ({windows}) where window_start + interval 1 hour
-        <= (select max(ts) - interval 10 minute from events)"""
+    out["window_quality_stream"] = windows
+    out["stream_scores"] = f"with {streamed} select customerID, Churn as label, true as is_valid from featured"
+    bins = {"tenure": TENURE_BINS, "monthly_charges": MONTHLY_BINS, "total_charges": TOTAL_BINS}
+    flags_left = {f"{prefix}_{name}" for prefix, groups in bins.items() for name, _, _ in groups}
+    cells = union(
+        f"select customerID, '{c}' as column_name, {rnd(f'{q(c)}::double' if c in flags_left else scaled_cell(c))} as value from featured"
+        for c in NUMERIC_FEATURES
+    )
+    out["transform_scaled"] = f"""with {FEATURED}, best as (select column_name from ({anova()}) join (values {places}) p(column_name, place) using (column_name)
+        order by round(f_score, 6) desc nulls last, place desc limit 20)
+        select * from ({cells}) where column_name in (select column_name from best)
+        union all select customerID, 'Churn', Churn::double from featured"""
+    long = union(f"select customerID, '{c}' as column_name, {q(c)}::double as value from featured" for c in NUMERIC_FEATURES)
+    out["eda_correlation_features"] = f"""with {FEATURED}, long as ({long}),
+        c as (select a.column_name as column_a, b.column_name as column_b, corr(a.value, b.value) as r
+              from long a join long b using (customerID) group by 1, 2)
+        select column_a, column_b, {rnd('r', 4)} as correlation from c where r is not null and not isnan(r)"""
+    price = lambda p: rnd(f"quantile_cont(o_totalprice, {p})")
+    out["eda_boxplot_by_customer"] = f"""select o_custkey as class, count(o_totalprice) as value_count, {rnd('min(o_totalprice)')} as min_value,
+        {rnd('max(o_totalprice)')} as max_value, {price(0.25)} as q1, {price(0.5)} as median, {price(0.75)} as q3 from orders group by 1"""
+    out["oversampled_lines"] = f"""with n as (select l_returnflag as f, count(*) as n from lineitem group by 1),
+        t as (select f, (select max(n) from n)::double / n::double as times from n),
+        r as (select l_returnflag, l_orderkey, floor(times)::bigint
+              + case when {split_hash(LINE_KEYS)} < floor((times - floor(times)) * {16**13}.0::double) then 1 else 0 end as copies
+              from lineitem join t on f = l_returnflag)
+        select l_returnflag, cast(sum(copies) as bigint) as row_count, cast(sum(copies * l_orderkey) as bigint) as order_total from r group by 1"""
+    out["snapshot_fallback"] = """select 'fallback' as found, count(*) as row_count, cast(sum(o_orderkey) as bigint) as total from orders
+        union all select 'newest', count(*), cast(sum(o_orderkey) as bigint) from orders where o_orderstatus = 'F'"""
     return out

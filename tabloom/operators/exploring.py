@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, literal, nan_to_null, numeric_columns, quoted, without_nan
+from ..functions.columns import col, nan_to_null, numeric_columns, without_nan
 from ..functions.quantiles import group_key, grouped_quantiles
 
 
@@ -43,19 +46,43 @@ def boxplot_by_class(df: DataFrame, column: str, by: str) -> DataFrame:
 
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of all pairs of numeric columns, in one aggregate."""
+    """Pearson correlation of all pairs of numeric columns, over the rows that have both values.
+
+    Each task adds up products of whole columns with matrix products, once for
+    its rows; what is shuffled is a few sums for each pair. Values are counted
+    from the minimum of their column, so constant columns are recognised and
+    large values lose no digits.
+    """
     columns = numeric_columns(df) if columns is None else list(columns)
-    clean = nan_to_null(df.select(*[col(c) for c in columns]))
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = clean.agg(
-        *[F.expr(f"corr({quoted(a)}, {quoted(b)}) AS r{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows.append((a, b, i))
-        if a != b:
-            rows.append((b, a, i))
-    cells = ", ".join(
-        f"named_struct('column_a', {literal(a)}, 'column_b', {literal(b)}, 'correlation', r{i})" for a, b, i in rows
+    clean = nan_to_null(df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]))
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
+    lows = clean.agg(*[F.coalesce(F.min(c), F.lit(0.0)) for c in clean.columns]).first()
+    lows = [low if math.isfinite(low) else 0.0 for low in lows]
+    sums = clean.mapInArrow(partial(_pair_sums, lows), "a int, b int, n double, x double, y double, xx double, yy double, xy double")
+    total = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread = lambda s, ss: F.col(ss) - F.col(s) * F.col(s) / F.col("n")
+    shared = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    room = F.sqrt(spread("x", "xx")) * F.sqrt(spread("y", "yy"))
+    value = F.when((F.col("n") > 0) & (spread("x", "xx") > 0) & (spread("y", "yy") > 0), shared / room)
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.select(
+        F.get(names, F.col("a")).alias("column_a"), F.get(names, F.col("b")).alias("column_b"), value.alias("correlation")
     )
-    return wide.select(F.expr(f"inline(array({cells}))"))
+
+
+def _pair_sums(lows, batches):
+    """For each pair of columns: rows with both, sums, sums of squares and of products."""
+    size = len(lows)
+    totals = np.zeros((6, size, size))
+    for batch in batches:
+        table = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        x = np.array(table, dtype=float).reshape(size, batch.num_rows) - np.array(lows)[:, None]
+        there = ~np.isnan(x)
+        x, there = np.where(there, x, 0.0), there.astype(float)
+        first = x @ there.T
+        squares = (x * x) @ there.T
+        totals += np.stack([there @ there.T, first, first.T, squares, squares.T, x @ x.T])
+    a, b = np.indices((size, size)).reshape(2, -1)
+    columns = [pa.array(a, pa.int32()), pa.array(b, pa.int32()), *[pa.array(t.ravel()) for t in totals]]
+    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", "x", "y", "xx", "yy", "xy"])

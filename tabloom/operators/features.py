@@ -36,6 +36,13 @@ def total_group(value: Column) -> Column:
     return bin_label(value, TOTAL_EDGES, CHARGE_LABELS)
 
 
+def bin_flag_columns(names: Sequence[str]) -> list[str]:
+    """The 0/1 columns of tenure and charge groups among the names."""
+    flags = {f"tenure_{label}" for label in TENURE_LABELS}
+    flags |= {f"{prefix}_{label}" for prefix in ("monthly_charges", "total_charges") for label in CHARGE_LABELS}
+    return [name for name in names if name in flags]
+
+
 def add_tenure_features(df: DataFrame) -> DataFrame:
     """Tenure in years, squared, logged, and one flag per tenure group."""
     if "tenure" not in df.columns:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -23,7 +22,8 @@ from .cleaning import fill_missing, fit_fill
 from .evaluation import best_model, compare_models, confusion, metrics, roc_auc
 
 SEED = 42
-ROWS_PER_TASK = 25_000
+TOLERANCE = 1e-4  # of the linear models
+FOREST_DEPTH = 10  # MLlib allows 30; deeper trees cost memory that doubles with each level
 SCALED = ("logistic_regression", "linear_svc")
 
 
@@ -56,7 +56,9 @@ def model_matrix(df: DataFrame, target: str = "Churn", keys: Sequence[str] = ())
     return Matrix(frame, features, label, list(keys))
 
 
-def estimators(label: str, rows: int, rounds: int = 100, weight: str | None = None) -> dict[str, Callable]:
+def estimators(
+    label: str, rows: int, rounds: int = 100, weight: str | None = None, forest_depth: int = FOREST_DEPTH
+) -> dict[str, Callable]:
     """The four classifiers with the settings they are compared with.
 
     Linear models get an L2 penalty of 1 / rows, which is a cost factor of 1
@@ -67,15 +69,15 @@ def estimators(label: str, rows: int, rounds: int = 100, weight: str | None = No
     penalty = 1.0 / max(rows, 1)
     return {
         "logistic_regression": lambda: LogisticRegression(
-            maxIter=1000, regParam=penalty, elasticNetParam=0.0, standardization=False, **columns
+            maxIter=1000, tol=TOLERANCE, regParam=penalty, elasticNetParam=0.0, standardization=False, **columns
         ),
         "random_forest": lambda: RandomForestClassifier(
-            numTrees=rounds, maxDepth=10, seed=SEED, cacheNodeIds=True, checkpointInterval=10, **columns
+            numTrees=rounds, maxDepth=forest_depth, seed=SEED, cacheNodeIds=True, checkpointInterval=10, **columns
         ),
         "gradient_boosting": lambda: GBTClassifier(
             maxIter=rounds, maxDepth=3, stepSize=0.1, seed=SEED, checkpointInterval=10, **columns
         ),
-        "linear_svc": lambda: LinearSVC(maxIter=100, regParam=penalty, standardization=False, **columns),
+        "linear_svc": lambda: LinearSVC(maxIter=100, tol=TOLERANCE, regParam=penalty, standardization=False, **columns),
     }
 
 
@@ -97,11 +99,7 @@ def train(
     unevenly frequent classes.
     """
     workspace(rows.sparkSession)  # tree training checkpoints its lineage there
-    n = rows.count()
-    if name in SCALED:
-        # a linear step is cheap per row, so a small table is not spread over many tasks
-        rows = rows.coalesce(math.ceil(n / ROWS_PER_TASK) or 1)
-    estimator = estimators(matrix.label, n, rounds, weight)[name]()
+    estimator = estimators(matrix.label, rows.count(), rounds, weight)[name]()
     return Pipeline(stages=[*_assembled(matrix.features, name), estimator]).fit(rows)
 
 
@@ -196,11 +194,14 @@ def principal_components(matrix: Matrix, k: int) -> tuple[PipelineModel, DataFra
 
 def tune_logistic(matrix: Matrix, folded: DataFrame, penalties: Sequence[float], folds: int = 5) -> DataFrame:
     """Mean area under the ROC curve over the folds for each penalty."""
-    estimator = LogisticRegression(maxIter=1000, labelCol=matrix.label, featuresCol="features", standardization=False)
+    estimator = LogisticRegression(
+        maxIter=1000, tol=TOLERANCE, labelCol=matrix.label, featuresCol="features", standardization=False
+    )
     grid = ParamGridBuilder().addGrid(estimator.regParam, list(penalties)).build()
-    prepared = Pipeline(stages=_assembled(matrix.features, "logistic_regression")).fit(folded).transform(folded)
+    # scaling is part of what is searched, so no fold is scaled by its own held-out rows
+    whole = Pipeline(stages=[*_assembled(matrix.features, "logistic_regression"), estimator])
     search = CrossValidator(
-        estimator=estimator,
+        estimator=whole,
         estimatorParamMaps=grid,
         evaluator=BinaryClassificationEvaluator(labelCol=matrix.label, metricName="areaUnderROC"),
         numFolds=folds,
@@ -208,7 +209,7 @@ def tune_logistic(matrix: Matrix, folded: DataFrame, penalties: Sequence[float],
         seed=SEED,
         parallelism=4,
     )
-    means = search.fit(prepared.select("features", matrix.label, "fold")).avgMetrics
+    means = search.fit(folded.select(*[col(c) for c in matrix.features], matrix.label, "fold")).avgMetrics
     rows = [(float(p), float(m)) for p, m in zip(penalties, means)]
     return folded.sparkSession.createDataFrame(rows, "penalty double, mean_auc double")
 

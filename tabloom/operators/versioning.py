@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col
 from ..functions.expressions import hash_number
@@ -18,13 +19,29 @@ RECORD_SCHEMA = (
 )
 
 
+DIGITS = 6
+
+
+def _part(field: T.StructField) -> Column:
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        value = col(field.name).cast("double")
+        scaled = F.floor(value * F.lit(10.0**DIGITS) + 0.5)
+        small = F.abs(value) < F.lit(9e18 / 10**DIGITS)  # larger ones, and NaN, count as written
+        return F.when(small, scaled.cast("string")).otherwise(value.cast("string"))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(F.struct(col(field.name)))
+    return col(field.name)
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Row count and a content hash that does not depend on row order or partitioning.
 
     Equal rows count as often as they occur, so copies change the result.
+    Doubles count to ``DIGITS`` digits after the point, a form every engine can
+    repeat; maps and other nested values count as JSON.
     """
     columns = [c for c in df.columns if c not in by] if columns is None else list(columns)
-    row_hash = hash_number([col(c) for c in columns], FINGERPRINT_DIGITS).cast("decimal(38,0)")
+    row_hash = hash_number([_part(df.schema[c]) for c in columns], FINGERPRINT_DIGITS).cast("decimal(38,0)")
     return df.groupBy(*by).agg(
         F.count("*").alias("row_count"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("fingerprint")
     )

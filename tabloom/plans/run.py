@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import feature_store, versioning
+from ..operators.reporting import is_wide
 from ..sources import raw_zone, snapshots
 from .prepare import KEY, prepare_all
-from .train import train_and_compare, training_matrix
+from .train import save, train_and_compare, training_matrix
 from .transform import transform
 from .validate import validate_tables
 
@@ -30,7 +32,8 @@ def run(
 
     Features come from the first table. A stage reads what the stage before
     wrote, so a failed run can be taken up again from the last written table.
-    Errors are raised, not recorded.
+    Models and their results are saved under ``training``. A prepared table with
+    very many columns is warned about. Errors are raised, not recorded.
     """
     spark = next(iter(tables.values())).sparkSession
     stages = []
@@ -51,6 +54,8 @@ def run(
         log = snapshots.save_table(df, f"{root}/prepared", source).first()
         prepared[source] = snapshots.load_latest(spark, f"{root}/prepared", source)
         stages.append(("prepare", source, log.row_count, log.column_count))
+        if is_wide(prepared[source]):
+            warnings.warn(f"{source} has {log.column_count} columns after preparation", stacklevel=2)
 
     first = next(iter(tables))
     table = transform(prepared[first], (key,))
@@ -63,5 +68,6 @@ def run(
 
     if train_models:
         training = train_and_compare(training_matrix(features, keys=(key,)), rounds)
-        stages.append(("train", training.best, training.results.count(), len(training.matrix.features)))
+        save(training, f"{root}/training")
+        stages.append(("train", first, training.results.count(), len(training.matrix.features)))
     return spark.createDataFrame(stages, STAGE_SCHEMA)

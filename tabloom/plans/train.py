@@ -9,12 +9,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col
 from ..operators import models, splitting
 from ..operators.evaluation import best_model
 from ..sources.workspace import materialized
 from .prepare import KEY
 
 
+#: Partitions of a training table; for more rows than some ten million, pass more.
+PARTITIONS = 16
+
+
 @dataclass
 class Training:
     """Trained models with what they were measured on."""
@@ -25,14 +30,19 @@ class Training:
     best: str
 
 
-def training_matrix(table: DataFrame, target: str = "Churn", keys: Sequence[str] = (KEY,)) -> models.Matrix:
-    """Features with split and fold of each row, written once for the many scans of training."""
+def training_matrix(
+    table: DataFrame, target: str = "Churn", keys: Sequence[str] = (KEY,), partitions: int = PARTITIONS
+) -> models.Matrix:
+    """Features with split and fold of each row, written once for the many scans of training.
+
+    Rows go to a declared number of partitions by their key and are sorted
+    there: bagging draws by partition, so models depend on the rows and this
+    number, not on cores or on how the table happened to be cut.
+    """
     matrix = models.model_matrix(table, target, keys)
-    base = materialized(matrix.frame, "matrix")
-    slots = base.sparkSession.sparkContext.defaultParallelism
-    if base.count() < slots * models.ROWS_PER_TASK:
-        base = base.repartition(slots)  # growing trees is heavy per row: use every core
-    marked = splitting.assign_folds(splitting.stratified_split(base, keys, matrix.label), keys)
+    order = [col(k) for k in keys]
+    dealt = matrix.frame.repartition(partitions, *order).sortWithinPartitions(*order)
+    marked = splitting.assign_folds(splitting.stratified_split(materialized(dealt, "matrix"), keys, matrix.label), keys)
     return models.Matrix(marked, matrix.features, matrix.label, list(keys))
 
 
@@ -61,8 +71,14 @@ def load(matrix: models.Matrix, root: str) -> Training:
 
 
 def cross_validate_best(training: Training, rounds: int = 100) -> DataFrame:
-    """Scores per fold of the best classifier."""
-    return models.cross_validate(training.best, training.matrix, training.matrix.frame, rounds=rounds)
+    """Scores per fold of the best classifier, with mean and population standard deviation of its F1."""
+    scores = materialized(
+        models.cross_validate(training.best, training.matrix, training.matrix.frame, rounds=rounds), "fold-scores"
+    )
+    summary = models.cv_summary(scores).select("cv_mean_f1", "cv_std_f1").first()
+    return scores.withColumns(
+        {"model": F.lit(training.best), "cv_mean_f1": F.lit(summary.cv_mean_f1), "cv_std_f1": F.lit(summary.cv_std_f1)}
+    )
 
 
 def report(training: Training) -> DataFrame:

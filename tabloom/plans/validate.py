@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.jobs import side_by_side
 from ..operators.reporting import combined_summary, find_issues, validate
+from ..sources.workspace import tables_in
 
 
 def measure(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -24,6 +25,7 @@ def validate_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {"measures": measures, "issues": issues, "combined": combined_summary(measures, issues)}
 
 
-def validate_folder(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
-    """The named Parquet tables of a folder, each validated."""
+def validate_folder(spark: SparkSession, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The Parquet tables of a folder, each validated: the named ones, or whatever it holds."""
+    names = tables_in(spark, folder) if names is None else names
     return validate_tables({name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names})

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col
-from .workspace import delete_path, path_exists
+from .workspace import folder_of, materialized, path_exists
 
 PARTITIONS = ["source", "ingest_date"]
 MEGABYTE = 1024 * 1024
@@ -26,22 +27,23 @@ def store_raw(df: DataFrame, root: str, data_type: str, source, ingest_date) ->
     first: adaptive execution then splits a source that holds most of the rows
     over many files and packs small days together.
     """
-    rows = df.withColumns({"source": _value(source), "ingest_date": _value(ingest_date).cast("date")})
+    rows = df.withColumns({"source": _value(source).cast("string"), "ingest_date": _value(ingest_date).cast("date")})
     if isinstance(source, Column) or isinstance(ingest_date, Column):
         rows = rows.hint("rebalance", *[F.col(p) for p in PARTITIONS])
-    path = f"{root}/{data_type}"
+    spark, path = df.sparkSession, f"{root}/{data_type}"
+    # files that were there before are not of this write, so the input is evaluated once
+    before = None
+    if path_exists(spark, path):
+        before = materialized(load_raw(spark, root, data_type).select("_metadata.file_path").distinct(), "files-before")
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
         .parquet(path)
     )
-    listed = catalog(df.sparkSession, root, data_type)
-    if isinstance(source, Column) or isinstance(ingest_date, Column):
-        listed = listed.join(rows.select(*PARTITIONS).distinct(), PARTITIONS, "left_semi")
-    else:
-        day = F.lit(ingest_date).cast("date")
-        listed = listed.where((F.col("source") == source) & (F.col("ingest_date") == day))
+    listed = catalog(spark, root, data_type)
+    if before is not None:
+        listed = listed.join(before, "file_path", "left_anti")
     return listed.groupBy(*PARTITIONS).agg(
         F.lit(data_type).alias("data_type"),
         F.sum("row_count").alias("row_count"),
@@ -53,9 +55,17 @@ def store_raw(df: DataFrame, root: str, data_type: str, source, ingest_date) ->
 
 
 def load_raw(spark: SparkSession, root: str, data_type: str, source: str | None = None) -> DataFrame:
-    """Landed rows; a source restricts the scan to its folders."""
-    rows = spark.read.parquet(f"{root}/{data_type}")
-    return rows.where(F.col("source") == source) if source else rows
+    """Landed rows; a source restricts the scan to its folders.
+
+    Sources are texts and days are dates whatever they look like: folder names
+    are not guessed at, so a source "007" stays one.
+    """
+    path = f"{root}/{data_type}"
+    found = spark.read.parquet(path).schema
+    fields = [f for f in found if f.name not in PARTITIONS]
+    schema = T.StructType([*fields, T.StructField("source", T.StringType()), T.StructField("ingest_date", T.DateType())])
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.where(F.col("source") == source) if source is not None else rows
 
 
 def catalog(spark: SparkSession, root: str, data_type: str, source: str | None = None) -> DataFrame:
@@ -102,17 +112,17 @@ def drop_expired(
     """Removes expired days and returns the retention report from before.
 
     Whole day folders are removed, so nothing has to be rewritten; their number
-    is the number of partitions, not of rows.
+    is the number of partitions, not of rows. Folders are those of the listed
+    files, so names that Spark has escaped are found.
     """
-    listed = catalog(spark, root, data_type)
-    report = spark.createDataFrame(
-        retention(listed, as_of, days_to_keep).collect(), retention(listed, as_of, days_to_keep).schema
-    )
+    listed = materialized(catalog(spark, root, data_type), "catalog")
+    report = materialized(retention(listed, as_of, days_to_keep), "retention")
     limit = F.date_sub(F.lit(as_of).cast("date"), days_to_keep)
-    for row in listed.where(F.col("ingest_date") < limit).select(*PARTITIONS).distinct().collect():
-        folder = f"{root}/{data_type}/source={row.source}/ingest_date={row.ingest_date}"
-        if path_exists(spark, folder):
-            delete_path(spark, folder)
+    expired = listed.where(F.col("ingest_date") < limit).groupBy(*PARTITIONS).agg(F.min("file_path").alias("file_path"))
+    for row in expired.collect():
+        folder = folder_of(spark, row.file_path)
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True):
+            raise FileNotFoundError(f"{folder.toString()} is listed, but could not be removed")
     return report
 
 

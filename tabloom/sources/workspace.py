@@ -8,17 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The folder of each application that has asked; Spark reports a sub-folder of it later on.
+_OWN: dict[str, str] = {}
+
+
 def workspace(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
     Tests on one machine may leave it unset and get a fresh folder; a cluster
     has to name storage every executor can reach.
     """
-    named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", "") or _OWN.get(spark.sparkContext.applicationId)
+    if not named and spark.sparkContext.getCheckpointDir():
+        named = spark.sparkContext.getCheckpointDir()
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    _OWN[spark.sparkContext.applicationId] = named
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -64,3 +71,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def folder_of(spark: SparkSession, uri: str):
+    """The Hadoop path of the folder a file of ``_metadata.file_path`` lies in, its escapes undone."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).getParent()
+
+
+def tables_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the Parquet tables of a folder."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)
+    names = [entry.getPath().getName() for entry in listed]
+    return sorted(n.removesuffix(".parquet") for n in names if n.endswith(".parquet") and not n.startswith(("_", ".")))

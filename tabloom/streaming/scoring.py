@@ -96,3 +96,31 @@ def write_available(rows: DataFrame, path: str) -> DataFrame:
     )
     query.awaitTermination()
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/data")
+
+
+def write_updates(rows: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Processes everything available now into a keyed table, open windows too.
+
+    Each batch writes the groups it has changed into a folder of its own, which
+    a repeated batch replaces; the table is the newest row of each key. Nothing
+    waits for a watermark to pass, and a group that changes later gets a newer
+    row.
+    """
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/data/batch={batch}")
+
+    query = (
+        rows.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{path}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    schema = T.StructType([*rows.schema, T.StructField("batch", T.LongType())])
+    written = rows.sparkSession.read.schema(schema).parquet(f"{path}/data")
+    newest = written.groupBy(*[col(k) for k in keys]).agg(
+        F.max_by(F.struct(*[col(c) for c in rows.columns]), "batch").alias("newest")
+    )
+    return newest.select("newest.*")

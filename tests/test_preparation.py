@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,3 +257,27 @@ def test_tables_with_maps_are_profiled(spark):
     assert [r["column_name"] for r in profiling.constant_columns(df).collect()] == ["m"]
     assert profiling.duplicate_rows(df).first()["duplicate_rows"] == 1
     assert reporting.validate(df, "maps").count() > 0
+
+
+def test_scaling_leaves_group_flags_alone(spark):
+    rows = [(f"k{i}", float(i), 10.0 * i, 100.0 * i, i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "customerID string, tenure double, MonthlyCharges double, TotalCharges double, Churn int")
+    scaled = transform(df, scaling="standard")
+    flags = features.bin_flag_columns(scaled.columns)
+    assert len(flags) == 13
+    assert {v for f in flags for v in column(scaled, f)} == {0, 1}
+    assert column(scaled, "tenure") != column(df, "tenure")
+    assert {v for f in flags for v in column(transform(df, scaling="standard", scale_bins=True), f)} - {0, 1}
+
+
+def test_correlation_of_many_columns_with_gaps(spark):
+    rng = np.random.default_rng(9)
+    data = rng.normal(size=(500, 60)) + 1e6
+    data[:, 5] = 3.0
+    data[rng.random(data.shape) < 0.1] = np.nan
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data], ", ".join(f"x{i} double" for i in range(60)))
+    got = {(r.column_a, r.column_b): r.correlation for r in exploring.correlation(df.repartition(6)).collect()}
+    assert len(got) == 3600 and got["x5", "x1"] is None
+    for i, j in ((0, 1), (3, 59), (7, 7), (40, 2)):
+        both = ~np.isnan(data[:, i]) & ~np.isnan(data[:, j])
+        assert got[f"x{i}", f"x{j}"] == pytest.approx(np.corrcoef(data[both, i], data[both, j])[0, 1], abs=1e-6)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import feature_store, versioning
 from tabloom.plans.customer_profile import COLUMNS, SCHEMA, customer_profile
+from tabloom.plans.validate import validate_folder
 from tabloom.sources import files, raw_zone, snapshots
 from tabloom.sources.workspace import new_path, path_exists, workspace
 from tabloom.streaming import scoring
@@ -58,6 +59,67 @@ def test_raw_zone(spark, tmp_path):
     assert raw_zone.load_raw(spark, root, "t").count() == 7
 
 
+def test_raw_zone_takes_any_source(spark, tmp_path):
+    root = str(tmp_path)
+    sources = ["007", "a/b", None, "x=y z", "2024-01-01"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sources)] * 2, "n int, s string")
+    for day in ("2024-01-01", "2024-01-20"):
+        written = raw_zone.store_raw(df, root, "t", F.col("s"), F.lit(day))
+        assert {r.source: (r.row_count, r.file_count) for r in written.collect()} == {s: (2, 1) for s in sources}
+    assert {r.source for r in raw_zone.load_raw(spark, root, "t").collect()} == set(sources)
+    assert raw_zone.load_raw(spark, root, "t", "007").count() == 4
+    report = raw_zone.drop_expired(spark, root, "t", "2024-01-31", 20)
+    assert {(r.source, r.state, r.row_count) for r in report.collect()} == {
+        (s, state, 2) for s in sources for state in ("expired", "kept")
+    }
+    left = raw_zone.load_raw(spark, root, "t")
+    assert left.count() == 10 and {str(r.ingest_date) for r in left.collect()} == {"2024-01-20"}
+
+
+def test_landing_evaluates_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(100).selectExpr("id", "id % 3 AS kind").mapInArrow(count, "id long, kind long")
+    raw_zone.store_raw(df, str(tmp_path), "t", F.col("kind"), F.lit("2024-01-01")).collect()
+    assert seen.value == 100
+
+
+def test_fingerprint_sees_every_column(spark):
+    df = spark.createDataFrame([(1, 0.5, "a"), (2, float("nan"), None)], "k int, v double, t string")
+    first = versioning.fingerprint(df).first()
+    assert versioning.fingerprint(df.repartition(3)).first() == first
+    for changed in (df.withColumn("v", F.col("v") + 1e-6), df.withColumn("t", F.coalesce("t", F.lit("")))):
+        assert versioning.fingerprint(changed).first().fingerprint != first.fingerprint
+
+
+def test_open_windows_are_written(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    rows = spark.sql("SELECT timestamp'2024-01-01 00:10:00' AS ts, 'a' AS kind, 1.0D AS v")
+    rows.write.parquet(folder)
+    late = rows.selectExpr("ts + interval 20 minutes AS ts", "kind", "-v AS v")
+
+    def run():
+        stream = scoring.window_quality(scoring.read_stream(spark, folder, rows.schema), "ts", "kind", "v")
+        return scoring.write_updates(stream, str(tmp_path / "out"), ["window_start", "kind"])
+
+    assert [r.row_count for r in run().collect()] == [1]
+    late.write.mode("append").parquet(folder)
+    assert [(r.row_count, r.negative_count) for r in run().collect()] == [(2, 1)]  # the newer row of the same window
+
+
+def test_tables_of_a_folder(spark, tmp_path):
+    for name in ("b", "a"):
+        spark.range(2).write.parquet(str(tmp_path / f"{name}.parquet"))
+    (tmp_path / "notes.txt").write_text("no table")
+    counts = validate_folder(spark, str(tmp_path))["measures"].where("metric = 'row_count'")
+    assert sorted((r.dataset, r.value) for r in counts.collect()) == [("a", 2.0), ("b", 2.0)]
+
+
 def test_columns_as_partitions_are_rebalanced(spark, tmp_path):
     df = spark.range(100).select("id", F.when(F.col("id") < 70, "big").otherwise("small").alias("kind"))
     written = raw_zone.store_raw(df, str(tmp_path), "t", F.col("kind"), F.lit("2024-01-01"))
