@@ -1,4 +1,4 @@
-"""Expressions and joins the text operators share."""
+"""Expressions the text operators share."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Inside a character class: whatever some library may take for white space, and controls.
 MAYBE_BLANK = r"\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
-#: A key with more than one in so many rows is looked up without a shuffle.
-HOT_SHARE = 1000
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -35,20 +33,3 @@ def let(value: Column, body) -> Column:
     as the element of a one-element array it is not.
     """
     return F.transform(F.array(value), body)[0]
-
-
-def attach(rows: DataFrame, groups: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
-    """Rows joined with what is known of their key.
-
-    ``groups`` has one row for each non-null key, of bounded width, and the
-    number of rows of that key in ``weight``. A key that owns more than one in
-    HOT_SHARE rows is broadcast: there are fewer than HOT_SHARE of them, whatever
-    the size of the table. The other keys are joined by a shuffle, in which none
-    of them is large. Both frames are read twice and should be written tables.
-    """
-    total = groups.agg(F.sum(weight)).first()[0] or 0
-    is_hot = F.col(weight) > F.lit(total / HOT_SHARE)
-    hot, cold = groups.filter(is_hot), groups.filter(~is_hot)
-    settled = rows.join(F.broadcast(hot), key)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
-    return settled.unionByName(rest)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import attach
+from tabloom.functions.joins import attach
 from tabloom.sources.workspace import materialized
 
 

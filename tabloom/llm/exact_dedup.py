@@ -22,7 +22,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import attach, texts
+from tabloom.functions.joins import attach
+from tabloom.llm.common import texts
 from tabloom.sources.workspace import materialized, new_path
 
 #: Buckets of a new index; a production index of 10^11 digests wants thousands.

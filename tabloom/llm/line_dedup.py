@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import BLANKS, ascii_lower, attach, let, texts
+from tabloom.functions.joins import attach
+from tabloom.llm.common import BLANKS, ascii_lower, let, texts
 from tabloom.sources.workspace import materialized
 
 

@@ -12,8 +12,8 @@ paths differ: a site with few documents says little. A document does not count
 for its own group. Its log odds and those of its site together decide.
 
 Only grouped aggregates and built-in expressions are used. The site table is
-broadcast if it has at most BROADCAST_ROWS rows of fixed width; otherwise its
-largest sites are, and the rest is joined by a shuffle.
+broadcast if its rows, of fixed width, are counted and few; otherwise its largest
+sites are, and the rest is joined by a shuffle.
 
 Defined cases: a null or empty text has no shares and falls into bins of its
 own; a null host or path is a site like any other; null labels are not used, of
@@ -31,10 +31,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import BLANKS, UPPER, attach, let
+from tabloom.functions.joins import attach, attach_any
+from tabloom.llm.common import BLANKS, UPPER, let
 from tabloom.sources.workspace import materialized
 
-BROADCAST_ROWS = 50_000
 QUANTILES = 20
 SYMBOLS = "#*$%&|<>"
 
@@ -225,12 +225,6 @@ def _decided(rows: DataFrame, levels: Levels) -> DataFrame:
     return rows.withColumn("probability", 1 / (1 + F.exp(-odds)))
 
 
-def _with_sites(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    if sites.count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(sites), "site")
-    return attach(rows, sites, "site", "path_n")
-
-
 def _learned(docs, labels, host, path, label_col, id_col, text_col):
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(
@@ -265,7 +259,7 @@ def classify(
     _, _, judged = _learned(docs, labels, host, path, label_col, id_col, text_col)
     judged = materialized(judged.select("doc_id", "host", "site", "evidence", "good"), "judged")
     sites, levels = site_table(judged)
-    decided = _decided(_with_sites(judged, sites), levels)
+    decided = _decided(attach_any(judged, sites, "site", "path_n"), levels)
     return decided.select(
         "doc_id", "evidence", "host_share", "path_share", "probability", (F.col("probability") >= threshold).alias("kept")
     )
@@ -295,4 +289,4 @@ def keep_good(
     )
     whole = whole.withColumn("evidence", log_odds(evidence, F.col("features"))).drop("features")
     whole = whole.withColumn("good", 1 / (1 + F.exp(-(F.col("evidence") + prior))))
-    return _decided(_with_sites(whole, sites), levels).filter(F.col("probability") >= threshold).select("whole.*")
+    return _decided(attach_any(whole, sites, "site", "path_n"), levels).filter(F.col("probability") >= threshold).select("whole.*")

@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.llm.common import attach, texts
+from tabloom.functions.joins import attach
+from tabloom.llm.common import texts
 from tabloom.llm.components import components
 from tabloom.sources.workspace import materialized
 

@@ -10,6 +10,7 @@ import pytest
 from conftest import ODD, pairs
 from pyspark.sql import functions as F
 
+from tabloom.functions import joins
 from tabloom.llm import quality_classifier, quality_rules, registered, simhash
 from tabloom.sources.workspace import materialized
 
@@ -102,7 +103,7 @@ def test_shares_are_shrunk_towards_the_level_above(spark, documents, labels):
     _, _, judged = quality_classifier._learned(documents, labels, *args, "quality", "doc_id", "text")
     judged = materialized(judged.select("doc_id", "host", "site", "evidence", "good"), "judged")
     sites, levels = quality_classifier.site_table(judged)
-    got = {r["doc_id"]: r for r in quality_classifier._decided(quality_classifier._with_sites(judged, sites), levels).collect()}
+    got = {r["doc_id"]: r for r in quality_classifier._decided(joins.attach_any(judged, sites, "site", "path_n"), levels).collect()}
     hosts, paths = defaultdict(list), defaultdict(list)
     rows = judged.collect()
     for r in rows:
@@ -135,7 +136,7 @@ def test_strengths_follow_the_spread(spark):
 def test_large_site_tables_are_joined(spark, documents, labels, monkeypatch):
     args = documents["source"], documents["doc_id"].cast("string")  # a path for each document
     small = sorted(map(tuple, quality_classifier.classify(documents, labels, *args).collect()))
-    monkeypatch.setattr(quality_classifier, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(joins, "SMALL", 10)
     large = sorted(map(tuple, quality_classifier.classify(documents, labels, *args).collect()))
     assert [(r[0], r[5]) for r in small] == [(r[0], r[5]) for r in large]
 
