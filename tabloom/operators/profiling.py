@@ -289,21 +289,23 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return counts.join(F.broadcast(fitted), "column_name")
 
 
-def value_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Frequency of every value of the text columns, by 128 bits of its hash and its first characters.
+def value_hashes(df: DataFrame, columns: Sequence[str] | None = None, with_start: bool = False) -> DataFrame:
+    """Frequency of every value of the text columns, by 128 bits of its hash and, if asked for, its first characters.
 
-    Long texts stay where they are read: what is combined and shuffled has a
-    bounded width, so it is combined in a hash table, without a sort.
+    Texts stay where they are read: what is combined and shuffled has a bounded
+    width, so it is combined in a hash table, without a sort.
     """
     columns = string_columns(df) if columns is None else list(columns)
+    start = [F.substring("value", 1, START).alias("start")] if with_start else []
     if not columns:
-        return _no_rows(df, "column_name string, h1 bigint, h2 bigint, start string, value_count bigint")
+        text = " start string," if with_start else ""
+        return _no_rows(df, f"column_name string, h1 bigint, h2 bigint,{text} value_count bigint")
     names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("place"))
     return (
         _hashed(df, columns)
-        .groupBy("place", "h1", "h2", F.substring("value", 1, START).alias("start"))
+        .groupBy("place", "h1", "h2", *start)
         .agg(F.count("*").alias("value_count"))
-        .select(names.alias("column_name"), "h1", "h2", "start", "value_count")
+        .select(names.alias("column_name"), "h1", "h2", *(["start"] if with_start else []), "value_count")
     )
 
 
@@ -336,7 +338,7 @@ def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) ->
             "column_name string, distinct_count bigint, most_frequent string, most_frequent_count bigint,"
             " least_frequent string, least_frequent_count bigint",
         )
-    counts = materialized(value_hashes(df, columns), "value-hashes")
+    counts = materialized(value_hashes(df, columns, with_start=True), "value-hashes")
     order = F.struct(-F.col("value_count"), F.col("start"))
     ends = counts.groupBy("column_name").agg(
         F.count("*").alias("distinct_count"),
@@ -385,7 +387,7 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP
     columns = string_columns(df) if columns is None else list(columns)
     if not columns:
         return _no_rows(df, "column_name string, value string, value_count bigint, value_rank int")
-    counts = materialized(value_hashes(df, columns), "value-hashes")
+    counts = materialized(value_hashes(df, columns, with_start=True), "value-hashes")
     ranked = Window.partitionBy("column_name").orderBy(F.desc("value_count"), F.asc("start"))
     best = counts.withColumn("nth", F.row_number().over(ranked)).where(F.col("nth") <= k)
     limits = best.groupBy("column_name").agg(F.max(F.struct(-F.col("value_count"), F.col("start"))).alias("limit"))

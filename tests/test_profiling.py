@@ -117,3 +117,17 @@ def test_boxplot_keeps_a_missing_class(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), ("b", None)], "c string, x double")
     found = {r["class"]: (r.value_count, r.median) for r in exploring.boxplot_by_class(df, "x", "c").collect()}
     assert found == {"a": (2, 2.0), None: (1, 5.0), "b": (0, None)}
+
+
+def test_long_texts_are_not_shuffled_whole(spark):
+    """Hashes and short beginnings decide; among texts that begin alike, the texts do."""
+    same = "x" * 5000
+    texts = [same + "b"] * 3 + [same + "a"] * 3 + [same + "c"] * 2 + [f"{same}{i}" for i in range(10)] + ["short"] * 2
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = profiling.categorical_summary(df).first()
+    assert (found.distinct_count, found.most_frequent, found.most_frequent_count) == (14, same + "a", 3)
+    assert (found.least_frequent, found.least_frequent_count) == (same + "9", 1)
+    top = profiling.top_values(df, k=4).orderBy("value_rank").collect()
+    assert [(r["value"][-1], r.value_count) for r in top] == [("a", 3), ("b", 3), ("t", 2), ("c", 2)]
+    plan = profiling.cardinality_classes(df, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "start" not in plan
