@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from tabloom.llm.common import MAYBE_BLANK, texts
 
-MOST_NODES = 1_500_000
+MOST_NODES = 1_000_000
 #: Characters of text that are split at once.
 BLOCK = 1 << 16
 

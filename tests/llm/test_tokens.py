@@ -185,6 +185,17 @@ def test_trie_shares_prefixes():
     assert trie.insert("axb") == 3  # a byte that is no piece
 
 
+def test_a_trie_started_anew_counts_the_same(scores):
+    words = "the same words counted again and again in another trie".split()
+    kept, cleared = token_counts.PieceTrie(scores), token_counts.PieceTrie(scores)
+    for _ in range(3):
+        for word in words:
+            if len(cleared.best) > 20:
+                cleared.clear()
+            assert kept.total([word, " " + word]) == cleared.total([word, " " + word])
+    assert len(cleared.best) < len(kept.best)
+
+
 # byte-level BPE
 
 
