@@ -9,6 +9,11 @@ nodes that visit it, and compares all of them with numpy's exclusive-or and bit
 counts. Of a clump of nodes that are all linked it emits a spanning forest, not
 the pairs; components of the forests are those of all links.
 
+A link of ``keep_one`` is more than a small distance: components of near
+fingerprints only say which texts may be alike. Inside each of them the sets of
+shingles are compared, again in tiles, and a link counts if their similarity is
+high enough.
+
 There are at most 83,521 cells (17 counts for each of four parts), and what the
 driver gets is a count for each.
 
@@ -20,16 +25,17 @@ gives an empty result; other columns pass through ``keep_one`` untouched.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.functions.joins import attach
+from tabloom.functions.joins import attach, attach_any
 from tabloom.llm.common import texts
 from tabloom.llm.components import components
 from tabloom.sources.workspace import materialized
@@ -38,6 +44,8 @@ from tabloom.sources.workspace import materialized
 TILE = 8192
 #: Differences that are counted at once; they stay in the processor's cache.
 CHUNK = 1 << 18
+#: Nodes and bytes of shingle sets of a tile in which sets are compared.
+SET_TILE, SET_BYTES = 1024, 1 << 22
 SEED = 42
 
 
@@ -57,6 +65,21 @@ def shingle_hashes(text: str, shingle: int) -> np.ndarray:
     return np.frombuffer(b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist())]), ">u8")
 
 
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """The different shingles of a text, by their hashes, in order."""
+    return np.unique(shingle_hashes(text, shingle).astype("<u8"))
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sets, in order, have a similarity (Jaccard) of ``least`` or more."""
+    if len(a) == 0 or len(b) == 0:
+        return len(a) == len(b)
+    if min(len(a), len(b)) / max(len(a), len(b)) < least:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) >= least
+
+
 def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     """Further independent hash words of the same shingles (the finaliser of splitmix64)."""
     z = hashes.astype("<u8") + np.uint64(word * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
@@ -79,14 +102,19 @@ def fingerprint(text: str, shingle: int, words: int = 1) -> bytes:
     return b"".join(out)
 
 
-def fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+def set_print(text: str, shingle: int, words: int) -> bytes:
+    """The fingerprint, then 128 bits of the set of shingles: equal for equal sets only."""
+    return fingerprint(text, shingle, words) + hashlib.md5(shingle_set(text, shingle).tobytes()).digest()
+
+
+def fingerprints(docs: DataFrame, shingle: int, words: int, made=fingerprint) -> DataFrame:
     """Adds ``fingerprint`` in place of ``text``; all other columns pass through."""
     names = [c for c in docs.columns if c != "text"]
     schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("fingerprint", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(x.as_py(), shingle, words) for x in batch.column(len(names))]
+            found = [made(x.as_py(), shingle, words) for x in batch.column(len(names))]
             columns = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], schema.names)
 
@@ -284,15 +312,128 @@ def links(nodes: DataFrame, words: int, radius: int, total: int, parts: int, til
     return dealt.repartition("key").sortWithinPartitions("key", "role").mapInArrow(compare, "a long, b long")
 
 
+def _tied(own: np.ndarray, places: np.ndarray, sets: list[np.ndarray], label: np.ndarray, least: float) -> list[int]:
+    """Of the candidate places with sets similar to a set, the first one of each label."""
+    found = []
+    while len(places):
+        place = places[0]
+        if similar(own, sets[place], least):
+            found.append(place)
+            places = places[label[places] != label[place]]
+        else:
+            places = places[1:]
+    return found
+
+
+class SetTile:
+    """Links of a tile whose sets are similar, less those that are already implied."""
+
+    def __init__(self, nodes: list[int], prints: np.ndarray, sets: list[np.ndarray], total: int, least: float):
+        self.nodes, self.prints, self.sets = nodes, prints, sets
+        self.total, self.least = total, least
+        self.sizes = np.array([len(x) for x in sets])
+        self.label = np.arange(len(nodes))
+        self.links: list[tuple[int, int]] = []
+        for place in range(1, len(nodes)):
+            self.visit(nodes[place], prints[place], sets[place], place)
+
+    def _candidates(self, own_print: np.ndarray, own: np.ndarray, end: int) -> np.ndarray:
+        """Places before ``end``, nearest first."""
+        apart = np.bitwise_count(self.prints[:end] ^ own_print).sum(axis=1, dtype=np.int64)
+        places = np.flatnonzero(apart <= self.total)
+        places = places[np.argsort(apart[places], kind="stable")]
+        sizes = self.sizes[places]
+        return places[np.minimum(sizes, len(own)) >= self.least * np.maximum(sizes, len(own)) - 1e-9]
+
+    def visit(self, node: int, own_print: np.ndarray, own: np.ndarray, place: int | None = None) -> None:
+        """A visitor, or a place of the tile that meets those before it."""
+        candidates = self._candidates(own_print, own, len(self.nodes) if place is None else place)
+        found = _tied(own, candidates, self.sets, self.label, self.least)
+        if found:
+            self.links.extend((node, self.nodes[x]) for x in found)
+            alike = found if place is None else [*found, place]
+            self.label[np.isin(self.label, self.label[alike])] = self.label[alike[0]]
+
+
+def similar_links(sets: DataFrame, words: int, total: int, least: float, tile: int = SET_TILE) -> DataFrame:
+    """A spanning forest (a, b) of the links inside each ``root`` whose sets of shingles are similar.
+
+    ``sets`` is a written table of ``node``, ``root``, ``fingerprint`` and
+    ``shingles``. Two nodes of a root meet in one tile, whatever its size.
+    """
+    sizes = sets.groupBy("root").agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    tiles = F.ceil(F.greatest(F.col("nodes") / tile, F.col("bytes") / SET_BYTES, F.lit(1.0))).cast("long")
+    sizes = materialized(sizes.select("root", "nodes", tiles.alias("n")), "root-sizes")
+    own = attach(sets, sizes, "root", "nodes").withColumn("sub", F.pmod(F.xxhash64("node"), "n"))
+    ahead = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("n div 2"))).alias("ahead")
+    dealt = own.select("*", ahead).withColumn("tile", (F.col("sub") + F.col("ahead")) % F.col("n"))
+    dealt = dealt.filter("ahead = 0 OR 2 * ahead <> n OR sub < tile")  # each two tiles of a root meet once
+    dealt = dealt.selectExpr("root", "tile", "ahead > 0 AS visitor", "node", "fingerprint", "shingles")
+
+    def run(batches):
+        key, homes, state = None, [], None
+
+        def ready():
+            nodes, prints, sets = zip(*homes)
+            return SetTile(list(nodes), np.stack(prints), list(sets), total, least)
+
+        def out(state):
+            places = np.array(state.links, np.int64).reshape(-1, 2)
+            state.links = []
+            return pa.RecordBatch.from_arrays([pa.array(places[:, 0]), pa.array(places[:, 1])], ["a", "b"])
+
+        for batch in batches:
+            prints = _words_of(batch.column(4), words)
+            for i, (root, tile, visitor, node) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(4)))):
+                if (root, tile) != key:
+                    if homes:
+                        yield out(state or ready())
+                    key, homes, state = (root, tile), [], None
+                own = np.frombuffer(batch.column(5)[i].as_py(), "<u8")
+                if not visitor:
+                    homes.append((node, prints[i], own))
+                elif homes:  # a tile may have got no node
+                    state = state or ready()
+                    state.visit(node, prints[i], own)
+        if homes:
+            yield out(state or ready())
+
+    ordered = dealt.repartition("root", "tile").sortWithinPartitions("root", "tile", "visitor")
+    return ordered.mapInArrow(run, "a long, b long")
+
+
+def _shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
+    """``shingles`` in place of ``text``, which is the last column."""
+    names = rows.columns[:-1]
+    schema = T.StructType([rows.schema[c] for c in names] + [T.StructField("shingles", T.BinaryType())])
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = [shingle_set(x.as_py(), shingle).tobytes() for x in part.column(len(names))]
+                columns = [part.column(i) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def grouped(
-    rows: DataFrame, words: int, radius: int, total: int, parts: int, order: list[str], tile: int = TILE
+    rows: DataFrame, words: int, radius: int, total: int, parts: int, first: Column, tile: int = TILE, verified=None
 ) -> DataFrame:
-    """Rows with a ``fingerprint``, and ``lowest``: the smallest struct of ``order`` in their component."""
-    classes = rows.groupBy("fingerprint").agg(
-        F.min(F.when(F.col(order[0]).isNotNull(), F.struct(*order))).alias("first"), F.count(F.lit(1)).alias("copies")
-    )
+    """Rows with a ``fingerprint``, and ``lowest``: the smallest ``first`` in their component.
+
+    Only the first ``words`` of a fingerprint are compared; rows are one node if
+    all of it is equal. With ``verified``, links come from what it returns for
+    the nodes and their components.
+    """
+    classes = rows.groupBy("fingerprint").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
     nodes = materialized(classes.withColumn("node", F.monotonically_increasing_id()), "fingerprint-classes")
-    found = materialized(components(materialized(links(nodes, words, radius, total, parts, tile), "link-forest")), "components")
+    compared = nodes.select("node", F.substring("fingerprint", 1, 8 * words).alias("fingerprint"))
+    forest = links(compared, words, radius, total, parts, tile)
+    found = materialized(components(materialized(forest, "link-forest")), "components")
+    if verified is not None:
+        found = materialized(components(materialized(verified(nodes, found), "verified-forest")), "components")
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = materialized(rooted, "rooted-classes")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"), F.count(F.lit(1)).alias("classes"))
@@ -310,7 +451,8 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable.
     """
     rows = materialized(fingerprints(texts(docs, id_col, text_col), shingle, 1), "fingerprints")
-    found = grouped(rows, 1, radius, radius, parts, ["doc_id"])
+    first = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id"))
+    found = grouped(rows, 1, radius, radius, parts, first)
     return found.select("doc_id", "fingerprint", F.col("lowest.doc_id").alias("component_id"))
 
 
@@ -319,26 +461,38 @@ def keep_one(
     shingle: int = 5,
     words: int = 16,
     radius: int = 20,
-    total: int = 172,
+    total: int = 200,
+    least: float = 0.8,
     tile: int = 2 * TILE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: the smallest id of each group, with all columns.
 
-    The defaults link texts whose sets of five-word shingles have a similarity
-    (Jaccard) of 0.8 or more. At 0.8 the expected distance of two fingerprints
-    of 1,024 bits is 155, with a standard deviation of 11.5, so 172 reaches all
-    but 7 % of the pairs just at 0.8, over 99 % from 0.82, and 1 % at 0.7. The
+    Texts are linked if their sets of five-word shingles have a similarity
+    (Jaccard) of ``least`` or more, compared set by set. Fingerprints of 1,024
+    bits only find the pairs to compare: at 0.8 their expected distance is 155,
+    with a standard deviation of 11.5, so 200 leaves out 1 pair in 20,000. The
     first word alone may differ in 20 of 64 bits, which misses 1 in 5,000 pairs
     at 0.8.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     identity = F.unhex(F.md5(F.concat(F.coalesce(docs[id_col].cast("string"), F.lit("null")), F.lit("\n"), text)))
-    rows = docs.select(docs[id_col].alias("doc_id"), identity.alias("identity"), text.alias("text"))
-    rows = materialized(fingerprints(rows, shingle, words), "fingerprints")
-    found = grouped(rows, words, radius, total, 1, ["doc_id", "identity"], tile)
-    alone = F.col("lowest").isNull()  # only rows without an id: all of them stay
+    source = docs.select(docs[id_col].alias("doc_id"), identity.alias("identity"), text.alias("text"))
+    rows = materialized(fingerprints(source, shingle, words, set_print), "fingerprints")
+
+    def verified(nodes, found):
+        wanted = nodes.join(found, "node").select(
+            "node", "root", F.substring("fingerprint", 1, 8 * words).alias("fingerprint"), "first.identity", "copies"
+        )
+        wanted = materialized(wanted, "candidates")
+        read = attach_any(source.select("identity", "text"), wanted, "identity", "copies")
+        read = read.groupBy("node", "root", "fingerprint").agg(F.first("text").alias("text"))  # repeated rows are alike
+        return similar_links(materialized(_shingle_sets(read, shingle), "shingle-sets"), words, total, least)
+
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "identity")
+    found = grouped(rows, words, radius, total, 1, first, tile, verified)
+    alone = F.col("lowest.no_id")  # only rows without an id: all of them stay
     kept = found.filter(alone | (F.col("lowest.identity") == F.col("identity"))).select("identity").distinct()
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     tie = F.xxhash64(F.to_json(F.struct(*[docs[c] for c in others]))) if others else F.lit(0)

@@ -156,6 +156,50 @@ def test_near_copies_of_a_table(spark, documents):
     assert {r["doc_id"] for r in simhash.keep_one(base.unionByName(copies)).collect()} == alone
 
 
+def _jaccard(a, b, shingle=5):
+    a, b = (
+        {" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in (brute.WORD.findall(x.lower()) for x in (a, b))
+    )
+    return len(a & b) / len(a | b)
+
+
+def _kept_by_jaccard(rows, least=0.8):
+    """What brute force leaves of texts without copies: the smallest id of each group."""
+    rows = sorted(rows)
+    near = [
+        (i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if _jaccard(rows[i][1], rows[j][1]) >= least
+    ]
+    return {rows[root][0] for root in brute.linked(len(rows), near)}
+
+
+def _altered(rng, words, share):
+    """A text whose set of shingles has about this similarity: one stretch is replaced."""
+    n = round((len(words) - 4) * (1 - share) / (1 + share)) - 4
+    at = rng.randrange(5, len(words) - n - 5)
+    return words[:at] + [f"v{rng.randrange(10**9)}" for _ in range(n)] + words[at + n :]
+
+
+@pytest.mark.parametrize("tile", [simhash.SET_TILE, 3])
+def test_links_are_those_of_brute_force_similarity(spark, monkeypatch, tile):
+    """Similarities around 0.8, most of which a distance alone can't tell apart; also in many small tiles."""
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (tile,))
+    rng, rows = random.Random(5), []
+    for share in [0.70, 0.74, 0.76, 0.78, 0.79, 0.795, 0.805, 0.81, 0.82, 0.85, 0.9] * 4:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(_altered(rng, words, share)))]
+    clump = [f"c{rng.randrange(10**6)}" for _ in range(300)]
+    for share in [0.76] * 10 + [0.9] * 10:
+        rows.append((len(rows), " ".join(_altered(rng, clump, share))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == _kept_by_jaccard(rows)
+
+
+def test_near_stage_on_the_table(spark, documents):
+    distinct = documents.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    rows = pairs(distinct)
+    assert {r["doc_id"] for r in simhash.keep_one(distinct).collect()} == _kept_by_jaccard(rows)
+
+
 def test_empty_tables(odd):
     none = odd.limit(0)
     assert exact_dedup.decide(none, exact_dedup.fresh_index(none)).count() == 0
