@@ -10,9 +10,9 @@ counts. Of a clump of nodes that are all linked it emits a spanning forest, not
 the pairs; components of the forests are those of all links.
 
 A link of ``keep_one`` is more than a small distance: components of near
-fingerprints only say which texts may be alike. Inside each of them the sets of
-shingles are compared, again in tiles, and a link counts if their similarity is
-high enough.
+fingerprints, and of short texts that share one of their first shingles, only
+say which texts may be alike. Inside each of them the sets of shingles are
+compared, again in tiles, and a link counts if their similarity is high enough.
 
 There are at most 83,521 cells (17 counts for each of four parts), and what the
 driver gets is a count for each.
@@ -27,7 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from functools import lru_cache
+import math
+from collections import defaultdict
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,8 @@ TILE = 8192
 CHUNK = 1 << 18
 #: Nodes and bytes of shingle sets of a tile in which sets are compared.
 SET_TILE, SET_BYTES = 1024, 1 << 22
+#: Sets of shingles up to this size are found by the shingles they share, as few bits say little of small sets.
+SHORT = 32
 SEED = 42
 
 
@@ -88,9 +92,14 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return (z ^ (z >> np.uint64(31))).astype(">u8")
 
 
-def fingerprint(text: str, shingle: int, words: int = 1) -> bytes:
-    """A bit is one if it is set in over half of the hashes; most significant byte first, word by word."""
+def fingerprint(text: str, shingle: int, words: int = 1, distinct: bool = False) -> bytes:
+    """A bit is one if it is set in over half of the hashes; most significant byte first, word by word.
+
+    A repeated shingle counts each time, or once if ``distinct``.
+    """
     hashes = shingle_hashes(text, shingle)
+    if distinct:
+        hashes = np.unique(hashes)
     out = []
     for word in range(words):
         own = hashes if word == 0 else _mixed(hashes, word)
@@ -102,9 +111,22 @@ def fingerprint(text: str, shingle: int, words: int = 1) -> bytes:
     return b"".join(out)
 
 
-def set_print(text: str, shingle: int, words: int) -> bytes:
-    """The fingerprint, then 128 bits of the set of shingles: equal for equal sets only."""
-    return fingerprint(text, shingle, words) + hashlib.md5(shingle_set(text, shingle).tobytes()).digest()
+def first_shingles(own: np.ndarray, least: float) -> np.ndarray:
+    """Of a small set its lowest hashes, so many that two similar sets share one of them; none of other sets.
+
+    Two sets are both small, or neither needs it: one up to SHORT may be similar
+    to one up to SHORT / least.
+    """
+    if not 0 < len(own) <= SHORT / least:
+        return own[:0]
+    return own[: len(own) - math.ceil(least * len(own) - 1e-9) + 1]
+
+
+def set_print(text: str, shingle: int, words: int, least: float) -> bytes:
+    """The fingerprint of the set of shingles, 128 bits that equal sets have, and the first shingles of a small set."""
+    own = shingle_set(text, shingle)
+    whole = hashlib.md5(own.tobytes()).digest()
+    return fingerprint(text, shingle, words, distinct=True) + whole + first_shingles(own, least).tobytes()
 
 
 def fingerprints(docs: DataFrame, shingle: int, words: int, made=fingerprint) -> DataFrame:
@@ -334,13 +356,20 @@ class SetTile:
         self.sizes = np.array([len(x) for x in sets])
         self.label = np.arange(len(nodes))
         self.links: list[tuple[int, int]] = []
-        for place in range(1, len(nodes)):
+        self.sharing: dict[int, list[int]] = defaultdict(list)
+        for place in range(len(nodes)):
             self.visit(nodes[place], prints[place], sets[place], place)
+            for x in first_shingles(sets[place], least).tolist():
+                self.sharing[x].append(place)
 
     def _candidates(self, own_print: np.ndarray, own: np.ndarray, end: int) -> np.ndarray:
         """Places before ``end``, nearest first."""
         apart = np.bitwise_count(self.prints[:end] ^ own_print).sum(axis=1, dtype=np.int64)
-        places = np.flatnonzero(apart <= self.total)
+        near = apart <= self.total
+        for x in first_shingles(own, self.least).tolist():
+            if x in self.sharing:
+                near[self.sharing[x]] = True
+        places = np.flatnonzero(near)
         places = places[np.argsort(apart[places], kind="stable")]
         sizes = self.sizes[places]
         return places[np.minimum(sizes, len(own)) >= self.least * np.maximum(sizes, len(own)) - 1e-9]
@@ -418,19 +447,30 @@ def _shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def sharing_links(nodes: DataFrame, start: int) -> DataFrame:
+    """Links (a, b) from the smallest node that has a shingle to all others; shingles stand in prints from byte ``start``."""
+    places = f"sequence({start + 1}, octet_length(fingerprint), 8)"
+    shingles = F.explode(F.expr(f"transform({places}, x -> substring(fingerprint, x, 8))")).alias("shingle")
+    held = materialized(nodes.filter(F.octet_length("fingerprint") > start).select("node", shingles), "first-shingles")
+    heads = held.groupBy("shingle").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return attach(held, materialized(heads, "shingle-heads"), "shingle", "n").filter("node <> a").select("a", F.col("node").alias("b"))
+
+
 def grouped(
     rows: DataFrame, words: int, radius: int, total: int, parts: int, first: Column, tile: int = TILE, verified=None
 ) -> DataFrame:
     """Rows with a ``fingerprint``, and ``lowest``: the smallest ``first`` in their component.
 
     Only the first ``words`` of a fingerprint are compared; rows are one node if
-    all of it is equal. With ``verified``, links come from what it returns for
-    the nodes and their components.
+    all of it is equal. With ``verified``, prints are those of sets, and links
+    come from what it returns for the nodes and their components.
     """
     classes = rows.groupBy("fingerprint").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
     nodes = materialized(classes.withColumn("node", F.monotonically_increasing_id()), "fingerprint-classes")
     compared = nodes.select("node", F.substring("fingerprint", 1, 8 * words).alias("fingerprint"))
     forest = links(compared, words, radius, total, parts, tile)
+    if verified is not None:
+        forest = forest.unionByName(sharing_links(nodes, 8 * words + 16))
     found = materialized(components(materialized(forest, "link-forest")), "components")
     if verified is not None:
         found = materialized(components(materialized(verified(nodes, found), "verified-forest")), "components")
@@ -474,12 +514,13 @@ def keep_one(
     bits only find the pairs to compare: at 0.8 their expected distance is 155,
     with a standard deviation of 11.5, so 200 leaves out 1 pair in 20,000. The
     first word alone may differ in 20 of 64 bits, which misses 1 in 5,000 pairs
-    at 0.8.
+    at 0.8. Sets of at most 32 shingles miss none: those that share one of their
+    lowest shingles are compared as well.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     identity = F.unhex(F.md5(F.concat(F.coalesce(docs[id_col].cast("string"), F.lit("null")), F.lit("\n"), text)))
     source = docs.select(docs[id_col].alias("doc_id"), identity.alias("identity"), text.alias("text"))
-    rows = materialized(fingerprints(source, shingle, words, set_print), "fingerprints")
+    rows = materialized(fingerprints(source, shingle, words, partial(set_print, least=least)), "fingerprints")
 
     def verified(nodes, found):
         wanted = nodes.join(found, "node").select(

@@ -194,6 +194,28 @@ def test_links_are_those_of_brute_force_similarity(spark, monkeypatch, tile):
     assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == _kept_by_jaccard(rows)
 
 
+def test_repeats_count_once_and_short_texts_are_found(spark):
+    """Sets of shingles decide, whatever is repeated; ten words and one more are 0.857 alike."""
+    rng, rows = random.Random(6), []
+
+    def words(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def add(*texts):
+        rows.extend((len(rows) + k, " ".join(t)) for k, t in enumerate(texts))
+
+    for n, repeats in ((100, 18), (100, 18), (500, 90), (500, 90)):
+        own = words(n)
+        add(own, own + ["again"] * repeats)
+    for n in [3, 5, 8, 9, 10, 10, 10, 12, 15, 20, 30, 36, 37, 40, 44] * 4:
+        own = words(n)
+        add(own, own + words(1), own + words(3))
+    common = words(12)  # a passage of many short texts that are not alike
+    add(*[common + words(9) for _ in range(30)], *[words(9) + common for _ in range(30)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == _kept_by_jaccard(rows)
+
+
 def test_near_stage_on_the_table(spark, documents):
     distinct = documents.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
     rows = pairs(distinct)
