@@ -509,6 +509,8 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: the smallest id of each group, with all columns.
 
+    Of a group without any id the row with the smallest identity stays.
+
     Texts are linked if their sets of five-word shingles have a similarity
     (Jaccard) of ``least`` or more, compared set by set. Fingerprints of 1,024
     bits only find the pairs to compare: at 0.8 their expected distance is 155,
@@ -531,10 +533,9 @@ def keep_one(
         read = read.groupBy("node", "root", "fingerprint").agg(F.first("text").alias("text"))  # repeated rows are alike
         return similar_links(materialized(_shingle_sets(read, shingle), "shingle-sets"), words, total, least)
 
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "identity")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "identity")  # ids first, then rows without one
     found = grouped(rows, words, radius, total, 1, first, tile, verified)
-    alone = F.col("lowest.no_id")  # only rows without an id: all of them stay
-    kept = found.filter(alone | (F.col("lowest.identity") == F.col("identity"))).select("identity").distinct()
+    kept = found.filter(F.col("lowest.identity") == F.col("identity")).select("identity").distinct()
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     tie = F.xxhash64(F.to_json(F.struct(*[docs[c] for c in others]))) if others else F.lit(0)
     whole = docs.select(identity.alias("identity"), F.struct(*[docs[c] for c in docs.columns]).alias("whole"), tie.alias("tie"))

@@ -216,6 +216,16 @@ def test_repeats_count_once_and_short_texts_are_found(spark):
     assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == _kept_by_jaccard(rows)
 
 
+def test_one_row_of_a_group_without_ids_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, more, most = " ".join(words), " ".join([*words, "more"]), " ".join([*words, "even", "more"])
+    docs = spark.createDataFrame([(None, text), (None, more), (None, most), (None, "a text of its own")], "doc_id long, text string")
+    kept = [r["text"] for r in simhash.keep_one(docs).collect()]
+    assert len(kept) == 2 and "a text of its own" in kept
+    named = docs.unionByName(spark.createDataFrame([(5, most + " again")], docs.schema))
+    assert {r["doc_id"] for r in simhash.keep_one(named).collect()} == {None, 5}
+
+
 def test_near_stage_on_the_table(spark, documents):
     distinct = documents.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
     rows = pairs(distinct)
