@@ -9,7 +9,12 @@ first, so words that repeat inside a gap are reached too.
 Where to align: a license that is covered to the threshold must share one of its
 words that are rarest in the text, so each of their places is aligned with a
 window around it, and a license whose rare words are absent is done with. The
-windows have the length of the license, however long the text.
+windows have the length of the license at first. Around places that are in no
+finding they are doubled up to the whole text, so words inserted into a license
+(page headers, other columns, a clause) do not hide it, however many. Wide
+windows begin and end at multiples of their slack, so all of one width cost no
+more than a few passes. In them aligned words have to stand in runs of RUN on
+average: single words scattered over a long text are no license.
 
 Defined cases: a null or empty text has no license; a license repeated in a text
 is a row each time; overlapping findings of one license are one, the best
@@ -20,7 +25,7 @@ effect; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -30,6 +35,8 @@ from pyspark.sql import types as T
 from tabloom.llm.common import texts
 
 WORD = re.compile(r"\w+")
+#: Aligned words per uninterrupted run, on average, of a finding in a wide window.
+RUN = 3
 
 #: Notices and short licenses as published.
 LICENSES = {
@@ -121,6 +128,11 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
+def _runs(pairs: list[tuple[int, int]]) -> int:
+    """Runs of pairs that follow each other in both."""
+    return 1 + sum((i + 1, j + 1) != after for (i, j), after in zip(pairs, pairs[1:]))
+
+
 class License:
     def __init__(self, text: str, threshold: float):
         self.words = words_of(text)
@@ -146,6 +158,22 @@ class License:
         return chosen
 
 
+def _grown(words: list[str], own: License, taken: list, n: int, first: int, last: int, runs: int, slack: int) -> tuple:
+    """Aligned words, first and last place of a finding, with what lies beyond its window in runs of its own."""
+    while n < len(own.words):
+        k = taken.index((first, last))
+        slack *= 2
+        low = max(first - slack, taken[k - 1][1] + 1 if k else 0)
+        high = min(last + slack, taken[k + 1][0] if k + 1 < len(taken) else len(words))
+        pairs = align(words[low:high], own.words)
+        more = len(pairs) - n
+        if more < RUN or more < RUN * (_runs(pairs) - runs):
+            break
+        n, first, last, runs = len(pairs), low + pairs[0][0], low + pairs[-1][0], _runs(pairs)
+        taken[k] = (first, last)
+    return n, first, last
+
+
 def scan(text: str, licenses: dict[str, License]) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, first character, end, aligned words) of each finding."""
     lowered = text.lower()
@@ -161,29 +189,47 @@ def scan(text: str, licenses: dict[str, License]) -> list[tuple[str, float, int,
             for i, word in enumerate(words):
                 if word in wanted:
                     places[word].append(i)
-        slack = max(2, len(own.words) // 4)
-        hits, tried = [], set()
-        for key in keys:
-            for i in places[key]:
-                for j in own.places[key]:
-                    start = max(0, i - j - slack)
-                    if start in tried:
-                        continue
-                    tried.add(start)
-                    window = words[start : i - j + len(own.words) + slack]
-                    if sum((Counter(window) & own.counts).values()) < own.needed:
-                        continue
-                    pairs = align(window, own.words)
-                    if len(pairs) >= own.needed:
-                        hits.append((len(pairs), -(start + pairs[0][0]), start + pairs[-1][0]))
+        slack = base = max(2, len(own.words) // 4)
         taken: list[tuple[int, int]] = []
-        for n, first, last in sorted(hits, reverse=True):
-            if all(last < a or -first > b for a, b in taken):
-                taken.append((-first, last))
+        tried = set()
+        while True:
+            hits = []
+            for key in keys:
+                for i in places[key]:
+                    k = bisect_left(taken, (i + 1,))
+                    if k and taken[k - 1][1] >= i:
+                        continue
+                    low = taken[k - 1][1] + 1 if k else 0
+                    high = taken[k][0] if k < len(taken) else len(words)
+                    for j in own.places[key]:
+                        start, end = i - j - slack, i - j + len(own.words) + slack
+                        if slack > base:
+                            start, end = start // slack * slack, -(-end // slack) * slack
+                        start, end = max(low, start), min(high, end)
+                        if (start, end) in tried:
+                            continue
+                        tried.add((start, end))
+                        window = words[start:end]
+                        if sum((Counter(window) & own.counts).values()) < own.needed:
+                            continue
+                        pairs = align(window, own.words)
+                        if len(pairs) < own.needed or slack > base and len(pairs) < RUN * _runs(pairs):
+                            continue
+                        hits.append((len(pairs), -(start + pairs[0][0]), start + pairs[-1][0], _runs(pairs)))
+            fresh = []
+            for n, first, last, runs in sorted(hits, reverse=True):
+                if all(last < a or -first > b for a, b in taken):
+                    insort(taken, (-first, last))
+                    fresh.append((n, -first, last, runs))
+            for n, first, last, runs in fresh:
+                n, first, last = _grown(words, own, taken, n, first, last, runs, slack)
                 if spans is None:  # places in the text as it is, if lowering it has moved none
                     spans = [m.span() for m in WORD.finditer(lowered if len(lowered) == len(text) else text)]
                     spans = spans if len(spans) == len(words) else [m.span() for m in WORD.finditer(lowered)]
-                found.append((name, n / len(own.words), spans[-first][0], spans[last][1], n))
+                found.append((name, n / len(own.words), spans[first][0], spans[last][1], n))
+            if slack >= len(words):
+                break
+            slack *= 2
     return found
 
 

@@ -48,6 +48,29 @@ def test_licenses_are_found_where_they_stand():
     assert [h[0] for h in license_scan.scan(f"{notice}\n{notice}\n text {notice}", known)] == ["MIT notice"] * 3
 
 
+def test_inserted_words_hide_no_license():
+    rng = random.Random(3)
+    known = {n: license_scan.License(t, 0.8) for n, t in license_scan.LICENSES.items()}
+    words = license_scan.LICENSES["MIT"].split()
+    before, after = _filler(rng, 400), _filler(rng, 400)
+    blocks = [{len(words) // 2: n} for n in (80, 100, 1000)]  # one stretch, or a header again and again
+    blocks += [{len(words) // 4: 100, 3 * len(words) // 4: 300}, {at: 20 for at in range(12, len(words), 12)}]
+    for block in blocks:
+        body = " ".join(x for i, w in enumerate(words) for x in ([_filler(rng, block[i])] if i in block else []) + [w])
+        hits = license_scan.scan(f"{before}. {body} {after} {body}", known)
+        assert [h[0] for h in hits] == ["MIT"] * 2
+        if len(block) == 1:
+            assert {h[1] for h in hits} == {1.0} and min(h[2] for h in hits) == len(before) + 2
+    scattered = " ".join(f"{w} {_filler(rng, 60)}" for w in license_scan.LICENSES["MIT notice"].split())
+    assert license_scan.scan(scattered, known) == []
+
+
+def test_windows_at_the_beginning_are_all_tried():
+    known = {"Apache": license_scan.License(license_scan.LICENSES["Apache-2.0 notice"], 0.8)}
+    text = "Apache. Licensed under the Apache License, Version 2.0." + " licensed under the license version 2 0" * 2
+    assert license_scan.scan(text, known)[0][:4] == ("Apache", 1.0, 8, 54)
+
+
 def test_alignment_is_a_common_subsequence_with_all_anchors():
     rng = random.Random(2)
     for _ in range(200):
