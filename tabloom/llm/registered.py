@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import (
     byte_bpe,
+    conversation_repair,
     exact_dedup,
+    language_id,
     language_model,
     license_scan,
     line_dedup,
@@ -19,6 +21,7 @@ from tabloom.llm import (
     quality_rules,
     simhash,
     token_counts,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +102,23 @@ def op10_exact_dedup(spark, folder):
     return result.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query
+def op11_conversation_repair(spark, folder):
+    hurt, copies = conversation_repair.damaged(read(spark, folder, "conversations"))
+    return conversation_repair.Repair(hurt, copies=copies).report()
+
+
+@query
+def op12_language_id(spark, folder):
+    docs = read(spark, folder, "documents")
+    held_out = language_id.held_out(docs)
+    model = language_id.learn(docs, ~held_out)
+    return language_id.identify(docs, model, [docs["doc_id"], held_out.alias("held_out")])
+
+
+@query
+def op13_embedding_whitening(spark, folder):
+    result = whitening.whiten(read(spark, folder, "embeddings"))
+    return result.withColumn("deviation", F.col("deviation").try_cast("long"))
