@@ -72,6 +72,14 @@ def union(parts) -> str:
     return " union all ".join(parts)
 
 
+def interpolated(column: str, share: float, table: str) -> str:
+    """A quantile whose interpolation is written out, so that its last bit is the same in all engines."""
+    place = f"({share!r}::double * (n - 1))"
+    low, high = f"v[floor({place})::bigint + 1]", f"v[ceil({place})::bigint + 1]"
+    values = f"select list_sort(list({column}::double) filter ({column} is not null)) as v, count({column}) as n from {table}"
+    return f"(select {low} + ({high} - {low}) * ({place} - floor({place})) from ({values}))"
+
+
 # --- the customer table, step by step -----------------------------------------
 
 CP = f"cp as ({RECIPE})"
@@ -81,8 +89,8 @@ TYPED = """typed as (select * replace (
     case when Partner = 'yes' then 'Yes' else Partner end as Partner,
     try_cast(nullif(TotalCharges, ' ') as double) as TotalCharges) from cp)"""
 
-FILLED = """filled as (select * replace (
-    coalesce(TotalCharges, (select quantile_cont(TotalCharges, 0.5) from typed)) as TotalCharges,
+FILLED = f"""filled as (select * replace (
+    coalesce(TotalCharges, {interpolated('TotalCharges', 0.5, 'typed')}) as TotalCharges,
     coalesce(PaymentMethod, (select PaymentMethod from typed where PaymentMethod is not null
         group by PaymentMethod order by count(*) desc, PaymentMethod limit 1)) as PaymentMethod) from typed),
 dist as (select distinct * from filled)"""
@@ -93,7 +101,7 @@ def _limits(table: str, columns) -> str:
     for c in columns:
         parts.append(
             f"(select {{'lo': q1 - 1.5 * (q3 - q1), 'hi': q3 + 1.5 * (q3 - q1)}} from "
-            f"(select quantile_cont({c}::double, 0.25) q1, quantile_cont({c}::double, 0.75) q3 from {table})) as l_{c}"
+            f"(select {interpolated(c, 0.25, table)} as q1, {interpolated(c, 0.75, table)} as q3)) as l_{c}"
         )
     return f"limits as (select {', '.join(parts)})"
 
