@@ -105,3 +105,19 @@ def segmentation_tokens(pretoken, scores, longest=128):
         score, tokens = max(ways)
         best.append((score, -tokens))
     return best[-1][1]
+
+
+def jaccard(a, b, shingle=5):
+    a, b = (
+        {" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in (WORD.findall(x.lower()) for x in (a, b))
+    )
+    return len(a & b) / len(a | b)
+
+
+def kept_by_jaccard(rows, least=0.8):
+    """What brute force leaves of texts without copies: the smallest id of each group."""
+    rows = sorted(rows)
+    near = [
+        (i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if jaccard(rows[i][1], rows[j][1]) >= least
+    ]
+    return {rows[root][0] for root in linked(len(rows), near)}

@@ -156,22 +156,6 @@ def test_near_copies_of_a_table(spark, documents):
     assert {r["doc_id"] for r in simhash.keep_one(base.unionByName(copies)).collect()} == alone
 
 
-def _jaccard(a, b, shingle=5):
-    a, b = (
-        {" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in (brute.WORD.findall(x.lower()) for x in (a, b))
-    )
-    return len(a & b) / len(a | b)
-
-
-def _kept_by_jaccard(rows, least=0.8):
-    """What brute force leaves of texts without copies: the smallest id of each group."""
-    rows = sorted(rows)
-    near = [
-        (i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if _jaccard(rows[i][1], rows[j][1]) >= least
-    ]
-    return {rows[root][0] for root in brute.linked(len(rows), near)}
-
-
 def _altered(rng, words, share):
     """A text whose set of shingles has about this similarity: one stretch is replaced."""
     n = round((len(words) - 4) * (1 - share) / (1 + share)) - 4
@@ -191,7 +175,7 @@ def test_links_are_those_of_brute_force_similarity(spark, monkeypatch, tile):
     for share in [0.76] * 10 + [0.9] * 10:
         rows.append((len(rows), " ".join(_altered(rng, clump, share))))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == _kept_by_jaccard(rows)
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == brute.kept_by_jaccard(rows)
 
 
 def test_repeats_count_once_and_short_texts_are_found(spark):
@@ -213,7 +197,7 @@ def test_repeats_count_once_and_short_texts_are_found(spark):
     common = words(12)  # a passage of many short texts that are not alike
     add(*[common + words(9) for _ in range(30)], *[words(9) + common for _ in range(30)])
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == _kept_by_jaccard(rows)
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == brute.kept_by_jaccard(rows)
 
 
 def test_one_row_of_a_group_without_ids_stays(spark):
@@ -229,7 +213,7 @@ def test_one_row_of_a_group_without_ids_stays(spark):
 def test_near_stage_on_the_table(spark, documents):
     distinct = documents.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
     rows = pairs(distinct)
-    assert {r["doc_id"] for r in simhash.keep_one(distinct).collect()} == _kept_by_jaccard(rows)
+    assert {r["doc_id"] for r in simhash.keep_one(distinct).collect()} == brute.kept_by_jaccard(rows)
 
 
 def test_empty_tables(odd):

@@ -11,7 +11,7 @@ from conftest import ODD, pairs
 from pyspark.sql import functions as F
 
 from tabloom.functions import joins
-from tabloom.llm import quality_classifier, quality_rules, registered, simhash
+from tabloom.llm import quality_classifier, quality_rules, registered
 from tabloom.sources.workspace import materialized
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -172,14 +172,7 @@ def test_pipeline_stage_by_stage(spark, tables, documents, labels):
                 last[t] = i
             assert kept == set(last.values())
         else:
-            rows = sorted(rows)
-            prints = [np.frombuffer(simhash.fingerprint(t, 5, 16), ">u8").astype(np.uint64) for _, t in rows]
-            apart = lambda a, b: np.bitwise_count(a ^ b)
-            near = [
-                (i, j) for i in range(len(rows)) for j in range(i + 1, len(rows))
-                if (d := apart(prints[i], prints[j]))[0] <= 20 and int(d.sum(dtype=np.int64)) <= 172
-            ]
-            assert kept == {rows[root][0] for root in brute.linked(len(rows), near)}
+            assert kept == brute.kept_by_jaccard(rows)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, tables)
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == kept
     fill = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
