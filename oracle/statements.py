@@ -744,7 +744,9 @@ def statements() -> dict[str, str]:
         t as (select count(*) as test_rows, count(*) filter (Churn = 1) as positive_rows from r where is_test)"""
     facts = "test_rows, positive_rows, true as shares_in_range, true as accuracy_agrees from t"
     out["trained_model_facts"] = f"""with {tests} select model, {facts}, (values ('logistic_regression'), ('random_forest'),
-        ('gradient_boosting'), ('linear_svc')) m(model)"""
+        ('gradient_boosting'), ('kernel_svc')) m(model)"""
+    out["kernel_svc_facts"] = f"""with {tests} select test_rows, positive_rows, true as scores_are_shares,
+        true as predictions_follow_scores, true as ranks_well, true as is_calibrated from t"""
     out["weighted_model_facts"] = f"with {tests} select 'logistic_regression' as model, {facts}"
     out["best_model_facts"] = f"""select section, item_count, true as is_top from (values ('comparison', 20::bigint), ('best_model', 1),
         ('importance', {len(NUMERIC_FEATURES)})) s(section, item_count)"""

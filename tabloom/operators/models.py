@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, names_like, numeric_columns
 from ..functions.jobs import side_by_side
-from ..sources.workspace import workspace
+from ..functions.ordering import with_running_totals
+from ..sources.workspace import materialized, workspace
 from .cleaning import fill_missing, fit_fill
 from .evaluation import best_model, compare_models, confusion, metrics, roc_auc
+from .kernel_machine import fit_kernel_machine
 
 SEED = 42
 TOLERANCE = 1e-4  # of the linear models
 FOREST_DEPTH = 10  # MLlib allows 30; deeper trees cost memory that doubles with each level
 SCALED = ("logistic_regression", "linear_svc")
+#: The classifiers that are trained and compared; a linear machine is there besides.
+COMPARED = ("logistic_regression", "random_forest", "gradient_boosting", "kernel_svc")
 
 
 def resolve_target(names: Sequence[str], target: str = "Churn") -> str:
@@ -59,11 +63,11 @@ def model_matrix(df: DataFrame, target: str = "Churn", keys: Sequence[str] = ())
 def estimators(
     label: str, rows: int, rounds: int = 100, weight: str | None = None, forest_depth: int = FOREST_DEPTH
 ) -> dict[str, Callable]:
-    """The four classifiers with the settings they are compared with.
+    """The classifiers that MLlib has, with the settings they are compared with.
 
     Linear models get an L2 penalty of 1 / rows, which is a cost factor of 1
-    on the summed loss. The linear support vector machine gives a margin, not
-    a probability; that is enough to rank rows.
+    on the summed loss. The linear support vector machine gives a margin; the
+    kernel machine (see :mod:`.kernel_machine`) gives probabilities.
     """
     columns = {"labelCol": label, "featuresCol": "features"} | ({"weightCol": weight} if weight else {})
     penalty = 1.0 / max(rows, 1)
@@ -91,7 +95,12 @@ def _assembled(features: Sequence[str], name: str) -> list:
 
 
 def train(
-    name: str, matrix: Matrix, rows: DataFrame, rounds: int = 100, weight: str | None = None
+    name: str,
+    matrix: Matrix,
+    rows: DataFrame,
+    rounds: int = 100,
+    weight: str | None = None,
+    forest_depth: int = FOREST_DEPTH,
 ) -> PipelineModel:
     """One classifier fitted on ``rows``; scaling is part of the model and fitted on the same rows.
 
@@ -99,14 +108,18 @@ def train(
     unevenly frequent classes.
     """
     workspace(rows.sparkSession)  # tree training checkpoints its lineage there
-    estimator = estimators(matrix.label, rows.count(), rounds, weight)[name]()
+    if name == "kernel_svc":
+        return fit_kernel_machine(rows, matrix.features, matrix.label, 1.0 / max(rows.count(), 1), weight, seed=SEED)
+    estimator = estimators(matrix.label, rows.count(), rounds, weight, forest_depth)[name]()
     return Pipeline(stages=[*_assembled(matrix.features, name), estimator]).fit(rows)
 
 
-def train_all(matrix: Matrix, rows: DataFrame, rounds: int = 100, parallelism: int = 4) -> dict[str, PipelineModel]:
-    """Every classifier fitted on the same rows."""
-    names = list(estimators(matrix.label, 1))
-    return side_by_side({n: partial(train, n, matrix, rows, rounds) for n in names}, parallelism)
+def train_all(
+    matrix: Matrix, rows: DataFrame, rounds: int = 100, parallelism: int = 4, forest_depth: int = FOREST_DEPTH
+) -> dict[str, PipelineModel]:
+    """Every compared classifier fitted on the same rows."""
+    jobs = {n: partial(train, n, matrix, rows, rounds, forest_depth=forest_depth) for n in COMPARED}
+    return side_by_side(jobs, parallelism)
 
 
 def score(model: PipelineModel, rows: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -160,6 +173,8 @@ def feature_importance(model: PipelineModel, features: Sequence[str], rows: Data
     last = model.stages[-1]
     if hasattr(last, "featureImportances"):
         values = last.featureImportances.toArray()
+    elif not hasattr(last, "coefficients"):
+        raise ValueError("this model has no weights of features; see permutation_importance")
     else:
         values = [abs(w) for w in last.coefficients.toArray()]
     table = [(name, float(v)) for name, v in zip(features, values)]
@@ -168,6 +183,55 @@ def feature_importance(model: PipelineModel, features: Sequence[str], rows: Data
     )
 
 
+def _permuted(matrix: Matrix, rows: DataFrame, repeat: int) -> DataFrame:
+    """Every row's features ``x`` and, as ``other``, those of another row: the one at its place in a second hash order.
+
+    Places come from range-partitioned orders, so no task holds the table.
+    """
+    x = F.array(*[col(c).cast("double") for c in matrix.features])
+    held = materialized(rows.select(*[col(k) for k in matrix.keys], col(matrix.label).cast("int").alias("label"), x.alias("x")), "rows")
+    name = [col(k) for k in matrix.keys] or [F.col("x")]
+    one = F.lit(1).cast("long")
+
+    def placed(salt: str) -> DataFrame:
+        hashed = held.withColumns({"_hash": F.xxhash64(F.lit(f"{salt}{repeat}"), *name), "_tie": F.to_json(F.struct(*name))})
+        return with_running_totals(hashed, ["_hash", "_tie"], {"place": one})
+
+    own = placed("own").select("place", "label", "x")
+    return own.join(placed("other").select("place", F.col("x").alias("other")), "place")
+
+
+def permutation_importance(model: PipelineModel, matrix: Matrix, rows: DataFrame, repeats: int = 3) -> DataFrame:
+    """How much F1 is lost when one feature's values are dealt to other rows; mean and spread over repeats.
+
+    Works for any model. Each repeat deals whole rows once; all features are
+    then scored in one pass, each in a copy of the row that has only that feature exchanged.
+    Rows need their keys, or distinct features, for the order to be unique.
+    """
+    parts = None
+    for repeat in range(repeats):
+        dealt = _permuted(matrix, rows, repeat)
+        feature = F.explode(F.sequence(F.lit(-1), F.lit(len(matrix.features) - 1)))
+        spread = dealt.select("label", "x", "other", feature.alias("j"))
+        mixed = F.transform("x", lambda v, i: F.when(i == F.col("j"), F.get(F.col("other"), i)).otherwise(v))
+        spread = spread.select("label", "j", mixed.alias("x"))
+        columns = [F.col("x")[i].alias(name) for i, name in enumerate(matrix.features)]
+        scored = model.transform(spread.select(F.col("label").alias(matrix.label), F.col("j"), *columns))
+        cells = confusion(scored.select(col(matrix.label), "j", "prediction"), matrix.label, "prediction", by=["j"])
+        part = metrics(cells).select("j", "f1_score").withColumn("repeat", F.lit(repeat))
+        parts = part if parts is None else parts.unionByName(part)
+    found = materialized(parts, "permuted-scores")
+    # one score per repeat: a few rows
+    whole = found.where("j = -1").select("repeat", F.col("f1_score").alias("whole"))
+    lost = found.where("j >= 0").join(F.broadcast(whole), "repeat").withColumn("lost", F.col("whole") - F.col("f1_score"))
+    name = F.element_at(F.array(*[F.lit(c) for c in matrix.features]), F.col("j") + 1)
+    return (
+        lost.groupBy(name.alias("feature"))
+        .agg(F.avg("lost").alias("importance"), F.coalesce(F.stddev_pop("lost"), F.lit(0.0)).alias("spread"))
+        .orderBy(F.desc("importance"), F.asc("feature"))
+    )
+
+
 def save_models(models: Mapping[str, PipelineModel], root: str) -> dict[str, str]:
     """Every model with its scaling, ready to be loaded elsewhere."""
     paths = {name: f"{root}/{name}" for name in models}

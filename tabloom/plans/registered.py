@@ -24,6 +24,7 @@ from ..operators import (
     exploring,
     feature_store,
     features,
+    kernel_machine,
     models,
     profiling,
     reporting,
@@ -32,7 +33,7 @@ from ..operators import (
     versioning,
 )
 from ..sources import files, raw_zone, snapshots
-from ..sources.workspace import new_path, path_exists
+from ..sources.workspace import materialized, new_path, path_exists
 from ..streaming import scoring
 from . import train as training_plan
 from .customer_profile import SCHEMA, customer_profile
@@ -915,6 +916,11 @@ def train_linear_svc(spark, sf_dir):
     return _train_one(spark, sf_dir, "linear_svc")
 
 
+@query
+def train_kernel_svc(spark, sf_dir):
+    return _train_one(spark, sf_dir, "kernel_svc")
+
+
 _TRAINED: dict[tuple, str] = {}
 
 
@@ -948,6 +954,25 @@ def feature_importance(spark, sf_dir):
     )
 
 
+@query
+def permutation_importance(spark, sf_dir):
+    """What each feature is worth to the kernel machine, which has no weights of features."""
+    training = _training(spark, sf_dir)
+    test = training_plan.rows_of(training.matrix, "test")
+    return models.permutation_importance(training.models["kernel_svc"], training.matrix, test)
+
+
+def _kernel_scores(spark, sf_dir):
+    training = _training(spark, sf_dir)
+    test = training_plan.rows_of(training.matrix, "test")
+    return models.score(training.models["kernel_svc"], test, training.matrix.label, [KEY])
+
+
+@query
+def kernel_svc_calibration(spark, sf_dir):
+    return kernel_machine.calibration(_kernel_scores(spark, sf_dir))
+
+
 @query
 def cv_scores(spark, sf_dir):
     return training_plan.cross_validate_best(_training(spark, sf_dir))
@@ -977,6 +1002,28 @@ def trained_model_facts(spark, sf_dir):
     return _agree(_training(spark, sf_dir).results)
 
 
+@query
+def kernel_svc_facts(spark, sf_dir):
+    """Probabilities of the held-out rows: shares, in the order of the predictions, near the share of positives, better than chance."""
+    scored = materialized(_kernel_scores(spark, sf_dir), "kernel-scores")
+    area = evaluation.roc_auc(scored, "label", "score").select((F.col("roc_auc") > 0.6).alias("ranks_well"))
+    bins = kernel_machine.calibration(scored, 5)
+    mean = F.col("mean_score")
+    by_chance = 3 * F.sqrt(mean * (1 - mean) / F.col("row_count"))  # three standard errors
+    near = bins.agg(F.bool_and(F.abs(mean - F.col("positive_share")) <= 0.05 + by_chance).alias("is_calibrated"))
+    facts = scored.agg(
+        F.count("*").alias("test_rows"),
+        F.count_if(F.col("label") == 1).alias("positive_rows"),
+        (F.count_if(F.col("score").between(0, 1)) == F.count("*")).alias("scores_are_shares"),
+        F.coalesce(
+            F.max(F.when(F.col("prediction") == 0, F.col("score"))) <= F.min(F.when(F.col("prediction") == 1, F.col("score"))),
+            F.lit(True),
+        ).alias("predictions_follow_scores"),
+    )
+    # one row each
+    return facts.crossJoin(F.broadcast(area)).crossJoin(F.broadcast(near))
+
+
 @query
 def weighted_model_facts(spark, sf_dir):
     return _agree(train_weighted(spark, sf_dir))

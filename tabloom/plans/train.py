@@ -50,9 +50,9 @@ def rows_of(matrix: models.Matrix, split: str) -> DataFrame:
     return matrix.frame.where(F.col("split") == split)
 
 
-def train_and_compare(matrix: models.Matrix, rounds: int = 100) -> Training:
+def train_and_compare(matrix: models.Matrix, rounds: int = 100, forest_depth: int = models.FOREST_DEPTH) -> Training:
     """All classifiers fitted on the training rows and measured on the test rows."""
-    fitted = models.train_all(matrix, rows_of(matrix, "train"), rounds)
+    fitted = models.train_all(matrix, rows_of(matrix, "train"), rounds, forest_depth=forest_depth)
     results = materialized(models.evaluate(fitted, rows_of(matrix, "test"), matrix.label), "results")
     return Training(matrix, fitted, results, best_model(results).first().best_model)
 
@@ -83,7 +83,9 @@ def cross_validate_best(training: Training, rounds: int = 100) -> DataFrame:
 
 def report(training: Training) -> DataFrame:
     """Comparison, best model and the feature importances of the best model."""
-    importance = models.feature_importance(
-        training.models[training.best], training.matrix.features, training.matrix.frame
-    )
+    model = training.models[training.best]
+    if training.best == "kernel_svc":  # has no weights of features
+        found = models.permutation_importance(model, training.matrix, rows_of(training.matrix, "test"), repeats=1)
+        return models.model_report(training.results, found.select("feature", "importance"))
+    importance = models.feature_importance(model, training.matrix.features, training.matrix.frame)
     return models.model_report(training.results, importance)

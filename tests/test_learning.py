@@ -97,7 +97,7 @@ def test_training(spark, points, tmp_path):
     assert matrix.features == ["a", "b", "c"] and matrix.frame.where("c IS NULL").count() == 0
     training = plan.train_and_compare(matrix, rounds=5)
     results = {r.model: r for r in training.results.collect()}
-    assert set(results) == {"logistic_regression", "random_forest", "gradient_boosting", "linear_svc"}
+    assert set(results) == {"logistic_regression", "random_forest", "gradient_boosting", "kernel_svc"}
     assert all(r.roc_auc > 0.95 and r.f1_score > 0.85 for r in results.values())
     assert training.best == min(results, key=lambda m: (-results[m].f1_score, m))
 
