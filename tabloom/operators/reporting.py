@@ -173,16 +173,19 @@ def find_issues(measures: DataFrame) -> DataFrame:
     )
 
 
+# The overall advice.
+ADVICE_ON_ISSUES = ["Review individual dataset issues", "Address missing values and duplicates before modeling"]
+ADVICE_ELSE = ["Datasets appear to be in good quality for modeling"]
+
+
 def combined_summary(measures: DataFrame, issues: DataFrame) -> DataFrame:
-    """Totals over all datasets and the overall advice."""
+    """Totals over all datasets and the overall advice, its sentences parted by semicolons."""
     totals = measures.where(F.col("check") == "shape").agg(
         F.count_distinct("dataset").alias("total_datasets"),
         F.sum(F.when(F.col("metric") == "row_count", F.col("value"))).cast("bigint").alias("total_records"),
         F.sum(F.when(F.col("metric") == "column_count", F.col("value"))).cast("bigint").alias("total_features"),
     )
-    advice = F.when(F.col("overall_issues") > 0, "Review individual dataset issues").otherwise(
-        "Datasets appear to be in good quality for modeling"
-    )
+    advice = F.when(F.col("overall_issues") > 0, "; ".join(ADVICE_ON_ISSUES)).otherwise("; ".join(ADVICE_ELSE))
     found = issues.agg(F.count("*").alias("overall_issues")).withColumn("recommendation", advice)
     # both sides are single rows
     return totals.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one").drop("_one")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import col
 from ..functions.expressions import hash_number
+from ..sources.commits import CommitLog
 
 FINGERPRINT_DIGITS = 15  # hex digits of each row's md5; the sum of 10^19 rows still fits
 RECORD_SCHEMA = (
@@ -47,10 +48,17 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequenc
     )
 
 
+def _log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root}/versions", RECORD_SCHEMA)
+
+
 def record_version(
     df: DataFrame, root: str, label: str, created_at: dt.datetime | None = None
 ) -> DataFrame:
-    """Appends a record of the data set to the version log and returns it."""
+    """Appends a record of the data set to the version log and returns it.
+
+    A tag names one version: recording the same tag at the same time, or again, is a conflict.
+    """
     spark = df.sparkSession
     moment = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     seen = fingerprint(df).first()
@@ -66,12 +74,13 @@ def record_version(
         message,
     )
     row = spark.createDataFrame([entry], RECORD_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    line = dict(zip(row.columns, entry)) | {"created_at": moment.isoformat(timespec="microseconds")}
+    _log(spark, root).append([line], 0, ["version_tag"])
     return row
 
 
 def load_versions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(RECORD_SCHEMA).parquet(f"{root}/versions")
+    return _log(spark, root).read()
 
 
 def history(versions: DataFrame, moment: str = "created_at", by: Sequence[str] = ()) -> DataFrame:

@@ -30,6 +30,7 @@ from ..operators import (
     reporting,
     scaling,
     splitting,
+    states,
     versioning,
 )
 from ..sources import files, raw_zone, snapshots
@@ -158,7 +159,7 @@ def raw_zone_write(spark, sf_dir):
 @query
 def raw_zone_catalog(spark, sf_dir):
     listed = raw_zone.catalog(spark, _raw_events(spark, sf_dir), "events")
-    named = F.col("file_path").contains("/events/source=") & F.col("file_path").endswith(".parquet")
+    named = F.col("file_path").rlike("/events/landing=[0-9a-f]+/source=") & F.col("file_path").endswith(".parquet")
     return _day(
         listed.groupBy("source", "ingest_date").agg(
             F.sum("row_count").alias("row_count"),
@@ -186,6 +187,19 @@ def raw_zone_expire(spark, sf_dir):
     return _day(left.groupBy("source", "ingest_date").agg(F.count("*").alias("row_count")))
 
 
+@query
+def raw_zone_relanded(spark, sf_dir):
+    """All days; then those above 50 landed again, which replaces whole days; then old days dropped. With each day its commit."""
+    root, events = new_path(spark, "raw"), table(spark, sf_dir, "events")
+    for rows in (events, events.where("value > 50")):
+        raw_zone.store_raw(rows, root, "events", F.col("event_type"), F.to_date("ts"))
+    raw_zone.drop_expired(spark, root, "events", LAST_DAY, 10)
+    raw_zone.drop_replaced(spark, root, "events")
+    counted = raw_zone.load_raw(spark, root, "events").groupBy("source", "ingest_date").agg(F.count("*").alias("row_count"))
+    commits = raw_zone.days(spark, root, "events").select("source", "ingest_date", F.col("number").alias("commit_number"))
+    return _day(counted.join(commits, ["source", "ingest_date"]))
+
+
 @query
 def raw_zone_summary(spark, sf_dir):
     return raw_zone.summary(raw_zone.load_raw(spark, _raw_events(spark, sf_dir), "events"))
@@ -313,6 +327,47 @@ def validate_table(spark, sf_dir):
     return rounded(measure({"customers": customers(spark, sf_dir)}))
 
 
+def _measured_by_week(spark, sf_dir):
+    """Root of the states of the events, each week measured by itself."""
+    slot = (spark.sparkContext.applicationId, sf_dir, "weeks")
+    if slot not in _LANDED or not path_exists(spark, _LANDED[slot]):
+        root, events = new_path(spark, "states"), table(spark, sf_dir, "events")
+        week = F.weekofyear("ts")
+        for row in events.select(week.alias("week")).distinct().orderBy("week").collect():  # a row per week
+            states.add_day(events.where(week == row.week), root, str(row.week))
+        _LANDED[slot] = root
+    return _LANDED[slot]
+
+
+SKETCHED = ["median_value", "lower_bound", "upper_bound", "outlier_count", "outlier_pct"]
+
+
+@query
+def validate_incremental(spark, sf_dir):
+    """The report of all weeks from the states of each; what is read off sketches is in the next query."""
+    found = states.merged(spark, _measured_by_week(spark, sf_dir), "events")
+    return rounded(found.where(~F.col("metric").isin(SKETCHED)), 4)
+
+
+@query
+def sketched_ranks(spark, sf_dir):
+    """Whether the merged medians have the middle rank, and outliers are counted right, within the stated error."""
+    found = materialized(states.merged(spark, _measured_by_week(spark, sf_dir), "events"), "merged")
+    events = table(spark, sf_dir, "events")
+    numbers = numeric_columns(events)
+    value = {(r.column_name, r.metric): r.value for r in found.where(F.col("metric").isin(SKETCHED)).collect()}
+    cells = []
+    for c in numbers:
+        x, n = col(c).cast("double"), F.count(col(c))
+        middle, low, high = (F.lit(value[c, m]) for m in ("median_value", "lower_bound", "upper_bound"))
+        off = F.lit(states.RANK_ERROR) + 1 / n
+        near = (F.count_if(x < middle) / n <= 0.5 + off) & (F.count_if(x <= middle) / n >= 0.5 - off)
+        outside = F.count_if((x < low) | (x > high))
+        right = F.abs(outside - F.lit(value[c, "outlier_count"])) <= 2 * off * n
+        cells.append(F.struct(F.lit(c).alias("column_name"), near.alias("median_is_near"), right.alias("outliers_are_near")))
+    return events.agg(F.array(*cells).alias("found")).select(F.inline("found"))
+
+
 @query
 def validation_report(spark, sf_dir):
     rows = customers(spark, sf_dir)
@@ -734,6 +789,15 @@ def label_distribution(spark, sf_dir):
     return feature_store.label_distribution(prepared_customers(spark, sf_dir), "Churn")
 
 
+@query
+def stored_label_distribution(spark, sf_dir):
+    root = new_path(spark, "store")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    for rows in (orders, orders.where("o_totalprice > 1000")):  # the second replaces the first
+        feature_store.store_features(rows, root, "o_orderkey", "o_orderstatus", "orders", "a")
+    return feature_store.stored_labels(spark, root)
+
+
 @query
 def dataset_fingerprint(spark, sf_dir):
     return versioning.fingerprint(table(spark, sf_dir, "lineitem"))
