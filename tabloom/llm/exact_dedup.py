@@ -4,9 +4,11 @@ The index is a Parquet table of SHA-256 digests, bucketed and sorted by digest,
 that outlives the session: ``open_index`` registers its folder again. A batch is
 reduced to one candidate per digest (copies collapse before the shuffle), the
 candidates that a sort-merge anti-join does not find in the index are new, and
-their digests are appended under the name of the batch. Reading "the index
-without this batch" stays right after the append, so a task that runs again on
-another executor decides as before.
+their digests are appended under the name of the batch, which the caller gives.
+Reading "the index without this batch" stays right after the append: a task that
+runs again on another executor decides as before, and so does a whole run that
+failed after the append, or whose result nobody read, when it is run again under
+the same name. A digest is appended once per batch, however often that runs.
 
 Defined cases: a null text equals the empty text; a null id counts as the
 smallest id; of repeated rows (same id, same text) exactly one stays; an empty
@@ -17,7 +19,6 @@ untouched, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from tabloom.functions.joins import attach
 from tabloom.llm.common import texts
 from tabloom.sources.workspace import materialized, new_path
 
-#: Buckets of a new index; a production index of 10^11 digests wants thousands.
+#: Buckets of a new index at least; by default it has as many as a shuffle has partitions.
 BUCKETS = 24
 
 
@@ -51,20 +52,23 @@ def _before(spark: SparkSession, index: str, batch: str) -> DataFrame:
 
 
 def _append(groups: DataFrame, index: str, batch: str) -> None:
-    """Adds the groups that earlier batches do not have; one file for each bucket."""
+    """Adds the groups that the index does not have; one file for each bucket."""
     spark = groups.sparkSession
-    new = groups.join(_before(spark, index, batch).select("digest").hint("merge"), "digest", "left_anti")
+    known = spark.table(index).select("digest")  # its own ones too, if the batch has been here before
+    new = groups.join(known.hint("merge"), "digest", "left_anti")
     rows = new.select("digest", "keep_id", "keep_row", "copies", F.lit(batch).alias("batch"))
     rows.repartition(_buckets(spark, index), "digest").write.insertInto(index)
 
 
-def decide(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def decide(docs: DataFrame, index: str, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``keep_id``, ``group_size``, ``kept`` and ``digest``.
 
+    ``batch`` names these documents; a repeat under the same name gives the same rows.
+
     ``keep_id`` is the largest id among equal texts of the batch, or the id an
     earlier batch has put into the index; ``group_size`` counts the batch.
     """
-    spark, batch = docs.sparkSession, uuid.uuid4().hex
+    spark = docs.sparkSession
     digest = F.unhex(F.sha2(F.col("text"), 256))
     rows = materialized(
         texts(docs, id_col, text_col).select("doc_id", digest.alias("digest"), F.monotonically_increasing_id().alias("row")),
@@ -90,13 +94,15 @@ def decide(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str =
     )
 
 
-def drop_copies(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_copies(docs: DataFrame, index: str, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is new, the largest id of each, with all their columns.
 
+    ``batch`` names these documents; a repeat under the same name gives the same rows.
+
     Whole rows are reduced by digest, so copies collapse inside the tasks that
     read them and a text is shuffled once.
     """
-    spark, batch = docs.sparkSession, uuid.uuid4().hex
+    spark = docs.sparkSession
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     tie = F.xxhash64(F.to_json(F.struct(*[docs[c] for c in others]))) if others else F.lit(0)
@@ -112,7 +118,8 @@ def drop_copies(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: s
     return new.select("whole.*")
 
 
-def fresh_index(docs: DataFrame, id_col: str = "doc_id") -> str:
+def fresh_index(docs: DataFrame, id_col: str = "doc_id", buckets: int | None = None) -> str:
     """An empty index in the shared folder, for one run over a whole table."""
     spark = docs.sparkSession
-    return open_index(spark, new_path(spark, "digest-index"), docs.schema[id_col].dataType.simpleString())
+    buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return open_index(spark, new_path(spark, "digest-index"), docs.schema[id_col].dataType.simpleString(), buckets)

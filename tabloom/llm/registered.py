@@ -98,7 +98,7 @@ def op9_quality_rules(spark, folder):
 @query
 def op10_exact_dedup(spark, folder):
     docs = read(spark, folder, "documents")
-    result = exact_dedup.decide(docs, exact_dedup.fresh_index(docs))
+    result = exact_dedup.decide(docs, exact_dedup.fresh_index(docs), "documents")
     return result.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )

@@ -17,7 +17,7 @@ def _key(row):
 
 
 def test_exact_decisions(odd):
-    got = exact_dedup.decide(odd, exact_dedup.fresh_index(odd)).collect()
+    got = exact_dedup.decide(odd, exact_dedup.fresh_index(odd), "odd").collect()
     assert len(got) == len(ODD)
     by_text = {}
     for i, t, *_ in ODD:
@@ -30,7 +30,7 @@ def test_exact_decisions(odd):
 
 
 def test_exact_rows_keep_their_columns(odd):
-    kept = exact_dedup.drop_copies(odd, exact_dedup.fresh_index(odd))
+    kept = exact_dedup.drop_copies(odd, exact_dedup.fresh_index(odd), "odd")
     assert kept.schema.names == odd.schema.names
     rows = kept.collect()
     assert len(rows) == len({t or "" for _, t, *_ in ODD})
@@ -41,14 +41,14 @@ def test_index_outlives_the_batch(spark, odd):
     path = new_path(spark, "index")
     index = exact_dedup.open_index(spark, path)
     first = odd.filter("doc_id < 8")
-    assert exact_dedup.drop_copies(first, index).count() == 5  # texts 1=2, 3, 4, 5=6, 7
+    assert exact_dedup.drop_copies(first, index, "first").count() == 5  # texts 1=2, 3, 4, 5=6, 7
     spark.sql(f"DROP TABLE {index}")  # the folder stays
     again = exact_dedup.open_index(spark, path)
-    more = exact_dedup.decide(odd, again).collect()
+    more = exact_dedup.decide(odd, again, "odd").collect()
     kept = {r["doc_id"] for r in more if r["kept"]}
     assert not kept & {1, 2, 3, 4, 5, 6, 7} and {8, 9, 20, 22} <= kept
     assert {r["keep_id"] for r in more if r["doc_id"] in (5, 6)} == {6}
-    assert exact_dedup.drop_copies(odd, again).count() == 0
+    assert exact_dedup.drop_copies(odd, again, "odd again").count() == 0
     joined = spark.table(again).select("digest").hint("merge").join(spark.table(again).hint("merge"), "digest")
     assert f"SelectedBucketsCount: {exact_dedup.BUCKETS}" in joined._jdf.queryExecution().toString()
 
@@ -216,10 +216,38 @@ def test_near_stage_on_the_table(spark, documents):
     assert {r["doc_id"] for r in simhash.keep_one(distinct).collect()} == brute.kept_by_jaccard(rows)
 
 
+def test_a_batch_that_runs_again_keeps_the_same_rows(spark, odd):
+    """As after a failure behind the append: nothing is taken for a copy of itself, and nothing is appended twice."""
+    index = exact_dedup.fresh_index(odd, buckets=5)
+    first = exact_dedup.drop_copies(odd, index, "monday")  # its result is never read
+    appended = spark.table(index).count()
+    again = exact_dedup.drop_copies(odd, index, "monday")
+    assert sorted(map(str, again.collect())) == sorted(map(str, first.collect())) and again.count() == appended
+    assert spark.table(index).count() == appended == spark.table(index).select("digest").distinct().count()
+    decided = exact_dedup.decide(odd, index, "monday")
+    assert decided.filter("kept").count() == appended and spark.table(index).count() == appended
+    assert exact_dedup.drop_copies(odd, index, "tuesday").count() == 0
+
+
+def test_an_append_that_fails_is_repeated(spark, odd, monkeypatch):
+    index, append = exact_dedup.fresh_index(odd), exact_dedup._append
+
+    def broken(groups, index, batch):
+        append(groups, index, batch)
+        raise RuntimeError("lost after the append")
+
+    monkeypatch.setattr(exact_dedup, "_append", broken)
+    with pytest.raises(RuntimeError):
+        exact_dedup.drop_copies(odd, index, "monday")
+    monkeypatch.undo()
+    texts = {t or "" for _, t in pairs(odd)}
+    assert exact_dedup.drop_copies(odd, index, "monday").count() == len(texts)
+
+
 def test_empty_tables(odd):
     none = odd.limit(0)
-    assert exact_dedup.decide(none, exact_dedup.fresh_index(none)).count() == 0
-    assert exact_dedup.drop_copies(none, exact_dedup.fresh_index(none)).count() == 0
+    assert exact_dedup.decide(none, exact_dedup.fresh_index(none), "none").count() == 0
+    assert exact_dedup.drop_copies(none, exact_dedup.fresh_index(none), "none").count() == 0
     assert line_dedup.drop_common_lines(none).count() == 0
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.keep_one(none).count() == 0
