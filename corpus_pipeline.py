@@ -40,7 +40,7 @@ def classifier(spark, docs, sf_dir):
 
 def exact(spark, docs, sf_dir):
     """One document of each text, the one with the largest id."""
-    return exact_dedup.drop_copies(docs, exact_dedup.fresh_index(docs))
+    return exact_dedup.drop_copies(docs, exact_dedup.fresh_index(docs), "documents")
 
 
 def near(spark, docs, sf_dir):
