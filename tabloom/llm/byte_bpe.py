@@ -3,7 +3,11 @@
 Tasks encode whole texts with the tiktoken library. A long text is first cut
 where no match of the splitting pattern can span: after a character that is
 surely no white space and before an ASCII blank. Only the whole text decides the
-ids, so cutting bounds the work of one call and nothing else. Decoding gives raw
+ids, so cutting bounds the work of one call and nothing else. Very long runs of
+white space, on which the splitting pattern fails for want of memory, are matched
+here: all but the last blank is one match, or the whole run at the end of a text.
+This rule belongs to patterns that end in ``\\s+(?!\\S)|\\s+`` and take white space
+nowhere else but one blank before a word; other patterns are used as they are. Decoding gives raw
 bytes. There is no shuffle, and a task holds one batch of rows.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; rows are
@@ -26,6 +30,11 @@ from tabloom.llm.common import MAYBE_BLANK, texts
 
 #: Characters of a text that are encoded at once; a longer run without a blank stays whole.
 CHUNK = 1 << 15
+#: White space as the library's patterns know it, and the run from which it is matched here.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RUN = 1 << 12
+_RUN = re.compile(rf"[{SPACE}]{{{RUN},}}")
+_ENDING = r"|\s+(?!\S)|\s+"
 _SAFE_END = re.compile(rf"[^{MAYBE_BLANK}](?=[ \n\t\r])")
 
 
@@ -52,12 +61,29 @@ def chunks(text: str, size: int = CHUNK) -> list[str]:
     return [*pieces, text[start:]]
 
 
+def _with_runs(text: str, pattern: str):
+    """Parts of a text in order, and whether one is a single match of white space."""
+    start = 0
+    if pattern.endswith(_ENDING) and r"\s" not in pattern[: -len(_ENDING)].replace(r"[^\s", ""):
+        for run in _RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            yield text[start : run.start()], False
+            yield text[run.start() : end], True
+            start = end
+    yield text[start:], False
+
+
 def encode_text(text: str, ranks: str, pattern: str):
     """The ids as a numpy array of unsigned 32-bit integers, little-endian."""
     import numpy as np
 
     own = encoding(ranks, pattern)
-    parts = [own.encode_to_numpy(piece, disallowed_special=()) for piece in chunks(text) if piece]
+    parts = []
+    for part, is_match in _with_runs(text, pattern):
+        if is_match:
+            parts.append(np.array(own._encode_single_piece(part.encode()), "<u4"))
+        else:
+            parts += [own.encode_to_numpy(piece, disallowed_special=()) for piece in chunks(part) if piece]
     return np.concatenate(parts).astype("<u4") if parts else np.empty(0, "<u4")
 
 

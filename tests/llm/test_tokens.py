@@ -313,3 +313,30 @@ def test_training_learns_what_follows_what():
         model.train(before, (before[:, 0] + 1) % 20, rng)
     table = 10 ** model.table().astype(float)
     assert min(table[i, j, (i + 1) % 20] for i in range(20) for j in range(20)) > 0.5
+
+
+def _own_encoding():
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", " \n", "　\t", "\x85 "])
+@pytest.mark.parametrize("shape", ["{}", "{}word", "word{}", "one{}two", "a{}'s b{}9{}!\n", "{}x y{}", "ends in mark.{}— dash"])
+def test_long_runs_of_blanks_are_as_in_the_library(blank, shape):
+    ranks, pattern = _own_encoding()
+    own = byte_bpe.encoding(ranks, pattern)
+    for n in (byte_bpe.RUN - 1, byte_bpe.RUN, byte_bpe.RUN + 1, 3 * byte_bpe.RUN):
+        text = shape.format(*[(blank * n)[:n]] * 3)
+        assert byte_bpe.encode_text(text, ranks, pattern).tolist() == own.encode_ordinary(text)
+
+
+def test_two_million_blanks(spark):
+    """The library itself fails on these."""
+    ranks, pattern = _own_encoding()
+    run = " " * 2_000_000
+    texts = [run, run + "end", "start" + run, "one" + run + "two" + "\n" * 1_000_001 + "three", run[:-1] + "\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_tokens"], bytes(r["data"])) for r in byte_bpe.round_trip(docs, ranks, pattern).collect()}
+    assert all(found[i][1] == text.encode() for i, text in enumerate(texts))
+    own = byte_bpe.encoding(ranks, pattern)
+    short = len(own.encode_ordinary("one" + " " * 1000 + "two" + "\n" * 1001 + "three"))
+    assert found[3][0] - short == 2_000_000 - 1000 + len(own._encode_single_piece(b"\n" * 1_000_000)) - len(own._encode_single_piece(b"\n" * 1000))
