@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from tabloom.llm.common import MAYBE_BLANK, texts
 
 MOST_NODES = 1_000_000
+#: Characters of a pre-token from which it is scored outside the trie.
+IN_TRIE = 4096
 #: Characters of text that are split at once.
 BLOCK = 1 << 16
 
@@ -50,6 +52,7 @@ class PieceTrie:
 
     def __init__(self, scores: dict[bytes, float]):
         self.lowest = min(scores.values(), default=0.0) - 1.0
+        self.longest = max(map(len, scores), default=1)
         self.endings: dict = {}
         for piece, score in scores.items():
             node = self.endings
@@ -92,8 +95,31 @@ class PieceTrie:
         self.children[parent][byte] = node
         return node
 
+    def _rolled(self, data: bytes) -> int:
+        """As the trie would find it, with the scores of the last prefixes only; memory does not follow the length."""
+        size = self.longest + 1
+        best, tokens = [0.0] * size, [0] * size
+        for end in range(1, len(data) + 1):
+            before = (end - 1) % size
+            top, fewest = best[before] + self.lowest, tokens[before] + 1
+            found, ending, at = False, self.endings, end
+            while at > 0:
+                ending = ending.get(data[at - 1])
+                if ending is None:
+                    break
+                at -= 1
+                score = ending.get(-1)
+                if score is not None:
+                    total, count = best[at % size] + score, tokens[at % size] + 1
+                    if not found or total > top or (total == top and count < fewest):
+                        top, fewest, found = total, count, True
+            best[end % size], tokens[end % size] = top, fewest
+        return tokens[len(data) % size]
+
     def insert(self, pretoken: str) -> int:
-        """The number of tokens of the best segmentation, kept for the next time."""
+        """The number of tokens of the best segmentation, kept for the next time unless the pre-token is very long."""
+        if len(pretoken) > IN_TRIE:
+            return self._rolled(pretoken.encode())
         node = 0
         for byte in pretoken.encode():
             children = self.children[node]
@@ -103,10 +129,14 @@ class PieceTrie:
         return count
 
     def total(self, pretokens: list[str]) -> int:
-        counts = self.counts
+        counts, long = self.counts, {}
         for new in set(pretokens).difference(counts):
-            self.insert(new)
-        return sum(map(counts.__getitem__, pretokens))
+            found = self.insert(new)
+            if new not in counts:
+                long[new] = found
+        if not long:
+            return sum(map(counts.__getitem__, pretokens))
+        return sum(long[x] if x in long else counts[x] for x in pretokens)
 
 
 @lru_cache(maxsize=2)

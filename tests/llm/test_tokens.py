@@ -340,3 +340,26 @@ def test_two_million_blanks(spark):
     own = byte_bpe.encoding(ranks, pattern)
     short = len(own.encode_ordinary("one" + " " * 1000 + "two" + "\n" * 1001 + "three"))
     assert found[3][0] - short == 2_000_000 - 1000 + len(own._encode_single_piece(b"\n" * 1_000_000)) - len(own._encode_single_piece(b"\n" * 1000))
+
+
+def test_very_long_pretokens_are_scored_outside_the_trie(monkeypatch):
+    trie = token_counts.PieceTrie(token_counts.zipf_scores(RANKS))
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeé北 ") for _ in range(rng.randrange(1, 400))) for _ in range(60)] + ["the" * 900, "x" * 3000]
+    inside = [trie.insert(w) for w in words]
+    monkeypatch.setattr(token_counts, "IN_TRIE", 0)
+    nodes = len(trie.best)
+    assert [trie.insert(w) for w in words] == inside and len(trie.best) == nodes
+    trie.clear()
+    assert trie.total(words + words[:5]) == sum(inside) + sum(inside[:5]) and not trie.counts
+
+
+def test_memory_of_a_long_pretoken():
+    import tracemalloc
+
+    trie = token_counts.PieceTrie(token_counts.zipf_scores(RANKS))
+    word = "longword" * 40_000
+    tracemalloc.start()
+    trie.total([word])
+    assert tracemalloc.get_traced_memory()[1] < 3 * len(word) + 200_000
+    tracemalloc.stop()
