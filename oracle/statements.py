@@ -774,6 +774,29 @@ def statements() -> dict[str, str]:
               from cp where PaymentMethod is not null group by 1)
         select customerID, {rnd('coalesce((total + overall * 10.0) / (n + 10.0), overall)')} as payment,
           case when Churn = 'Yes' then 1 else 0 end as target from cp left join e on PaymentMethod = pm, g"""
+    def others(column):
+        """The mean of the other folds' rows, pulled towards their overall mean by the method of moments."""
+        return f"""cells_{column} as (select {column} as v, fold, count(*) as n, sum(target)::double as t from r where {column} is not null group by 1, 2),
+            o_{column} as (select v.v, f.fold, f.overall, v.n - coalesce(c.n, 0) as n, v.t - coalesce(c.t, 0) as t
+                from (select v, sum(n) as n, sum(t) as t from cells_{column} group by v) v cross join outside f
+                left join cells_{column} c on c.v = v.v and c.fold = f.fold),
+            m_{column} as (select fold, sum(n)::double as n, sum(t) / sum(n)::double as p, count(*) as k, sum(n::double * n) as squares,
+                sum(t * t / n::double) as weighted from o_{column} where n > 0 group by fold),
+            w_{column} as (select fold, p * (1 - p) as chance, (weighted - n * p * p - (k - 1) * p * (1 - p)) / (n - squares / n) as spread from m_{column}),
+            e_{column} as (select v, o.fold, case when spread > 0 then (t + overall * chance / spread) / (n + chance / spread) else overall end as mean
+                from o_{column} o join w_{column} w using (fold) where n > 0)"""
+
+    out["target_encoding_out_of_fold"] = cp + f""", r as (select customerID, PaymentMethod as payment,
+            cast(cast(floor(MonthlyCharges) as bigint) as varchar) as charge, case when Churn = 'Yes' then 1 else 0 end as target,
+            cast({split_hash(['customerID'])} % 5 as int) as fold from cp),
+        f as (select fold, count(*) as n, sum(target)::double as t from r group by fold),
+        outside as (select fold, ((select sum(t) from f) - t) / ((select sum(n) from f) - n)::double as overall from f),
+        {others('payment')}, {others('charge')}
+        select customerID, {rnd('coalesce(p.mean, overall)')} as payment, {rnd('coalesce(c.mean, overall)')} as charge, target
+        from r join outside using (fold) left join e_payment p on p.v = payment and p.fold = r.fold
+        left join e_charge c on c.v = charge and c.fold = r.fold"""
+    out["stream_without_repeats"] = """select event_type, count(*) as row_count, count(distinct event_id) as event_count,
+        cast(sum(event_id) as bigint) as id_total from events group by event_type"""
     cuts = " + ".join(
         f"case when value > (select quantile_cont(value, {i / 10}) from events where ts < timestamp '2024-01-16') then 1 else 0 end"
         for i in range(1, 10)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, literal, quoted, string_columns
 from ..functions.joins import attach_any
 from ..functions.ordering import with_running_totals
+from ..functions.quantiles import group_key
+from ..sources.workspace import materialized
 from .profiling import value_counts, value_hashes
 
 MAX_ONE_HOT = 50  # more distinct values than this get codes instead of flags
@@ -176,3 +178,77 @@ def encode_target(df: DataFrame, column: str, means: TargetMeans) -> DataFrame:
     found = F.coalesce("_found", F.lit(means.overall)).alias(column)
     known = means.table.where(F.col("value").isNotNull())
     return _lookup(df, column, known, "encoded").select(*[found if c == column else col(c) for c in df.columns])
+
+
+def _pull(rows: Column, hits: Column, squares: Column, groups: Column, weighted: Column) -> Column:
+    """How many rows of the overall mean a category is pulled by, from how much categories differ.
+
+    The method of moments: the spread of category means beyond what chance gives
+    them. Where there is none, the pull is infinite (null here).
+    """
+    share = hits / rows
+    chance = share * (1 - share)
+    beyond = weighted - rows * share * share - (groups - 1) * chance
+    between = F.try_divide(beyond, rows - F.try_divide(squares, rows))
+    return F.when(between > 0, chance / between)
+
+
+def encode_target_out_of_fold(
+    df: DataFrame, column: str, target: str, fold: str, weight: float | None = None
+) -> DataFrame:
+    """The column replaced by its category's target mean over the rows of all other folds.
+
+    No row sees its own target, nor has one of its fold had a part in anything it
+    is given: totals of the fold are taken off those of all rows, and so the
+    overall mean and, without a ``weight``, the strength of the pull towards it
+    are of the other folds as well. Rows are grouped once, by category and fold;
+    the table of means is joined without moving rows of frequent categories.
+    Missing categories, and those that other folds do not have, get the overall
+    mean; a missing target counts for nothing.
+    """
+    y = col(target).cast("double")
+    name, missing = group_key(col(column)), col(column).isNull()
+    cells = materialized(
+        df.groupBy(F.when(~missing, name).alias("_value"), col(fold).alias("_fold")).agg(
+            F.count(y).alias("n"), F.coalesce(F.sum(y), F.lit(0.0)).alias("t"), F.count(F.lit(1)).alias("_rows")
+        ),
+        "target-cells",
+    )
+    folds = cells.groupBy("_fold").agg(F.sum("n").alias("fold_n"), F.sum("t").alias("fold_t"))
+    whole = cells.agg(F.sum("n").alias("all_n"), F.sum("t").alias("all_t"))
+    # one row per fold
+    outside = folds.crossJoin(F.broadcast(whole)).select(
+        "_fold", (F.col("all_n") - F.col("fold_n")).alias("rows"), (F.col("all_t") - F.col("fold_t")).alias("hits")
+    )
+    values = cells.where("_value IS NOT NULL").groupBy("_value").agg(F.sum("n").alias("v_n"), F.sum("t").alias("v_t"))
+    every = values.crossJoin(F.broadcast(folds.select("_fold")))  # as many rows per category as there are folds
+    own = cells.where("_value IS NOT NULL").select("_value", "_fold", F.col("n").alias("own_n"), F.col("t").alias("own_t"), "_rows")
+    others = every.join(own, ["_value", "_fold"], "left").select(
+        "_value",
+        "_fold",
+        "_rows",
+        (F.col("v_n") - F.coalesce("own_n", F.lit(0))).alias("o_n"),
+        (F.col("v_t") - F.coalesce("own_t", F.lit(0.0))).alias("o_t"),
+    )
+    others = materialized(others, "target-of-others")
+    known = others.where("o_n > 0").groupBy("_fold").agg(
+        F.sum(F.col("o_n") * F.col("o_n")).alias("squares"),
+        F.count(F.lit(1)).alias("groups"),
+        F.sum("o_n").alias("g_n"),
+        F.sum("o_t").alias("g_t"),
+        F.sum(F.col("o_t") * F.col("o_t") / F.col("o_n")).alias("weighted"),
+    )
+    pull = F.lit(weight) if weight is not None else _pull(*map(F.col, ("g_n", "g_t", "squares", "groups", "weighted")))
+    pulls = known.select("_fold", pull.cast("double").alias("pull"))
+    settings = outside.join(F.broadcast(pulls), "_fold", "left")
+    settings = materialized(settings.select("_fold", F.try_divide("hits", "rows").alias("overall"), "pull"), "target-folds")
+    mean = (F.col("o_t") + F.col("overall") * F.col("pull")) / (F.col("o_n") + F.col("pull"))
+    key = F.unhex(F.md5(F.concat(F.col("_fold").cast("string"), F.lit(":"), F.col("_value"))))
+    means = others.where("o_n > 0 AND _rows IS NOT NULL").join(F.broadcast(settings), "_fold").select(
+        key.alias("_key"), F.coalesce(mean, F.col("overall")).alias("_found"), F.col("_rows").alias("_weight")
+    )
+    means = materialized(means, "target-means")
+    marked = df.withColumns({"_value": F.when(~missing, name), "_fold": col(fold)}).withColumn("_key", key)
+    met = attach_any(marked, means, "_key", "_weight", "left").join(F.broadcast(settings.select("_fold", "overall")), "_fold", "left")
+    found = F.coalesce("_found", "overall").alias(column)
+    return met.select(*[found if c == column else col(c) for c in df.columns])

@@ -1155,6 +1155,19 @@ def target_encoding(spark, sf_dir):
     return rounded(encoding.encode_target(rows, "payment", encoding.fit_target_means(rows, "payment", "target")))
 
 
+@query
+def target_encoding_out_of_fold(spark, sf_dir):
+    """Churn by means of payment and, for many categories, by customer's monthly charge, each from the other folds."""
+    rows = customers(spark, sf_dir).select(
+        KEY, F.col("PaymentMethod").alias("payment"), F.floor("MonthlyCharges").cast("string").alias("charge"),
+        (F.col("Churn") == "Yes").cast("int").alias("target"),
+    )
+    out = landed(spark, sf_dir, "customer-folds", lambda: splitting.assign_folds(rows, [KEY]))
+    for column in ("payment", "charge"):
+        out = encoding.encode_target_out_of_fold(out, column, "target", "fold")
+    return rounded(out.drop("fold"))
+
+
 @query
 def drift_psi(spark, sf_dir):
     events = table(spark, sf_dir, "events")
@@ -1217,6 +1230,24 @@ def window_quality_stream(spark, sf_dir):
     return scoring.write_updates(windows, new_path(spark, "stream"), ["window_start", "event_type"])
 
 
+@query
+def stream_without_repeats(spark, sf_dir):
+    """Events in two runs of one checkpoint, the second with copies of what the first has seen and with rows that come too late."""
+    events, folder = table(spark, sf_dir, "events"), new_path(spark, "arriving")
+    out, middle = new_path(spark, "stream"), F.lit("2024-01-16").cast("timestamp_ntz")
+    first, second = events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)
+    copies = first.where(F.col("ts") >= middle - F.expr("interval 1 day"))
+    late = first.where(F.col("ts") < middle - F.expr("interval 5 days")).withColumn("event_id", -1 - F.col("event_id"))
+    for arriving in (first.unionByName(first.where("event_id % 3 = 0")), second.unionByName(copies).unionByName(late)):
+        arriving.write.mode("append").parquet(folder)
+        rows = scoring.read_stream(spark, folder, events.schema)
+        timed = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+        found = scoring.write_available(scoring.without_repeats(timed, ["event_id"], "ts", "2 days"), out)
+    return found.groupBy("event_type").agg(
+        F.count("*").alias("row_count"), F.count_distinct("event_id").alias("event_count"), F.sum("event_id").alias("id_total")
+    )
+
+
 @query
 def stream_scores(spark, sf_dir):
     """Arriving rows scored by a model trained on a batch."""
