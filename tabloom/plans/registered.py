@@ -27,6 +27,7 @@ from ..operators import (
     kernel_machine,
     models,
     profiling,
+    projection,
     reporting,
     scaling,
     splitting,
@@ -1202,6 +1203,36 @@ def pca_components(spark, sf_dir):
     return shares
 
 
+@query
+def pca_projection(spark, sf_dir):
+    """Every customer's place on the five largest components."""
+    matrix = _matrix(spark, sf_dir)
+    return projection.project(matrix.frame, projection.fit_projection(matrix.frame, matrix.features, 5), [KEY])
+
+
+@query
+def projection_facts(spark, sf_dir):
+    """The randomized components against an exact decomposition of all column pairs, and what projected rows must be like."""
+    matrix = _matrix(spark, sf_dir)
+    fitted = projection.fit_projection(matrix.frame, matrix.features, 5)
+    rows = projection.project(matrix.frame, fitted, [KEY])
+    _, shares = models.principal_components(matrix, 5)
+    exact = {r.component: r.explained_share for r in shares.collect()}  # five numbers
+    total = F.var_samp("component_1") / F.lit(fitted.shares[0])
+    cells = [
+        F.struct(
+            F.lit(i).alias("component"),
+            F.count("*").alias("row_count"),
+            (F.abs(F.avg(f"component_{i}")) < 1e-6).alias("is_centred"),
+            (F.abs(F.var_samp(f"component_{i}") / total - F.lit(share)) < 1e-6).alias("has_its_share"),
+            (F.lit(abs(share - exact[i])) < 1e-4).alias("is_exact"),
+            (F.abs(F.covar_samp(f"component_{i}", f"component_{i % 5 + 1}")) < 1e-6 * total).alias("is_uncorrelated"),
+        )
+        for i, share in enumerate(fitted.shares, 1)
+    ]
+    return rows.agg(F.array(*cells).alias("found")).select(F.inline("found"))
+
+
 @query
 def tune_logistic(spark, sf_dir):
     matrix = _matrix(spark, sf_dir)
