@@ -852,6 +852,19 @@ def statements() -> dict[str, str]:
               + case when {split_hash(LINE_KEYS)} < floor((times - floor(times)) * {16**13}.0::double) then 1 else 0 end as copies
               from lineitem join t on f = l_returnflag)
         select l_returnflag, cast(sum(copies) as bigint) as row_count, cast(sum(copies * l_orderkey) as bigint) as order_total from r group by 1"""
+    def evened(rows: str, label: str, keys) -> str:
+        """Copies of each row once every class is as large as the largest."""
+        return f"""s as (select {label} as f, count(*) as n from {rows} group by 1), m as (select max(n) as largest from s),
+            p as (select r.*, n, largest, row_number() over (partition by {label} order by {split_hash(keys)}) as place
+                  from {rows} r join s on f is not distinct from {label} cross join m),
+            e as (select *, 1 + (largest - n) // n + case when place <= (largest - n) % n then 1 else 0 end as copies from p)"""
+
+    out["synthetic_customers"] = f"""with {PREPARED}, {evened('prepared', 'Churn', ['customerID'])}
+        select customerID, Churn, cast(copies as bigint) as row_count, cast(copies - 1 as integer) as last_synthetic, true as in_range from e"""
+    out["synthetic_lines"] = f"""with {evened('lineitem', 'l_returnflag', LINE_KEYS)}
+        select l_returnflag, cast(sum(copies) as bigint) as row_count, cast(sum(copies - 1) as bigint) as synthetic_count,
+            cast(sum(copies * l_orderkey) as bigint) as order_total, min(l_quantity)::double as min_quantity, max(l_quantity)::double as max_quantity
+        from e group by 1"""
     out["snapshot_fallback"] = """select 'fallback' as found, count(*) as row_count, cast(sum(o_orderkey) as bigint) as total from orders
         union all select 'newest', count(*), cast(sum(o_orderkey) as bigint) from orders where o_orderstatus = 'F'"""
     return out

@@ -32,6 +32,7 @@ from ..operators import (
     scaling,
     splitting,
     states,
+    synthetic,
     versioning,
 )
 from ..sources import files, raw_zone, snapshots
@@ -892,6 +893,40 @@ def oversampled_lines(spark, sf_dir):
     )
 
 
+CHARGES = ["tenure", "MonthlyCharges", "TotalCharges"]
+
+
+def _evened_customers(spark, sf_dir):
+    rows = prepared_customers(spark, sf_dir).select(KEY, "Churn", *CHARGES)
+    return landed(spark, sf_dir, "evened", lambda: synthetic.add_synthetic(rows, "Churn", [KEY], CHARGES))
+
+
+@query
+def synthetic_customers(spark, sf_dir):
+    """How often each customer is there once classes are even, and whether its values lie in the range of its class."""
+    rows = _evened_customers(spark, sf_dir)
+    ends = prepared_customers(spark, sf_dir).groupBy("Churn").agg(
+        *[f(c).alias(f"{n}_{c}") for c in CHARGES for n, f in (("low", F.min), ("high", F.max))]
+    )
+    inside = [F.coalesce(F.col(c).between(F.col(f"low_{c}") - 1e-6, F.col(f"high_{c}") + 1e-6), F.lit(True)) for c in CHARGES]
+    # two classes
+    joined = rows.join(F.broadcast(ends), "Churn")
+    return joined.groupBy(KEY, "Churn").agg(
+        F.count("*").alias("row_count"), F.max("synthetic").alias("last_synthetic"), F.bool_and(inside[0] & inside[1] & inside[2]).alias("in_range")
+    )
+
+
+@query
+def synthetic_lines(spark, sf_dir):
+    """Lines with synthetic ones, by flag: as many as of the most frequent flag, between the values of their parents' class."""
+    rows = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_returnflag", *MONEY)
+    made = synthetic.add_synthetic(rows, "l_returnflag", LINE_KEYS, MONEY)
+    return made.groupBy("l_returnflag").agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("synthetic") > 0).alias("synthetic_count"),
+        F.sum("l_orderkey").alias("order_total"), F.min("l_quantity").alias("min_quantity"), F.max("l_quantity").alias("max_quantity"),
+    )
+
+
 @query
 def class_weights(spark, sf_dir):
     return rounded(splitting.class_weights(table(spark, sf_dir, "lineitem"), "l_returnflag"))
