@@ -9,10 +9,12 @@ nodes that visit it, and compares all of them with numpy's exclusive-or and bit
 counts. Of a clump of nodes that are all linked it emits a spanning forest, not
 the pairs; components of the forests are those of all links.
 
-A link of ``keep_one`` is more than a small distance: components of near
-fingerprints, and of short texts that share one of their first shingles, only
-say which texts may be alike. Inside each of them the sets of shingles are
-compared, again in tiles, and a link counts if their similarity is high enough.
+A link of ``keep_one`` is more than a small distance. Sets of shingles that are
+similar share one of their rarest shingles, so only texts in such a block meet;
+in each block fingerprints are compared in tiles as above. Components of near
+fingerprints only say which texts may be alike: inside each of them the sets of
+shingles are compared, again in tiles, and a link counts if their similarity is
+high enough.
 
 There are at most 83,521 cells (17 counts for each of four parts), and what the
 driver gets is a count for each.
@@ -29,7 +31,7 @@ import hashlib
 import itertools
 import math
 from collections import defaultdict
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ CHUNK = 1 << 18
 SET_TILE, SET_BYTES = 1024, 1 << 22
 #: Sets of shingles up to this size are found by the shingles they share, as few bits say little of small sets.
 SHORT = 32
+#: Counters of shingles in a task: a fixed size, whatever the table.
+BUCKETS = 1 << 20
 SEED = 42
 
 
@@ -98,11 +102,13 @@ def fingerprint(text: str, shingle: int, words: int = 1, distinct: bool = False)
     A repeated shingle counts each time, or once if ``distinct``.
     """
     hashes = shingle_hashes(text, shingle)
-    if distinct:
-        hashes = np.unique(hashes)
+    return majority_bits(np.unique(hashes) if distinct else hashes, words)
+
+
+def majority_bits(hashes: np.ndarray, words: int) -> bytes:
     out = []
     for word in range(words):
-        own = hashes if word == 0 else _mixed(hashes, word)
+        own = hashes.astype(">u8") if word == 0 else _mixed(hashes, word)
         ones = np.zeros(64, np.int64)
         for start in range(0, len(own), 4096):
             bits = np.unpackbits(np.ascontiguousarray(own[start : start + 4096]).view(np.uint8).reshape(-1, 8), axis=1)
@@ -122,21 +128,83 @@ def first_shingles(own: np.ndarray, least: float) -> np.ndarray:
     return own[: len(own) - math.ceil(least * len(own) - 1e-9) + 1]
 
 
-def set_print(text: str, shingle: int, words: int, least: float) -> bytes:
-    """The fingerprint of the set of shingles, 128 bits that equal sets have, and the first shingles of a small set."""
-    own = shingle_set(text, shingle)
-    whole = hashlib.md5(own.tobytes()).digest()
-    return fingerprint(text, shingle, words, distinct=True) + whole + first_shingles(own, least).tobytes()
+def common_shingles(rows: DataFrame, shingle: int, times: float = 2.0, more: int = 8) -> np.ndarray:
+    """About how many texts have the shingles of each bucket, if that is many; else 0.
+
+    A task counts its texts' shingles by bucket and tells of those with over
+    ``times`` the average and ``more``. What is found only orders shingles, so an
+    estimate costs time at worst and never a link. The driver gets BUCKETS
+    numbers at most.
+    """
+
+    def run(batches):
+        counts, waiting, size = np.zeros(BUCKETS, np.int64), [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                waiting.append(shingle_set(text.as_py(), shingle))
+                size += len(waiting[-1])
+                if size > BUCKETS:
+                    counts += np.bincount(buckets(np.concatenate(waiting)), minlength=BUCKETS)
+                    waiting, size = [], 0
+        if waiting:
+            counts += np.bincount(buckets(np.concatenate(waiting)), minlength=BUCKETS)
+        places = np.flatnonzero(counts > times * counts.sum() / BUCKETS + more)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(counts[places])], ["bucket", "n"])
+
+    counted = rows.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    table, weights = counted.toArrow(), np.zeros(BUCKETS, np.int64)
+    weights[table["bucket"].to_numpy()] = table["n"].to_numpy()
+    return weights
+
+
+def buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(44)).astype(np.int64)
+
 
+def rarest_shingles(own: np.ndarray, least: float, weights: np.ndarray) -> np.ndarray:
+    """The rarest shingles of a set, so many that two similar sets share one of them.
+
+    All sets order shingles alike: by weight, then by hash.
+    """
+    if not len(own):
+        return own
+    ordered = own[np.lexsort((own, weights[buckets(own)]))]
+    return ordered[: len(own) - math.ceil(least * len(own) - 1e-9) + 1]
+
+
+def set_prints(rows: DataFrame, shingle: int, words: int, least: float, weights) -> DataFrame:
+    """Adds ``fingerprint``, ``size`` and ``rarest`` in place of ``text``.
+
+    The fingerprint is that of the set of shingles, and 128 bits that equal sets
+    have. ``weights`` is a broadcast of :func:`common_shingles`.
+    """
+    names = [c for c in rows.columns if c != "text"]
+    made = [T.StructField("fingerprint", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("rarest", T.BinaryType())]
+    schema = T.StructType([rows.schema[c] for c in names] + made)
+
+    def run(batches):
+        for batch in batches:
+            prints, sizes, rarest = [], [], []
+            for x in batch.column(len(names)):
+                own = shingle_set(x.as_py(), shingle)
+                prints.append(majority_bits(own, words) + hashlib.md5(own.tobytes()).digest())
+                sizes.append(len(own))
+                rarest.append(rarest_shingles(own, least, weights.value).tobytes())
+            columns = [batch.column(i) for i in range(len(names))]
+            made = [pa.array(prints, pa.binary()), pa.array(sizes, pa.int64()), pa.array(rarest, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *made], schema.names)
 
-def fingerprints(docs: DataFrame, shingle: int, words: int, made=fingerprint) -> DataFrame:
+    return rows.select(*names, "text").mapInArrow(run, schema)
+
+
+def fingerprints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
     """Adds ``fingerprint`` in place of ``text``; all other columns pass through."""
     names = [c for c in docs.columns if c != "text"]
     schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("fingerprint", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
-            found = [made(x.as_py(), shingle, words) for x in batch.column(len(names))]
+            found = [fingerprint(x.as_py(), shingle, words) for x in batch.column(len(names))]
             columns = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], schema.names)
 
@@ -447,34 +515,183 @@ def _shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def sharing_links(nodes: DataFrame, start: int) -> DataFrame:
-    """Links (a, b) from the smallest node that has a shingle to all others; shingles stand in prints from byte ``start``."""
-    places = f"sequence({start + 1}, octet_length(fingerprint), 8)"
-    shingles = F.explode(F.expr(f"transform({places}, x -> substring(fingerprint, x, 8))")).alias("shingle")
-    held = materialized(nodes.filter(F.octet_length("fingerprint") > start).select("node", shingles), "first-shingles")
-    heads = held.groupBy("shingle").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return attach(held, materialized(heads, "shingle-heads"), "shingle", "n").filter("node <> a").select("a", F.col("node").alias("b"))
+def shared_shingles(nodes: DataFrame, weights) -> DataFrame:
+    """``shingle`` and ``node`` of the rarest shingles that may stand in several nodes.
 
+    Rare ones meet by hash, and those of one node go. Of common ones, any number
+    of nodes may have one: they need no such look, and are not shuffled.
+    """
 
-def grouped(
-    rows: DataFrame, words: int, radius: int, total: int, parts: int, first: Column, tile: int = TILE, verified=None
-) -> DataFrame:
+    def emit(batches):
+        for batch in batches:
+            raw = batch.column(1).to_pylist()
+            shingles = np.frombuffer(b"".join(raw), "<u8")
+            owners = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in raw])
+            common = weights.value[buckets(shingles)] > 0
+            for i in range(0, len(owners), 1 << 16):
+                part = slice(i, i + (1 << 16))
+                columns = [pa.array(shingles[part].view("<i8")), pa.array(owners[part]), pa.array(common[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["shingle", "node", "common"])
+
+    def several(batches):
+        """Rows of a shingle that is not the only one of its kind; equal ones follow each other."""
+        last = None  # of the batch before: shingle, node, and whether it has been passed on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            shingle, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            like_before = np.r_[last is not None and shingle[0] == last[0], shingle[1:] == shingle[:-1]]
+            like_after = np.r_[shingle[1:] == shingle[:-1], False]
+            if like_before[0] and not last[2]:
+                yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]])], ["shingle", "node"])
+            kept = like_before | like_after
+            last = shingle[-1], node[-1], kept[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(shingle[kept]), pa.array(node[kept])], ["shingle", "node"])
+
+    emitted = nodes.select("node", "rarest").mapInArrow(emit, "shingle long, node long, common boolean")
+    rare = emitted.filter("NOT common").select("shingle", "node").repartition("shingle").sortWithinPartitions("shingle")
+    return rare.mapInArrow(several, "shingle long, node long").unionByName(emitted.filter("common").select("shingle", "node"))
+
+
+class Block:
+    """A tile of a block: nodes with prints and sizes of sets, and the links among them and to visitors."""
+
+    def __init__(self, parts, words: int, radius: int, total: int, least: float):
+        self.prints, self.sizes = np.concatenate([p for _, p, _ in parts]), np.concatenate([s for _, _, s in parts])
+        self.limits = radius, total, least
+        self.forest = Forest(np.concatenate([n for n, _, _ in parts]))
+        for v, h in self._alike(self.prints, self.sizes):
+            below = v < h
+            if below.any():
+                self.forest.join(v[below], h[below])
+
+    def _alike(self, prints: np.ndarray, sizes: np.ndarray):
+        radius, total, least = self.limits
+        step = max(1, CHUNK // max(1, len(self.prints)))
+        short = self.sizes <= SHORT / least
+        for start in range(0, len(prints), step):
+            part = slice(start, start + step)
+            near = np.bitwise_count(prints[part, :1] ^ self.prints[None, :, 0]) <= radius
+            small = sizes[part] <= SHORT / least
+            if short.any() and small.any():
+                near |= small[:, None] & short[None, :]
+            v, h = np.nonzero(near)
+            v += start
+            for i in range(0, len(v), CHUNK // prints.shape[1]):
+                a, b = v[i : i + CHUNK // prints.shape[1]], h[i : i + CHUNK // prints.shape[1]]
+                kept = alike(prints[a], sizes[a], self.prints[b], self.sizes[b], total, least)
+                if kept.any():
+                    yield a[kept], b[kept]
+
+    def visit(self, nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray) -> None:
+        for v, h in self._alike(prints, sizes):
+            self.forest.visit(nodes, v, h)
+
+
+def alike(prints: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_sizes: np.ndarray, total: int, least: float) -> np.ndarray:
+    """Whether two sets may be similar, row by row: by their sizes, and by their prints if they are not both small."""
+    low, high = np.minimum(sizes, other_sizes), np.maximum(sizes, other_sizes)
+    near = np.bitwise_count(prints ^ others).sum(axis=1, dtype=np.int64) <= total
+    return (near | (high <= SHORT / least)) & (low >= least * high - 1e-9)
+
+
+def block_links(nodes: DataFrame, weights, words: int, radius: int, total: int, least: float, tile: int = TILE) -> DataFrame:
+    """A spanning forest (a, b) of the links between nodes that share one of their rarest shingles.
+
+    ``nodes`` is a written table of ``node``, ``fingerprint``, ``size`` and
+    ``rarest``. Blocks of the same nodes are compared once. A block of more than
+    a tile is cut by size of set as well, where only neighbouring sizes meet.
+    """
+    shared = materialized(shared_shingles(nodes, weights), "shared-shingles")
+    blocks = shared.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+    )
+    blocks = blocks.filter("n > 1").groupBy("n", "one", "two").agg(F.min("shingle").alias("shingle")).select("shingle", "n")
+    members = attach(shared, materialized(blocks, "blocks"), "shingle", "n")
+    tiles = F.ceil(F.col("n") / tile).cast("long")
+    members = materialized(members.select("shingle", "node", tiles.alias("tiles")), "block-members")
+    prints = nodes.select("node", F.substring("fingerprint", 1, 8 * words).alias("fingerprint"), "size")
+    # similar sets are in one class of sizes or in neighbouring ones
+    classes = F.when(F.col("tiles") > 1, F.floor(F.log("size") / F.lit(-math.log(least)))).otherwise(F.lit(0).cast("long"))
+    whole = members.join(prints, "node").withColumn("class", classes)
+    sub = F.pmod(F.xxhash64("node", "shingle"), "tiles")
+    meets = F.expr(
+        "concat(transform(sequence(0L, tiles div 2), x -> struct(class AS class, x AS ahead)),"
+        " if(tiles > 1, transform(sequence(0L, tiles - 1), x -> struct(class + 1 AS class, x AS ahead)), array()))"
+    )
+    dealt = whole.withColumn("sub", sub).withColumn("meets", F.explode(meets))
+    ahead, home = F.col("meets.ahead"), F.col("meets.class") == F.col("class")
+    dealt = dealt.withColumn("tile", (F.col("sub") + ahead) % F.col("tiles"))
+    once = ~home | (ahead == 0) | (2 * ahead != F.col("tiles")) | (F.col("sub") < F.col("tile"))  # each two tiles meet once
+    visitor = ~(home & (ahead == 0))
+    dealt = dealt.filter(once).select("shingle", F.col("meets.class").alias("class"), "tile", visitor.alias("visitor"), "node", "fingerprint", "size")
+
+    def run(batches):
+        key, homes, state = None, [], None
+
+        def table(pairs):
+            a = np.concatenate([x for x, _ in pairs]) if pairs else np.empty(0, np.int64)
+            b = np.concatenate([x for _, x in pairs]) if pairs else np.empty(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        def finished():
+            block = state or (Block(homes, words, radius, total, least) if sum(len(n) for n, _, _ in homes) > 1 else None)
+            return block.forest.links if block else []
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            visits = batch.column(3).to_numpy(zero_copy_only=False)
+            ids, prints, sizes = batch.column(4).to_numpy(), _words_of(batch.column(5), words), batch.column(6).to_numpy()
+            new = np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]
+            cuts = np.r_[np.flatnonzero(new | np.r_[True, visits[1:] != visits[:-1]]), len(keys)]
+            begins, ends, pairs = cuts[:-1], cuts[1:], []
+            # most blocks are two nodes; those that lie inside the batch are compared together
+            two = (ends - begins == 2) & ~visits[begins] & new[begins] & np.r_[new[begins[1:]], False]
+            two[0] = False
+            first = begins[two]
+            if len(first):
+                kept = alike(prints[first], sizes[first], prints[first + 1], sizes[first + 1], total, least)
+                pairs.append((ids[first[kept]], ids[first[kept] + 1]))
+            for begin, end in zip(begins[~two].tolist(), ends[~two].tolist()):
+                if tuple(keys[begin]) != key:
+                    pairs += finished()
+                    key, homes, state = tuple(keys[begin]), [], None
+                rows = ids[begin:end], prints[begin:end], sizes[begin:end]
+                if not visits[begin]:
+                    homes.append(rows)
+                elif homes:  # a tile may have got no node
+                    state = state or Block(homes, words, radius, total, least)
+                    state.visit(*rows)
+                    pairs += state.forest.links
+                    state.forest.links = []
+            yield table(pairs)
+        yield table(finished())
+
+    order = ["shingle", "class", "tile"]
+    return dealt.repartition(*order).sortWithinPartitions(*order, "visitor").mapInArrow(run, "a long, b long")
+
+
+def grouped(rows: DataFrame, first: Column, forest_of, verified=None) -> DataFrame:
     """Rows with a ``fingerprint``, and ``lowest``: the smallest ``first`` in their component.
 
-    Only the first ``words`` of a fingerprint are compared; rows are one node if
-    all of it is equal. With ``verified``, prints are those of sets, and links
-    come from what it returns for the nodes and their components.
+    Rows are one node if their fingerprints are equal; other columns but ids are
+    then equal, too. ``forest_of`` gives links of the nodes. With ``verified``,
+    they come from what it returns for the nodes and their components.
     """
-    classes = rows.groupBy("fingerprint").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
+    more = [c for c in ("size", "rarest") if c in rows.columns]
+    classes = rows.groupBy("fingerprint").agg(
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in more]
+    )
+    rows = rows.drop(*more)
     nodes = materialized(classes.withColumn("node", F.monotonically_increasing_id()), "fingerprint-classes")
-    compared = nodes.select("node", F.substring("fingerprint", 1, 8 * words).alias("fingerprint"))
-    forest = links(compared, words, radius, total, parts, tile)
-    if verified is not None:
-        forest = forest.unionByName(sharing_links(nodes, 8 * words + 16))
-    found = materialized(components(materialized(forest, "link-forest")), "components")
+    found = materialized(components(materialized(forest_of(nodes), "link-forest")), "components")
     if verified is not None:
         found = materialized(components(materialized(verified(nodes, found), "verified-forest")), "components")
-    rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = nodes.drop(*more).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = materialized(rooted, "rooted-classes")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"), F.count(F.lit(1)).alias("classes"))
     lowest = materialized(lowest, "component-heads")
@@ -492,7 +709,7 @@ def near_duplicates(
     """
     rows = materialized(fingerprints(texts(docs, id_col, text_col), shingle, 1), "fingerprints")
     first = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id"))
-    found = grouped(rows, 1, radius, radius, parts, first)
+    found = grouped(rows, first, lambda nodes: links(nodes, 1, radius, radius, parts))
     return found.select("doc_id", "fingerprint", F.col("lowest.doc_id").alias("component_id"))
 
 
@@ -500,10 +717,9 @@ def keep_one(
     docs: DataFrame,
     shingle: int = 5,
     words: int = 16,
-    radius: int = 20,
+    radius: int = 24,
     total: int = 200,
     least: float = 0.8,
-    tile: int = 2 * TILE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -512,17 +728,19 @@ def keep_one(
     Of a group without any id the row with the smallest identity stays.
 
     Texts are linked if their sets of five-word shingles have a similarity
-    (Jaccard) of ``least`` or more, compared set by set. Fingerprints of 1,024
-    bits only find the pairs to compare: at 0.8 their expected distance is 155,
-    with a standard deviation of 11.5, so 200 leaves out 1 pair in 20,000. The
-    first word alone may differ in 20 of 64 bits, which misses 1 in 5,000 pairs
-    at 0.8. Sets of at most 32 shingles miss none: those that share one of their
-    lowest shingles are compared as well.
+    (Jaccard) of ``least`` or more, compared set by set. Which sets to compare is
+    found in two steps. Sets that are similar share one of their rarest shingles,
+    which leaves out none. Among those, fingerprints of 1,024 bits are compared:
+    at 0.8 their expected distance is 155, with a standard deviation of 11.5, so
+    200 leaves out 1 pair in 20,000; in tiles, the first word may differ in 24 of
+    64 bits, which leaves out 1 in a million. Sets of at most 32 shingles miss
+    none: those that share a rare shingle are compared whatever their bits.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     identity = F.unhex(F.md5(F.concat(F.coalesce(docs[id_col].cast("string"), F.lit("null")), F.lit("\n"), text)))
     source = docs.select(docs[id_col].alias("doc_id"), identity.alias("identity"), text.alias("text"))
-    rows = materialized(fingerprints(source, shingle, words, partial(set_print, least=least)), "fingerprints")
+    weights = docs.sparkSession.sparkContext.broadcast(common_shingles(source, shingle))
+    rows = materialized(set_prints(source, shingle, words, least, weights), "fingerprints")
 
     def verified(nodes, found):
         wanted = nodes.join(found, "node").select(
@@ -534,7 +752,7 @@ def keep_one(
         return similar_links(materialized(_shingle_sets(read, shingle), "shingle-sets"), words, total, least)
 
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "identity")  # ids first, then rows without one
-    found = grouped(rows, words, radius, total, 1, first, tile, verified)
+    found = grouped(rows, first, lambda nodes: block_links(nodes, weights, words, radius, total, least), verified)
     kept = found.filter(F.col("lowest.identity") == F.col("identity")).select("identity").distinct()
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     tie = F.xxhash64(F.to_json(F.struct(*[docs[c] for c in others]))) if others else F.lit(0)

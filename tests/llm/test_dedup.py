@@ -200,6 +200,45 @@ def test_repeats_count_once_and_short_texts_are_found(spark):
     assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == brute.kept_by_jaccard(rows)
 
 
+@pytest.mark.parametrize("tile", [simhash.TILE, 2, 5])
+def test_blocks_of_common_and_rare_shingles(spark, monkeypatch, tile):
+    """A passage of most texts, clumps of near copies, sets of all sizes; tasks that call nearly all shingles common, or none."""
+    monkeypatch.setattr(simhash.block_links, "__defaults__", (tile,))
+    rng, rows = random.Random(8), []
+
+    def words(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    passage = words(70)
+    for n in [6, 12, 30, 60, 100, 150, 220, 300]:
+        for _ in range(6):
+            own = words(n)
+            texts = [own + passage, own[: n // 2] + words(n // 12 + 1) + own[n // 2 :] + passage, words(n // 2) + passage]
+            rows += [(len(rows) + k, " ".join(t)) for k, t in enumerate(texts)]
+    clump = words(200)
+    rows += [(len(rows) + k, " ".join(_altered(rng, clump, 0.9))) for k in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.kept_by_jaccard(rows)
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == want
+    for limits in ((0.0, 0), (10.0**9, 0)):
+        monkeypatch.setattr(simhash.common_shingles, "__defaults__", limits)
+        assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == want
+
+
+def test_rarest_shingles_of_similar_sets_meet():
+    rng = np.random.default_rng(3)
+    weights = rng.integers(0, 5, simhash.BUCKETS)
+    for n in [1, 2, 4, 5, 9, 10, 25, 100, 333] * 10:
+        both = rng.integers(0, 2**63, n, dtype=np.uint64)
+        apart = int(n / 0.8 - n + 1e-9)  # at most so many shingles are in one set only
+        cut = int(rng.integers(0, apart + 1))
+        a = np.unique(np.r_[both, rng.integers(0, 2**63, cut, dtype=np.uint64)])
+        b = np.unique(np.r_[both, rng.integers(0, 2**63, apart - cut, dtype=np.uint64)])
+        assert simhash.similar(a, b, 0.8)
+        assert set(simhash.rarest_shingles(a, 0.8, weights)) & set(simhash.rarest_shingles(b, 0.8, weights))
+    assert len(simhash.rarest_shingles(both[:0], 0.8, weights)) == 0
+
+
 def test_one_row_of_a_group_without_ids_stays(spark):
     words = [f"w{i}" for i in range(60)]
     text, more, most = " ".join(words), " ".join([*words, "more"]), " ".join([*words, "even", "more"])
