@@ -1,19 +1,28 @@
 """Scoring texts with a log-bilinear language model.
 
-Words of the training texts are counted over the whole corpus. The most frequent
-words, the end of a text and "any other word" are the classes of a log-bilinear
-model: a context of two classes predicts an embedding, its products with the
-class embeddings are scores. Each task trains on its own texts with numpy by
-noise-contrastive estimation, noise drawn from the class frequencies; parameters
-are averaged by the number of tokens they have seen. For scoring, batched matrix
-products give the normalised probabilities of all classes in all contexts. A
-word without a class of its own has the probability of "other" times its
-smoothed share among the other words, so probabilities of all words, with one
-place for unseen ones, sum to one in any context.
-
-Counts of words with more than one in FREQUENT tokens go to every task: there
-are fewer than FREQUENT of them, whatever the corpus. Counts of all other words
-meet the texts in a join by word, where none is frequent.
+Words of the training texts are counted over the whole corpus. A word's
+probability has two factors: that of its class, and that of the word among the
+words of its class. Both come from an embedding that the two words before
+predict, whose products with class and word embeddings are scores; both are
+normalised, so probabilities of all words, with one place for unseen ones, sum to
+one in any context. Every word of the training texts has parameters of its own.
+
+Classes follow frequency. The most frequent words and the end of a text are
+classes of one; the words after them share classes of bounded size and share of
+the tokens. These words have more than one in FREQUENT tokens, so there are fewer
+than FREQUENT of them, whatever the corpus, and every task knows them. All other
+words are one class, dealt by their digest (128 bits) into groups, as many as
+there are words for. A group has its smoothed share of that class, and inside it
+words have embeddings again. As context, a frequent word is the sum of the
+embeddings of its class and of its place there, a pair no other word has; other
+words are told apart by their digest, as far as there are places.
+
+First, each task trains on its own texts with numpy by noise-contrastive
+estimation, noise drawn from the frequencies of classes or of words in a class;
+parameters are averaged by the number of tokens they have seen. With them, texts
+are scored where they are read. Only tokens of words that are not frequent go to
+the task of their group, which counts them, estimates their embeddings in the
+same way, contexts fixed, and scores them.
 
 Defined cases: a null or empty text is its end alone; a null id belongs to the
 training texts; repeated rows are texts of their own; without training texts
@@ -23,11 +32,13 @@ have no effect; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,17 +47,30 @@ from tabloom.sources.workspace import materialized
 
 #: Words of which more than one in so many tokens is one are known to every task.
 FREQUENT = 1 << 20
-#: Classes of the model besides "other" and the end.
-CLASSES = 254
+#: Words that are classes of one; the words after them share classes.
+CLASSES = 126
+#: A class of several words has at most one in so many tokens,
+SHARE = 64
+#: and at most so many words, or twice the root of the number of frequent words; a group of others has about as many.
+WORDS = 256
+#: Tokens of several groups that one task sees together, about.
+SHARD = 1 << 17
 WIDTH = 24
 NOISE = 64
 BATCH = 2048
 RATE = 0.15
 SEED = 7
 OTHER, END = 0, 1
+#: Tasks whose parameters are averaged in one step.
+MERGED = 64
+OTHER, END = 0, 1
 #: Fixed point of averaged parameters, so that the order of additions has no effect.
 UNIT = 1 << 44
 _END_WORD = b""  # no word is empty
+#: A token of a word that is not frequent on its way to its group; ``key`` is the word's digest.
+TOKEN = np.dtype([("group", "<u4"), ("learn", "u1"), ("row", "<i8"), ("before", "<u2", 4), ("key", "<u8", 2)])
+#: Tokens a task holds before it trains inside classes, or sends them.
+HELD = 1 << 18
 
 
 def held_out(doc_id: Column) -> Column:
@@ -82,34 +106,54 @@ def count_words(documents: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """What every task knows: frequent words with their counts and classes, and the totals."""
+    """What every task knows: frequent words with their counts, classes and places there, and the totals."""
 
     numbers: dict[bytes, int]
     counts: np.ndarray
     classes: np.ndarray
+    places: np.ndarray
     n: int
     distinct: int
 
     @property
     def class_counts(self) -> np.ndarray:
         """Tokens of each class, at least one."""
-        found = np.bincount(self.classes, self.counts, minlength=CLASSES + 2)
-        found[OTHER] = self.n - found[OTHER + 1 :].sum()
+        found = np.bincount(self.classes, self.counts, minlength=END + 1)
+        found[OTHER] = self.other[0]
         return np.maximum(found, 1.0)
 
     @property
     def other(self) -> tuple[int, int]:
-        """Tokens and distinct words without a class of their own."""
-        own = self.classes != OTHER
-        return int(self.n - self.counts[own].sum()), int(self.distinct - own.sum())
+        """Tokens and distinct words that are not frequent."""
+        return int(self.n - self.counts.sum()), int(self.distinct - len(self.counts))
+
+    @property
+    def slots(self) -> int:
+        """Places of the largest class."""
+        return max(WORDS, int(self.places.max(initial=0)) + 1)
+
+    @property
+    def inside(self) -> dict[int, np.ndarray]:
+        """The counts of the words of each class that has several."""
+        order = np.argsort(self.classes, kind="stable")
+        bounds = np.searchsorted(self.classes[order], np.arange(END + 1, len(self.class_counts)))
+        by_class = enumerate(np.split(self.counts[order], bounds)[1:], END + 1)
+        return {c: counts for c, counts in by_class if len(counts) > 1}
 
     def numbered(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.numbers.get, words, [-1] * len(words)), np.int64, len(words))
 
-    def class_of(self, numbers: np.ndarray) -> np.ndarray:
-        if not len(self.classes):
-            return np.zeros(len(numbers), np.int64)
-        return np.where(numbers < 0, OTHER, self.classes[numbers])
+    def placed(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number (-1: not frequent), class and place of each word, and digests of those that are not frequent."""
+        numbers = self.numbered(words)
+        missing = np.flatnonzero(numbers < 0)
+        raw = b"".join([hashlib.blake2b(words[i], digest_size=16).digest() for i in missing.tolist()])
+        digests = np.frombuffer(raw, "<u8").reshape(-1, 2)
+        classes, places = np.full(len(words), OTHER), np.zeros(len(words), np.int64)
+        if len(self.classes):
+            classes, places = np.where(numbers < 0, OTHER, self.classes[numbers]), self.places[numbers]
+        places[missing] = digests[:, 0] % np.uint64(self.slots)
+        return numbers, classes, places, digests
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -117,21 +161,141 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     n, distinct = total[0] or 0, total[1]
     frequent = counts.filter(F.col("n") * FREQUENT > n).collect()  # fewer than FREQUENT rows
     frequent = sorted(((r["n"], bytes(r["word"])) for r in frequent), key=lambda x: (-x[0], x[1]))
-    classes, free = np.zeros(len(frequent), np.int64), 2
-    for i, (_, word) in enumerate(frequent):
+    classes, places = np.zeros(len(frequent), np.int64), np.zeros(len(frequent), np.int64)
+    most = max(WORDS, 2 * int(np.sqrt(len(frequent))))
+    last, alone, size, mass = END, 0, 0, 0
+    for i, (count, word) in enumerate(frequent):
         if word == _END_WORD:
             classes[i] = END
-        elif free < CLASSES + 2:
-            classes[i] = free
-            free += 1
+            continue
+        if alone < CLASSES or not size or size >= most or (mass + count) * SHARE > n:
+            last, size, mass = last + 1, 0, 0
+        classes[i], places[i] = last, size
+        if alone < CLASSES:
+            alone += 1
+        else:
+            size, mass = size + 1, mass + count
     numbers = {word: i for i, (_, word) in enumerate(frequent)}
-    return Vocabulary(numbers, np.array([c for c, _ in frequent], np.int64), classes, n, distinct)
+    return Vocabulary(numbers, np.array([c for c, _ in frequent], np.int64), classes, places, n, distinct)
+
+
+@dataclass
+class Groups:
+    """How many groups of words that are not frequent there are, and in how many buckets they are shuffled."""
+
+    number: int
+    buckets: int
+
+    @classmethod
+    def of(cls, known: Vocabulary) -> Groups:
+        tokens, words = known.other
+        return cls(max(1, -(-words // WORDS), -(-2 * tokens // SHARD)), max(1, -(-tokens // SHARD)))
+
+    def tokens(self, digests: np.ndarray, before: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(digests), TOKEN)
+        found["group"], found["key"], found["before"] = digests[:, 1] % np.uint64(self.number), digests, before
+        return found
+
+
+def _mixed(*columns: np.ndarray) -> np.ndarray:
+    out = np.full(len(columns[0]), SEED, np.uint64)
+    for column in columns:
+        out = (out ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _sums(rows: np.ndarray, values: np.ndarray, like: np.ndarray) -> np.ndarray:
+    flat = (rows[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    return np.bincount(flat, values.ravel(), minlength=like.size).reshape(like.shape)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In the place of its argument."""
+    np.clip(x, -30, 30, out=x)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def contrast(q, b, unigram, predicted, target, random) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Noise-contrastive estimation: steps of embeddings and biases, and of each predicted embedding."""
+    noise = np.searchsorted(np.cumsum(unigram), random.random(NOISE)).clip(max=len(unigram) - 1)
+    odds = (np.log(unigram) + np.log(NOISE)).astype(np.float32)
+    own, other = q[target], q[noise]
+    up = _sigmoid(odds[target] - b[target] - np.einsum("ij,ij->i", predicted, own))
+    down = predicted @ other.T
+    down += b[noise] - odds[noise]
+    down = np.negative(_sigmoid(down), out=down)
+    step = _sums(target, up[:, None] * predicted, q) + _sums(noise, down.T @ predicted, q)
+    bias_step = np.bincount(target, up, minlength=len(b)) + np.bincount(noise, down.sum(0), minlength=len(b))
+    return step, bias_step, up[:, None] * own + down @ other
+
+
+def log_sums(q, b, predicted) -> np.ndarray:
+    """The logarithm that normalises the scores of each predicted embedding."""
+    out = np.empty(len(predicted), np.float64)
+    most, longest, largest = max(64, (1 << 17) // len(q)), np.einsum("ij,ij->i", q, q).max(), np.abs(b).max()
+    for i in range(0, len(predicted), most):
+        part = predicted[i : i + most]
+        scores = part @ q.T
+        scores += b
+        if largest + np.sqrt(longest * np.einsum("ij,ij->i", part, part).max()) < 60:  # exp is in range
+            out[i : i + most] = np.log(np.exp(scores, out=scores).sum(axis=1))
+        else:
+            top = scores.max(axis=1, keepdims=True)
+            scores -= top
+            out[i : i + most] = top[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
+    return out
+
+
+def log_shares(q, b, predicted, target, sums=None) -> np.ndarray:
+    """log10 of the normalised probability of each target."""
+    own = np.einsum("ij,ij->i", predicted, q[target]) + b[target]
+    return (own - (log_sums(q, b, predicted) if sums is None else sums)) / np.log(10)
+
+
+def _by_class(classes: np.ndarray, chosen: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The chosen tokens of each class."""
+    places = np.flatnonzero(chosen[classes])
+    if not len(places):
+        return []
+    places = places[np.argsort(classes[places].astype(np.int16), kind="stable")]
+    found = classes[places]
+    starts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+    return list(zip(found[starts].tolist(), np.split(places, starts[1:])))
+
+
+class WordsInside:
+    """Embeddings and biases of the words of a class or group, estimated with contexts fixed; it starts from the counts."""
+
+    def __init__(self, counts: np.ndarray):
+        self.unigram = counts / counts.sum()
+        self.parts = [np.zeros((len(counts), WIDTH), np.float32), np.log(self.unigram).astype(np.float32)]
+        self.seen = [np.full(p.shape, 1e-2, np.float32) for p in self.parts]
+
+    def train(self, predicted: np.ndarray, target: np.ndarray, random) -> None:
+        for i in range(0, len(target), BATCH):
+            own, wanted = predicted[i : i + BATCH], target[i : i + BATCH]
+            steps = contrast(*self.parts, self.unigram, own, wanted, random)
+            for p, seen, step in zip(self.parts, self.seen, steps):
+                _adapted(p, seen, (step / len(wanted)).astype(np.float32))
+
+
+def _adapted(p: np.ndarray, seen: np.ndarray, gradient: np.ndarray) -> None:
+    seen += gradient * gradient
+    p += RATE * gradient / np.sqrt(seen)
 
 
 class LogBilinear:
-    """Class embeddings, context embeddings with a weight for each position, and biases."""
+    """Class embeddings, context embeddings with a weight for each position, and biases.
 
-    def __init__(self, class_counts: np.ndarray):
+    Contexts are given by rows of context embeddings, first those of the word
+    just before, then as many of the one before it. The first rows are the
+    classes and "before the text", the others places in a class.
+    """
+
+    def __init__(self, class_counts: np.ndarray, slots: int = 0):
         random = np.random.default_rng(SEED)
         k = len(class_counts)
         self.unigram = class_counts / class_counts.sum()
@@ -141,11 +305,14 @@ class LogBilinear:
             "position": np.ones((2, WIDTH)),
             "bias": np.log(self.unigram),
         }
+        if slots:
+            places = random.normal(0, 0.1, (slots + 1, WIDTH))
+            self.parts["context"] = np.concatenate([self.parts["context"], places])
         self.parts = {name: p.astype(np.float32) for name, p in self.parts.items()}
         self.seen = {name: np.full(p.shape, 1e-2, np.float32) for name, p in self.parts.items()}
 
     def vector(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts.values()]).astype(np.float64)
+        return np.concatenate([p.ravel() for p in self.parts.values()])
 
     def load(self, vector: np.ndarray) -> None:
         at = 0
@@ -153,35 +320,26 @@ class LogBilinear:
             self.parts[name] = vector[at : at + p.size].reshape(p.shape).astype(np.float32)
             at += p.size
 
-    def _step(self, name: str, gradient: np.ndarray) -> None:
-        self.seen[name] += gradient * gradient
-        self.parts[name] += RATE * gradient / np.sqrt(self.seen[name])
+    def words_before(self, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The context embeddings of the two words before each token."""
+        r, half = self.parts["context"], before.shape[1] // 2
+        return sum(r[x] for x in before.T[:half]), sum(r[x] for x in before.T[half:])
+
+    def predicted(self, before: np.ndarray) -> np.ndarray:
+        one, two = self.words_before(before)
+        return self.parts["position"][0] * one + self.parts["position"][1] * two
 
     def train(self, before: np.ndarray, target: np.ndarray, random) -> None:
-        """One step of noise-contrastive estimation; ``before`` holds the two classes before each target."""
+        """One step of noise-contrastive estimation; ``before`` holds the context rows before each target."""
         q, r, c, b = self.parts["target"], self.parts["context"], self.parts["position"], self.parts["bias"]
-        size = np.float32(len(target))
-        noise = random.choice(len(self.unigram), NOISE, p=self.unigram)
-        odds = (np.log(self.unigram) + np.log(NOISE)).astype(np.float32)
-        one, two = r[before[:, 0]], r[before[:, 1]]
-        predicted = c[0] * one + c[1] * two
-        own = q[target]
-        real = np.einsum("ij,ij->i", predicted, own) + b[target] - odds[target]
-        fake = predicted @ q[noise].T + (b[noise] - odds[noise])
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(np.clip(-fake, -30, 30)))
-        back = up[:, None] * own + down @ q[noise]
-
-        def gathered(places, rows, like):
-            flat = (places[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-            return np.bincount(flat, rows.ravel(), minlength=like.size).reshape(like.shape)
-
-        target_step = gathered(target, up[:, None] * predicted, q) + gathered(noise, down.T @ predicted, q)
-        context_step = gathered(before[:, 0], back * c[0], r) + gathered(before[:, 1], back * c[1], r)
+        size, half = np.float32(len(target)), before.shape[1] // 2
+        one, two = self.words_before(before)
+        target_step, bias_step, back = contrast(q, b, self.unigram, c[0] * one + c[1] * two, target, random)
+        backs = [back * c[0]] * half + [back * c[1]] * half
+        context_step = sum(_sums(x, y, r) for x, y in zip(before.T, backs))
         position_step = np.stack([(back * one).sum(0), (back * two).sum(0)])
-        bias_step = np.bincount(target, up, minlength=len(b)) + np.bincount(noise, down.sum(0), minlength=len(b))
         for name, step in (("target", target_step), ("context", context_step), ("position", position_step), ("bias", bias_step)):
-            self._step(name, (step / size).astype(np.float32))
+            _adapted(self.parts[name], self.seen[name], (step / size).astype(np.float32))
 
     def table(self) -> np.ndarray:
         """log10 of the probability of each class (last axis) after each two classes."""
@@ -195,14 +353,21 @@ class LogBilinear:
         return out
 
 
-def _contexts(classes: np.ndarray, start: np.ndarray, begin: int) -> np.ndarray:
-    """The two classes before each token; ``start`` has the place of its text's first token."""
-    places = np.arange(len(classes))
-    one = np.where(places - 1 >= start, np.r_[begin, classes[:-1]], begin)
-    two = np.where(places - 2 >= start, np.r_[begin, begin, classes[:-2]][: len(classes)], begin)
+def _contexts(values: np.ndarray, start: np.ndarray, begin: int) -> np.ndarray:
+    """The two values before each token; ``start`` has the place of its text's first token."""
+    places = np.arange(len(values))
+    one = np.where(places - 1 >= start, np.r_[begin, values[:-1]], begin)
+    two = np.where(places - 2 >= start, np.r_[begin, begin, values[:-2]][: len(values)], begin)
     return np.stack([one, two], axis=1)
 
 
+def context_rows(classes: np.ndarray, places: np.ndarray, start: np.ndarray, known: Vocabulary) -> np.ndarray:
+    """Rows of context embeddings: class and place of the word before, then of the one before that."""
+    k = len(known.class_counts)
+    by_class, by_place = _contexts(classes, start, k), _contexts(places, start, known.slots) + k + 1
+    return np.stack([by_class[:, 0], by_place[:, 0], by_class[:, 1], by_place[:, 1]], axis=1)
+
+
 def _joined(batch_words: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """All tokens, the place of the first token of each text, and the same for each token."""
     lengths = np.array([len(w) for w in batch_words])
@@ -223,41 +388,131 @@ def _groups(values, most: int = 1 << 16):
         yield group
 
 
-def train(documents: DataFrame, known: Vocabulary) -> LogBilinear:
+@dataclass
+class Model:
+    """The model of classes, and embeddings and biases inside each class of several words."""
+
+    classes: LogBilinear
+    inside: dict[int, list[np.ndarray]]
+
+    def log_shares(self, before: np.ndarray, classes: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each token; of one that is not frequent, that of its class."""
+        codes = np.zeros(len(before), np.int64)
+        for rows in before.T:
+            codes = codes << 15 | rows
+        _, first, back = np.unique(codes, return_index=True, return_inverse=True)  # contexts repeat
+        predicted = self.classes.predicted(before[first])
+        parts = self.classes.parts["target"], self.classes.parts["bias"]
+        sums = log_sums(*parts, predicted)[back]
+        predicted = predicted[back]
+        out = log_shares(*parts, predicted, classes, sums)
+        several = np.zeros(len(self.classes.unigram), bool)
+        several[list(self.inside)] = True
+        for c, own in _by_class(classes, several):
+            out[own] += log_shares(*self.inside[c], predicted[own], places[own])
+        return out
+
+
+def _averaged(table: pa.Table) -> pa.Table:
+    """Parameters of several tasks, weighted by the tokens they have seen, always in the same order."""
+    table = table.sort_by("task")
+    trained = [x.as_py() for x in table.column("trained")]
+    total = sum(np.frombuffer(x.as_py(), "<f4") * np.float64(n) for x, n in zip(table.column("part"), trained))
+    part = (total / sum(trained)).astype("<f4").tobytes()
+    return pa.table(
+        {"class": table.column("class")[:1], "task": pa.array([table.column("task")[0].as_py() // MERGED], pa.int64()),
+         "trained": pa.array([sum(trained)], pa.int64()), "part": pa.array([part], pa.binary())}
+    )
+
+
+def train(documents: DataFrame, known: Vocabulary) -> Model:
     """The average of the models that tasks have trained on their own texts."""
-    model = LogBilinear(known.class_counts)
+    model = LogBilinear(known.class_counts, known.slots)
+    counted = known.inside
+    inside = {c: WordsInside(counts).parts for c, counts in counted.items()}
     if not known.n:
-        return model
-    shared = documents.sparkSession.sparkContext.broadcast(known)
+        return Model(model, inside)
+    shared = documents.sparkSession.sparkContext.broadcast((known, counted))
+    schema = "class int, task long, trained long, part binary"
 
     def run(batches):
-        known = shared.value
-        own, random, trained = LogBilinear(known.class_counts), np.random.default_rng(SEED), 0
+        known, counted = shared.value
+        own = LogBilinear(known.class_counts, known.slots)
+        words_in = {c: WordsInside(counts) for c, counts in counted.items()}
+        several = np.zeros(len(own.unigram), bool)
+        several[list(counted)] = True
+        random, trained, held, waiting = np.random.default_rng(SEED), Counter(), [], 0
+
+        def train_inside():
+            classes, places, before = (np.concatenate(x) for x in zip(*held))
+            for c, chosen in _by_class(classes, several):
+                words_in[c].train(own.predicted(before[chosen]), places[chosen], random)
+                trained[c] += len(chosen)
+
         for batch in batches:
             for group in _groups(batch.column(0)):
                 words, _, start = _joined(group)
-                classes = known.class_of(known.numbered(words))
-                before = _contexts(classes, start, len(known.class_counts))
+                _, classes, places, _ = known.placed(words)
                 order = random.permutation(len(classes))
+                before = context_rows(classes, places, start, known)[order]
+                classes, places = classes[order], places[order]
                 for i in range(0, len(order), BATCH):
-                    chosen = order[i : i + BATCH]
-                    own.train(before[chosen], classes[chosen], random)
-                trained += len(words)
-        if trained:
-            moved = np.rint(own.vector() * (trained / known.n) * UNIT).astype(np.int64)
-            columns = [pa.array(np.arange(len(moved))), pa.array(moved), pa.array(np.full(len(moved), trained))]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "value", "trained"])
-
-    summed = documents.select("text").mapInArrow(run, "place long, value long, trained long")
-    rows = summed.groupBy("place").agg(F.sum("value").alias("value"), F.sum("trained").alias("trained")).collect()
-    vector = np.zeros(len(model.vector()))
-    for row in rows:  # one for each parameter of the model
-        vector[row["place"]] = row["value"] / UNIT * (known.n / row["trained"])
-    model.load(vector)
-    return model
-
-
-_TABLES: dict = {}
+                    own.train(before[i : i + BATCH], classes[i : i + BATCH], random)
+                trained[OTHER] += len(words)
+                chosen = several[classes]
+                held.append((classes[chosen], places[chosen], before[chosen]))
+                waiting += len(held[-1][0])
+                if waiting >= HELD:
+                    train_inside()
+                    held, waiting = [], 0
+        if held:
+            train_inside()
+        task = TaskContext.get().partitionId()
+        for c, n in sorted(trained.items()):  # the model of classes goes by the number of the class without words
+            vector = own.vector() if c == OTHER else np.concatenate([p.ravel() for p in words_in[c].parts])
+            row = [[c], [task], [n], [vector.astype("<f4").tobytes()]]
+            types = pa.int32(), pa.int64(), pa.int64(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], ["class", "task", "trained", "part"])
+
+    parts = documents.select("text").mapInArrow(run, schema)
+    some = parts.groupBy("class", F.floor(F.col("task") / MERGED).alias("step")).applyInArrow(_averaged, schema)
+    for row in some.groupBy("class").applyInArrow(_averaged, schema).collect():  # a row for each class
+        vector = np.frombuffer(row["part"], "<f4")
+        if row["class"] == OTHER:
+            model.load(vector)
+        else:
+            inside[row["class"]] = [vector[: -(len(vector) // (WIDTH + 1))].reshape(-1, WIDTH), vector[-(len(vector) // (WIDTH + 1)) :]]
+    return Model(model, inside)
+
+
+def _sent(held: list[np.ndarray], buckets: int, schema: pa.Schema) -> pa.RecordBatch:
+    """The tokens by bucket, a row for each."""
+    found = np.concatenate(held)
+    bucket = found["group"] % buckets
+    order = np.argsort(bucket, kind="stable")
+    found, bucket = found[order], bucket[order]
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    data = [part.tobytes() for part in np.split(found, starts[1:])]
+    columns = {"bucket": pa.array(bucket[starts], pa.int64()), "data": pa.array(data, pa.binary())}
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(data), f.type)) for f in schema], schema=schema)
+
+
+def _scored_inside(found: np.ndarray, model: LogBilinear, other: tuple[int, int]):
+    """For each token of a group: whether training has seen it, what its count adds to the base, its log share of its class."""
+    predicted, learn = model.predicted(found["before"]), found["learn"] > 0
+    high, low = (np.unique(found["key"][:, i], return_inverse=True)[1] for i in (0, 1))
+    target = np.unique(high * (low.max() + 1) + low, return_inverse=True)[1]
+    counts = np.bincount(target, learn)
+    seen, known = counts > 0, counts[target] > 0
+    places = float(other[0] + other[1] + 1)  # one more for words that training has not seen
+    base, score = np.zeros(len(found)), np.full(len(found), -np.log10(places))
+    if seen.any():
+        target, counted = (np.cumsum(seen) - 1)[target], counts[seen] + 1.0
+        inside = WordsInside(counted)
+        inside.train(predicted[learn], target[learn], np.random.default_rng(SEED))
+        base[known] = np.log10(counted[target[known]])
+        score[known] = log_shares(*inside.parts, predicted[known], target[known]) + np.log10(counted.sum() / places)
+    return known, base, score
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,81 +523,96 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     documents = texts(docs, id_col, text_col).withColumn("held_out", held_out(F.col("doc_id")))
     learned = documents.filter(~F.col("held_out"))
-    counts = materialized(count_words(learned), "word-counts")
-    known = vocabulary(counts)
-    model = train(learned, known)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((known, model.vector()))
+    known = vocabulary(materialized(count_words(learned), "word-counts"))
+    model, groups = train(learned, known), Groups.of(known)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((known, model, groups))
+    contexts = context.broadcast((model.classes, known.other))
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, score double,"
-        " rare array<binary>, times array<int>"
-    )
-    key = hash(model.vector().tobytes())
+    partial = f"row long, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, score double"
 
     def run(batches):
-        known, vector = shared.value
-        if key not in _TABLES:  # once per worker and model
-            _TABLES.clear()
-            own = LogBilinear(known.class_counts)
-            own.load(vector)
-            _TABLES[key] = own.table()
-        table = _TABLES[key]
-        begin = len(known.class_counts)
-        other_n, other_distinct = known.other
+        known, model, groups = shared.value
         all_base = np.log10(known.n + known.distinct + 1.0)
-        all_other = np.log10(other_n + other_distinct + 1.0)
-        logs = np.log10(known.counts + 1.0)
+        logs = np.log10(np.r_[known.counts, 0] + 1.0)  # the last is for words that are not frequent
+        held, waiting, schema = [], 0, None
         for batch in batches:
             at = 0
-            for group in _groups(batch.column(2)):
+            schema = pa.schema(
+                [pa.field("row", pa.int64()), pa.field("doc_id", batch.schema.field("doc_id").type),
+                 pa.field("held_out", pa.bool_()), pa.field("n_tokens", pa.int64()), pa.field("n_known", pa.int64()),
+                 pa.field("base", pa.float64()), pa.field("score", pa.float64()), pa.field("bucket", pa.int64()),
+                 pa.field("data", pa.binary())]
+            )
+            rows, outs = batch.column("row").to_numpy(), batch.column("held_out").to_numpy(zero_copy_only=False)
+            for group in _groups(batch.column("text"), HELD):
                 words, first, start = _joined(group)
-                numbers = known.numbered(words)
-                classes = known.class_of(numbers)
-                before = _contexts(classes, start, begin)
-                log_count = np.where(numbers < 0, 0.0, logs[numbers] if len(logs) else 0.0)
-                modelled = table[before[:, 0], before[:, 1], classes].astype(np.float64)
-                modelled += np.where(classes == OTHER, log_count - all_other, 0.0)
-                lengths = np.array([len(w) for w in group])
-                rare_words, rare_times = [], []
+                numbers, classes, places, digests = known.placed(words)
+                before = context_rows(classes, places, start, known)
                 missing = numbers < 0
-                for i, own_words in enumerate(group):
-                    places = np.flatnonzero(missing[first[i] : first[i] + lengths[i]]).tolist()
-                    found = Counter([own_words[p] for p in places])
-                    rare_words.append(list(found.keys()))
-                    rare_times.append(list(found.values()))
+                modelled = model.log_shares(before, classes, places)
+                lengths = np.array([len(w) for w in group])
+                row, out = rows[at : at + len(group)], outs[at : at + len(group)]
+                found = groups.tokens(digests, before[missing])
+                found["learn"], found["row"] = np.repeat(~out, lengths)[missing], np.repeat(row, lengths)[missing]
+                held.append(found)
+                waiting += len(held[-1])
                 columns = [
-                    batch.column(0).slice(at, len(group)),
-                    batch.column(1).slice(at, len(group)),
+                    pa.array(row),
+                    batch.column("doc_id").slice(at, len(group)),
+                    batch.column("held_out").slice(at, len(group)),
                     pa.array(lengths, pa.int64()),
                     pa.array(np.add.reduceat((~missing).astype(np.int64), first)),
-                    pa.array(np.add.reduceat(log_count - all_base, first)),
+                    pa.array(np.add.reduceat(logs[numbers] - all_base, first)),
                     pa.array(np.add.reduceat(modelled, first)),
-                    pa.array(rare_words, pa.list_(pa.binary())),
-                    pa.array(rare_times, pa.list_(pa.int32())),
+                    pa.array(row % groups.buckets),
+                    pa.nulls(len(group), pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    columns, ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"]
-                )
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 at += len(group)
-
-    partly = documents.select("doc_id", "held_out", "text").mapInArrow(run, schema)
-    partly = materialized(partly.withColumn("row", F.monotonically_increasing_id()), "scores-of-frequent-words")
-    # log10(0 + 1) is zero, so a word that training has not seen needs no row
-    pairs = partly.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", "x.rare", "x.times")
-    rare = counts.filter(F.col("n") * FREQUENT <= known.n)
-    met = pairs.join(rare, pairs["rare"] == rare["word"])
-    more = met.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"), F.sum("times").alias("more_known")
+                if waiting >= HELD:
+                    yield _sent(held, groups.buckets, schema)
+                    held, waiting = [], 0
+        if waiting:
+            yield _sent(held, groups.buckets, schema)
+
+    def finish(table: pa.Table) -> pa.Table:
+        model, other = contexts.value
+        whole = table.filter(table.column("data").is_null()).drop_columns(["bucket", "data"])
+        found = np.frombuffer(b"".join(x.as_py() for x in table.column("data").drop_null()), TOKEN)
+        if not len(found):
+            return whole
+        keys = (found["key"][:, 0], found["key"][:, 1], *found["before"].T, found["learn"])
+        found = found[np.lexsort((_mixed(*keys), found["group"]))]  # the same order however rows arrive
+        group = found["group"]
+        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        parts = [_scored_inside(part, model, other) for part in np.split(found, starts[1:])]
+        rows, place = np.unique(found["row"], return_inverse=True)
+        news, base, modelled = (np.bincount(place, np.concatenate(x)) for x in zip(*parts))
+        columns = {
+            "row": pa.array(rows),
+            "n_known": pa.array(news.astype(np.int64)),
+            "base": pa.array(base),
+            "score": pa.array(modelled),
+        }
+        fields = whole.schema
+        added = pa.Table.from_arrays([columns.get(f.name, pa.nulls(len(rows), f.type)) for f in fields], schema=fields)
+        return pa.concat_tables([whole, added])
+
+    dealt = (
+        documents.withColumn("row", F.monotonically_increasing_id())
+        .mapInArrow(run, f"{partial}, bucket long, data binary")
+        .repartition(groups.buckets, "bucket")
     )
-    whole = partly.drop("rare", "times").join(more, "row", "left")
-    added = F.coalesce("more", F.lit(0.0))
+    scored = dealt.groupBy("bucket").applyInArrow(finish, partial).groupBy("row")
+    kept = [F.first(name, ignorenulls=True).alias(name) for name in ("doc_id", "held_out", "n_tokens")]
+    whole = scored.agg(*kept, F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
     return whole.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(known.n).cast("bigint").alias("train_tokens"),
-        (F.col("base") + added).alias("base_score"),
-        (F.col("score") + added).alias("score"),
+        F.col("base").alias("base_score"),
+        "score",
     )

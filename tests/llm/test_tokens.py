@@ -315,6 +315,53 @@ def test_training_learns_what_follows_what():
     assert min(table[i, j, (i + 1) % 20] for i in range(20) for j in range(20)) > 0.5
 
 
+def _chains(rng, words, texts, length):
+    """Texts in which each word follows the one before it in the list."""
+    for i in range(texts):
+        at = rng.randrange(len(words))
+        yield i, " ".join(words[(at + k) % len(words)] for k in range(length))
+
+
+@pytest.mark.parametrize("frequent", [1 << 20, 500])  # all words known to every task, or none
+def test_words_without_a_class_of_their_own_are_told_apart(spark, monkeypatch, frequent):
+    monkeypatch.setattr(language_model, "FREQUENT", frequent)
+    rng = random.Random(5)
+    rows = list(_chains(rng, [f"w{i:03}" for i in range(600)], 3000, 60))
+    got = language_model.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    _check_unigram(got, rows)
+    held = [r for r in got if r["held_out"]]
+    gain = sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
+    assert gain > (0.4 if frequent > 500 else 0.015)
+
+
+@pytest.mark.parametrize("frequent", [1 << 20, 300, 2])
+def test_probabilities_of_all_words_sum_to_one(spark, monkeypatch, frequent):
+    monkeypatch.setattr(language_model, "FREQUENT", frequent)
+    counts = {f"w{i:03}".encode(): 1 + 3000 // (i + 1) for i in range(900)} | {b"": 4000}
+    known = language_model.vocabulary(spark.createDataFrame([*counts.items()], "word binary, n long"))
+    rng, words = np.random.default_rng(3), [*counts, b"never seen"]
+    numbers, classes, places, digests = known.placed(words)
+    rows = language_model.context_rows(classes, places, np.arange(len(words)) // 9 * 9, known)
+    own = language_model.LogBilinear(known.class_counts, known.slots)
+    for _ in range(5):
+        own.train(rows, classes, rng)
+    inside = {c: language_model.WordsInside(n) for c, n in known.inside.items()}
+    for c, words_in in inside.items():
+        words_in.train(own.predicted(rows[classes == c]), places[classes == c], rng)
+    model = language_model.Model(own, {c: words_in.parts for c, words_in in inside.items()})
+    before, rare, groups = np.tile(rows[5], (len(words), 1)), numbers < 0, language_model.Groups.of(known)
+    found = 10 ** model.log_shares(before, classes, places)
+    asked = groups.tokens(digests, before[rare])
+    learned = groups.tokens(digests, rows[rare]).repeat(np.array([*counts.values(), 0])[rare])
+    learned["learn"] = 1
+    for group in np.unique(asked["group"]):
+        of_group = asked["group"] == group
+        both = np.concatenate([asked[of_group], learned[learned["group"] == group]])
+        share = language_model._scored_inside(both, own, known.other)[2]
+        found[np.flatnonzero(rare)[of_group]] *= 10 ** share[: of_group.sum()]
+    assert abs(found.sum() - 1) < 1e-4 and (found > 0).all()
+
+
 def _own_encoding():
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
