@@ -481,7 +481,8 @@ def train(documents: DataFrame, known: Vocabulary) -> Model:
         if row["class"] == OTHER:
             model.load(vector)
         else:
-            inside[row["class"]] = [vector[: -(len(vector) // (WIDTH + 1))].reshape(-1, WIDTH), vector[-(len(vector) // (WIDTH + 1)) :]]
+            words = len(vector) // (WIDTH + 1)
+            inside[row["class"]] = [vector[:-words].reshape(-1, WIDTH), vector[-words:]]
     return Model(model, inside)
 
 
