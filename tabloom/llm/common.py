@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +35,36 @@ def let(value: Column, body) -> Column:
     as the element of a one-element array it is not.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow column of texts without nulls, and the place where each begins, then where the last ends."""
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, places, data = column.buffers()
+    starts = np.frombuffer(places, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[starts[0] : starts[-1]], starts - starts[0]
+
+
+def stretches(data, lengths: np.ndarray) -> pa.Array:
+    """Consecutive stretches of the bytes, of these lengths, as an Arrow column."""
+    ends = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=ends[1:])
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def distinct(column: pa.Array) -> tuple[list, np.ndarray]:
+    """The different values of a column without nulls, and which of them each value is."""
+    found = column.dictionary_encode()
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+
+
+def row_groups(column: pa.Array, most: int):
+    """The texts in slices of about ``most`` bytes; a longer text is one of its own, or the last of a slice."""
+    starts, begin = utf8(column)[1], 0
+    while begin < len(column):
+        end = min(len(column), int(np.searchsorted(starts, starts[begin] + most)))
+        yield column.slice(begin, end - begin)
+        begin = end

@@ -35,14 +35,16 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import texts
+from tabloom.llm.common import BLANKS, distinct, row_groups, stretches, texts, utf8
 from tabloom.sources.workspace import materialized
 
 #: Words of which more than one in so many tokens is one are known to every task.
@@ -60,7 +62,6 @@ NOISE = 64
 BATCH = 2048
 RATE = 0.15
 SEED = 7
-OTHER, END = 0, 1
 #: Tasks whose parameters are averaged in one step.
 MERGED = 64
 OTHER, END = 0, 1
@@ -69,8 +70,14 @@ UNIT = 1 << 44
 _END_WORD = b""  # no word is empty
 #: A token of a word that is not frequent on its way to its group; ``key`` is the word's digest.
 TOKEN = np.dtype([("group", "<u4"), ("learn", "u1"), ("row", "<i8"), ("before", "<u2", 4), ("key", "<u8", 2)])
-#: Tokens a task holds before it trains inside classes, or sends them.
+#: Tokens a task holds before it trains inside classes, or sends them, and scores at once.
 HELD = 1 << 18
+#: Bytes of text that are cut into words at once, and those whose words are counted at once.
+TEXT, COUNTED = 1 << 21, 1 << 23
+#: Tokens that are put in random order together.
+SHUFFLED = 1 << 16
+#: Whether a byte belongs to a word.
+_IN_WORD = ~np.isin(np.arange(256), list(BLANKS.encode()))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -78,27 +85,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def tokens(text: str) -> list[bytes]:
-    return [*text.encode().lower().split(), _END_WORD]
+def _edges(inside: np.ndarray, starts: np.ndarray, last: bool) -> np.ndarray:
+    """Places of the first, or last, byte of each word; a word ends with its text."""
+    found, own = inside.copy(), starts[:-1][starts[:-1] < starts[1:]]
+    if last:
+        found[:-1] &= ~inside[1:]
+        own = starts[1:][starts[:-1] < starts[1:]] - 1
+    else:
+        found[1:] &= ~inside[:-1]
+    found[own] = inside[own]
+    return np.flatnonzero(found)
+
+
+def cut_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of some texts, and how many each text has."""
+    data, starts = utf8(column)
+    inside = _IN_WORD[data]
+    begins, ends = _edges(inside, starts, False), _edges(inside, starts, True) + 1
+    bounds = np.searchsorted(begins, starts)
+    lengths = np.insert(ends - begins, bounds[1:], 0)  # an end after the words of each text
+    return stretches(data[inside].tobytes().lower(), lengths), np.diff(bounds) + 1
 
 
 def count_words(documents: DataFrame) -> DataFrame:
     """``word`` and ``n`` over all texts; tasks count before anything is shuffled."""
 
     def run(batches):
-        counter: Counter = Counter()
-
-        def out():
-            words = pa.array(list(counter.keys()), pa.binary())
-            return pa.RecordBatch.from_arrays([words, pa.array(list(counter.values()), pa.int64())], ["word", "n"])
-
         for batch in batches:
-            for text in batch.column(0):
-                counter.update(tokens(text.as_py()))
-                if len(counter) > 200_000:
-                    yield out()
-                    counter = Counter()
-        yield out()
+            for part in row_groups(batch.column(0), COUNTED):
+                counted = cut_words(part)[0].value_counts()
+                yield pa.RecordBatch.from_arrays([counted.field(0), counted.field(1)], ["word", "n"])
 
     counted = documents.select("text").mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -108,7 +124,7 @@ def count_words(documents: DataFrame) -> DataFrame:
 class Vocabulary:
     """What every task knows: frequent words with their counts, classes and places there, and the totals."""
 
-    numbers: dict[bytes, int]
+    words: pa.Array
     counts: np.ndarray
     classes: np.ndarray
     places: np.ndarray
@@ -140,18 +156,18 @@ class Vocabulary:
         by_class = enumerate(np.split(self.counts[order], bounds)[1:], END + 1)
         return {c: counts for c, counts in by_class if len(counts) > 1}
 
-    def numbered(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.numbers.get, words, [-1] * len(words)), np.int64, len(words))
-
-    def placed(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def placed(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Number (-1: not frequent), class and place of each word, and digests of those that are not frequent."""
-        numbers = self.numbered(words)
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        numbers = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
         missing = np.flatnonzero(numbers < 0)
-        raw = b"".join([hashlib.blake2b(words[i], digest_size=16).digest() for i in missing.tolist()])
-        digests = np.frombuffer(raw, "<u8").reshape(-1, 2)
+        rare, which = distinct(words.take(pa.array(missing)))
+        raw = b"".join([hashlib.blake2b(word, digest_size=16).digest() for word in rare])
+        digests = np.frombuffer(raw, "<u8").reshape(-1, 2).take(which, axis=0)
         classes, places = np.full(len(words), OTHER), np.zeros(len(words), np.int64)
         if len(self.classes):
-            classes, places = np.where(numbers < 0, OTHER, self.classes[numbers]), self.places[numbers]
+            classes, places = self.classes.take(numbers), self.places.take(numbers)
+            classes[missing] = OTHER
         places[missing] = digests[:, 0] % np.uint64(self.slots)
         return numbers, classes, places, digests
 
@@ -175,8 +191,8 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
             alone += 1
         else:
             size, mass = size + 1, mass + count
-    numbers = {word: i for i, (_, word) in enumerate(frequent)}
-    return Vocabulary(numbers, np.array([c for c, _ in frequent], np.int64), classes, places, n, distinct)
+    words = pa.array([word for _, word in frequent], pa.binary())
+    return Vocabulary(words, np.array([c for c, _ in frequent], np.int64), classes, places, n, distinct)
 
 
 @dataclass
@@ -205,53 +221,65 @@ def _mixed(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=32)
+def _flat(rows: int) -> np.ndarray:
+    return np.arange(rows * WIDTH).reshape(rows, WIDTH)
+
+
 def _sums(rows: np.ndarray, values: np.ndarray, like: np.ndarray) -> np.ndarray:
-    flat = (rows[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    flat = _flat(1 << len(like).bit_length()).take(rows, axis=0).ravel()
     return np.bincount(flat, values.ravel(), minlength=like.size).reshape(like.shape)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In the place of its argument."""
-    np.clip(x, -30, 30, out=x)
-    np.exp(np.negative(x, out=x), out=x)
+def _falling(x: np.ndarray, height: float = 1) -> np.ndarray:
+    """``height / (1 + exp(x))`` in the place of its argument."""
+    with np.errstate(over="ignore"):  # then it is 0
+        np.exp(x, out=x)
     x += 1
-    return np.reciprocal(x, out=x)
+    return np.divide(np.float32(height), x, out=x)
 
 
 def contrast(q, b, unigram, predicted, target, random) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Noise-contrastive estimation: steps of embeddings and biases, and of each predicted embedding."""
     noise = np.searchsorted(np.cumsum(unigram), random.random(NOISE)).clip(max=len(unigram) - 1)
-    odds = (np.log(unigram) + np.log(NOISE)).astype(np.float32)
-    own, other = q[target], q[noise]
-    up = _sigmoid(odds[target] - b[target] - np.einsum("ij,ij->i", predicted, own))
-    down = predicted @ other.T
-    down += b[noise] - odds[noise]
-    down = np.negative(_sigmoid(down), out=down)
+    shift = b - (np.log(unigram) + np.log(NOISE)).astype(np.float32)
+    own, other = q.take(target, axis=0), q.take(noise, axis=0)
+    up = np.einsum("ij,ij->i", predicted, own)
+    up += shift.take(target)
+    up = _falling(up)
+    down = predicted @ -other.T
+    down -= shift[noise]
+    down = _falling(down, -1)
     step = _sums(target, up[:, None] * predicted, q) + _sums(noise, down.T @ predicted, q)
-    bias_step = np.bincount(target, up, minlength=len(b)) + np.bincount(noise, down.sum(0), minlength=len(b))
-    return step, bias_step, up[:, None] * own + down @ other
+    bias_step = np.bincount(target, up, minlength=len(b))
+    bias_step += np.bincount(noise, np.ones(len(down), np.float32) @ down, minlength=len(b))
+    own *= up[:, None]
+    own += down @ other
+    return step, bias_step, own
 
 
 def log_sums(q, b, predicted) -> np.ndarray:
     """The logarithm that normalises the scores of each predicted embedding."""
     out = np.empty(len(predicted), np.float64)
-    most, longest, largest = max(64, (1 << 17) // len(q)), np.einsum("ij,ij->i", q, q).max(), np.abs(b).max()
+    most, ones = max(64, (1 << 17) // len(q)), np.ones(len(q), np.float32)
+    weights = np.concatenate([q, b[:, None]], axis=1, dtype=np.float32).T.copy()
+    wide = np.ones((len(predicted), WIDTH + 1), np.float32)  # the last place takes the bias
+    wide[:, :WIDTH] = predicted
+    squares, longest, largest = np.einsum("ij,ij->i", predicted, predicted), np.einsum("ij,ij->i", q, q).max(), np.abs(b).max()
     for i in range(0, len(predicted), most):
-        part = predicted[i : i + most]
-        scores = part @ q.T
-        scores += b
-        if largest + np.sqrt(longest * np.einsum("ij,ij->i", part, part).max()) < 60:  # exp is in range
-            out[i : i + most] = np.log(np.exp(scores, out=scores).sum(axis=1))
+        scores = wide[i : i + most] @ weights
+        if largest + np.sqrt(longest * squares[i : i + most].max()) < 60:  # exp is in range
+            out[i : i + most] = np.log(np.exp(scores, out=scores) @ ones)
         else:
             top = scores.max(axis=1, keepdims=True)
             scores -= top
-            out[i : i + most] = top[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
+            out[i : i + most] = top[:, 0] + np.log(np.exp(scores, out=scores) @ ones)
     return out
 
 
 def log_shares(q, b, predicted, target, sums=None) -> np.ndarray:
     """log10 of the normalised probability of each target."""
-    own = np.einsum("ij,ij->i", predicted, q[target]) + b[target]
+    own = np.einsum("ij,ij->i", predicted, q.take(target, axis=0)) + b.take(target)
     return (own - (log_sums(q, b, predicted) if sums is None else sums)) / np.log(10)
 
 
@@ -323,11 +351,19 @@ class LogBilinear:
     def words_before(self, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The context embeddings of the two words before each token."""
         r, half = self.parts["context"], before.shape[1] // 2
-        return sum(r[x] for x in before.T[:half]), sum(r[x] for x in before.T[half:])
+        found = []
+        for columns in (before.T[:half], before.T[half:]):
+            found.append(r.take(columns[0], axis=0))
+            for rows in columns[1:]:
+                found[-1] += r.take(rows, axis=0)
+        return found[0], found[1]
 
     def predicted(self, before: np.ndarray) -> np.ndarray:
         one, two = self.words_before(before)
-        return self.parts["position"][0] * one + self.parts["position"][1] * two
+        one *= self.parts["position"][0]
+        two *= self.parts["position"][1]
+        one += two
+        return one
 
     def train(self, before: np.ndarray, target: np.ndarray, random) -> None:
         """One step of noise-contrastive estimation; ``before`` holds the context rows before each target."""
@@ -335,8 +371,8 @@ class LogBilinear:
         size, half = np.float32(len(target)), before.shape[1] // 2
         one, two = self.words_before(before)
         target_step, bias_step, back = contrast(q, b, self.unigram, c[0] * one + c[1] * two, target, random)
-        backs = [back * c[0]] * half + [back * c[1]] * half
-        context_step = sum(_sums(x, y, r) for x, y in zip(before.T, backs))
+        summed = back.astype(np.float64)
+        context_step = sum(c[i // half] * _sums(rows, summed, r) for i, rows in enumerate(before.T))
         position_step = np.stack([(back * one).sum(0), (back * two).sum(0)])
         for name, step in (("target", target_step), ("context", context_step), ("position", position_step), ("bias", bias_step)):
             _adapted(self.parts[name], self.seen[name], (step / size).astype(np.float32))
@@ -368,24 +404,10 @@ def context_rows(classes: np.ndarray, places: np.ndarray, start: np.ndarray, kno
     return np.stack([by_class[:, 0], by_place[:, 0], by_class[:, 1], by_place[:, 1]], axis=1)
 
 
-def _joined(batch_words: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """All tokens, the place of the first token of each text, and the same for each token."""
-    lengths = np.array([len(w) for w in batch_words])
+def _firsts(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the first token of each text, and the same for each token."""
     first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    return [x for w in batch_words for x in w], first, np.repeat(first, lengths)
-
-
-def _groups(values, most: int = 1 << 16):
-    """Texts tokenized, so many at a time that they have about ``most`` tokens."""
-    group, size = [], 0
-    for value in values:
-        group.append(tokens(value.as_py()))
-        size += len(group[-1])
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+    return first, np.repeat(first, lengths)
 
 
 @dataclass
@@ -400,16 +422,18 @@ class Model:
         codes = np.zeros(len(before), np.int64)
         for rows in before.T:
             codes = codes << 15 | rows
-        _, first, back = np.unique(codes, return_index=True, return_inverse=True)  # contexts repeat
-        predicted = self.classes.predicted(before[first])
+        found = pa.array(codes).dictionary_encode()  # contexts repeat
+        once, back = found.dictionary.to_numpy(), found.indices.to_numpy()
+        columns = range(before.shape[1])
+        predicted = self.classes.predicted(np.stack([once >> 15 * i & (1 << 15) - 1 for i in reversed(columns)], axis=1))
         parts = self.classes.parts["target"], self.classes.parts["bias"]
-        sums = log_sums(*parts, predicted)[back]
-        predicted = predicted[back]
+        sums = log_sums(*parts, predicted).take(back)
+        predicted = predicted.take(back, axis=0)
         out = log_shares(*parts, predicted, classes, sums)
         several = np.zeros(len(self.classes.unigram), bool)
         several[list(self.inside)] = True
         for c, own in _by_class(classes, several):
-            out[own] += log_shares(*self.inside[c], predicted[own], places[own])
+            out[own] += log_shares(*self.inside[c], predicted.take(own, axis=0), places.take(own))
         return out
 
 
@@ -446,25 +470,26 @@ def train(documents: DataFrame, known: Vocabulary) -> Model:
         def train_inside():
             classes, places, before = (np.concatenate(x) for x in zip(*held))
             for c, chosen in _by_class(classes, several):
-                words_in[c].train(own.predicted(before[chosen]), places[chosen], random)
+                words_in[c].train(own.predicted(before.take(chosen, axis=0)), places.take(chosen), random)
                 trained[c] += len(chosen)
 
         for batch in batches:
-            for group in _groups(batch.column(0)):
-                words, _, start = _joined(group)
-                _, classes, places, _ = known.placed(words)
-                order = random.permutation(len(classes))
-                before = context_rows(classes, places, start, known)[order]
-                classes, places = classes[order], places[order]
-                for i in range(0, len(order), BATCH):
-                    own.train(before[i : i + BATCH], classes[i : i + BATCH], random)
-                trained[OTHER] += len(words)
-                chosen = several[classes]
-                held.append((classes[chosen], places[chosen], before[chosen]))
-                waiting += len(held[-1][0])
-                if waiting >= HELD:
-                    train_inside()
-                    held, waiting = [], 0
+            for part in row_groups(batch.column(0), TEXT):
+                words, lengths = cut_words(part)
+                _, all_classes, all_places, _ = known.placed(words)
+                rows = context_rows(all_classes, all_places, _firsts(lengths)[1], known)
+                for at in range(0, len(rows), SHUFFLED):
+                    order = at + random.permutation(min(SHUFFLED, len(rows) - at))
+                    before, classes, places = rows.take(order, axis=0), all_classes.take(order), all_places.take(order)
+                    for i in range(0, len(order), BATCH):
+                        own.train(before[i : i + BATCH], classes[i : i + BATCH], random)
+                    trained[OTHER] += len(order)
+                    chosen = np.flatnonzero(several[classes])
+                    held.append((classes.take(chosen), places.take(chosen), before.take(chosen, axis=0)))
+                    waiting += len(chosen)
+                    if waiting >= HELD:
+                        train_inside()
+                        held, waiting = [], 0
         if held:
             train_inside()
         task = TaskContext.get().partitionId()
@@ -546,31 +571,33 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                  pa.field("data", pa.binary())]
             )
             rows, outs = batch.column("row").to_numpy(), batch.column("held_out").to_numpy(zero_copy_only=False)
-            for group in _groups(batch.column("text"), HELD):
-                words, first, start = _joined(group)
+            for part in row_groups(batch.column("text"), TEXT):
+                words, lengths = cut_words(part)
                 numbers, classes, places, digests = known.placed(words)
+                first, start = _firsts(lengths)
                 before = context_rows(classes, places, start, known)
                 missing = numbers < 0
-                modelled = model.log_shares(before, classes, places)
-                lengths = np.array([len(w) for w in group])
-                row, out = rows[at : at + len(group)], outs[at : at + len(group)]
+                slices = [slice(i, i + HELD) for i in range(0, len(before), HELD)]
+                modelled = np.concatenate([model.log_shares(before[i], classes[i], places[i]) for i in slices])
+                count = len(lengths)
+                row, out = rows[at : at + count], outs[at : at + count]
                 found = groups.tokens(digests, before[missing])
                 found["learn"], found["row"] = np.repeat(~out, lengths)[missing], np.repeat(row, lengths)[missing]
                 held.append(found)
                 waiting += len(held[-1])
                 columns = [
                     pa.array(row),
-                    batch.column("doc_id").slice(at, len(group)),
-                    batch.column("held_out").slice(at, len(group)),
+                    batch.column("doc_id").slice(at, count),
+                    batch.column("held_out").slice(at, count),
                     pa.array(lengths, pa.int64()),
                     pa.array(np.add.reduceat((~missing).astype(np.int64), first)),
                     pa.array(np.add.reduceat(logs[numbers] - all_base, first)),
                     pa.array(np.add.reduceat(modelled, first)),
                     pa.array(row % groups.buckets),
-                    pa.nulls(len(group), pa.binary()),
+                    pa.nulls(count, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
-                at += len(group)
+                at += count
                 if waiting >= HELD:
                     yield _sent(held, groups.buckets, schema)
                     held, waiting = [], 0

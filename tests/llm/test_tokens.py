@@ -3,11 +3,13 @@
 import hashlib
 import math
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import regex
@@ -15,6 +17,7 @@ from conftest import LONG, ODD, pairs
 from tokenizers import Tokenizer
 
 from tabloom.llm import byte_bpe, language_model, license_scan, packing, registered, token_counts
+from tabloom.llm.common import row_groups
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -410,3 +413,41 @@ def test_memory_of_a_long_pretoken():
     trie.total([word])
     assert tracemalloc.get_traced_memory()[1] < 3 * len(word) + 200_000
     tracemalloc.stop()
+
+
+def _columns_of_texts():
+    rows = ["", " ", "a", "A b", " x\n", "\x0b\x0c\r\ty\x1c z\x85q w", "ÄÖ Éa", "", "word\x00x", "北京 X  Y ", "end", ""]
+    for column in (pa.array(rows), pa.array(rows, pa.large_string()), pa.array(rows).slice(3, 6), pa.array(["", ""])):
+        yield column
+    yield pa.array([], pa.string())
+
+
+@pytest.mark.parametrize("most", [1, 9, 1 << 20])
+def test_words_cut_from_columns(most):
+    for column in _columns_of_texts():
+        found = []
+        for part in row_groups(column, most):
+            words, lengths = language_model.cut_words(part)
+            ends = np.cumsum(lengths).tolist()
+            found += [words.to_pylist()[a:b] for a, b in zip([0, *ends], ends)]
+        assert found == [[*t.translate(brute._LOWER).encode().split(), b""] for t in column.to_pylist()]
+
+
+def test_words_are_placed_without_work_for_each_token():
+    """A word costs Python once for all of its tokens in a column."""
+    known = language_model.Vocabulary(pa.array([b"", b"the"]), np.array([9, 5]), np.array([1, 2]), np.array([0, 0]), 20, 4)
+    words = pa.array([b"the", b"rare", b"", b"rare", b"other"] * 200_000)
+    calls = []
+
+    def count(frame, event, _):
+        calls.append(event)
+
+    sys.setprofile(count)
+    try:
+        numbers, classes, _, digests = known.placed(words)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 1000
+    assert numbers[:5].tolist() == [1, -1, 0, -1, -1] and classes[:5].tolist() == [2, 0, 1, 0, 0]
+    want = [np.frombuffer(hashlib.blake2b(w, digest_size=16).digest(), "<u8").tolist() for w in (b"rare", b"rare", b"other")]
+    assert digests[:3].tolist() == want and len(digests) == 600_000
