@@ -38,7 +38,7 @@ def let(value: Column, body) -> Column:
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of an Arrow column of texts without nulls, and the place where each begins, then where the last ends."""
+    """The bytes of an Arrow column of texts (or binary) without nulls, and the place where each begins, then where the last ends."""
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

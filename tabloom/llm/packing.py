@@ -9,8 +9,10 @@ packed by one task. Sequences that a shard leaves rather empty are opened again
 and packed with those of other shards, round by round, until one shard is left;
 so shards cost hardly any sequences, and no task sees more than its shard.
 
-Words repeat, so a task remembers the ids of text between blanks. The memory has
-two generations of bounded size; what is forgotten is encoded again.
+Words repeat, so a task remembers the ids of text between blanks and punctuation.
+Texts are cut there as byte ranges of an Arrow column, so a word costs Python once
+for all its places in some megabytes of text. The memory has two generations of
+bounded size; what is forgotten is encoded again.
 
 Defined cases: a null or empty text is the separator alone, a piece of one
 token; rows are independent documents even if they repeat; an empty table gives
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.llm.common import MAYBE_BLANK, texts
+from tabloom.llm.common import BLANKS, MAYBE_BLANK, distinct, row_groups, stretches, texts, utf8
 from tabloom.sources.workspace import materialized
 
 #: Pieces that one task packs.
@@ -38,17 +40,65 @@ FULL = 0.98
 #: Words a worker remembers in each of two generations.
 REMEMBERED = 400_000
 
-_BLANK_AFTER_BLANK = re.compile(f"[{MAYBE_BLANK}] ")
-_BOUNDARY = re.compile(f"(?<=[^{MAYBE_BLANK}])(?= )")
-_BLANK = re.compile(f"[{MAYBE_BLANK}]")
+#: Bytes of text that are cut at once.
+TEXT = 1 << 22
+
+#: Kinds of bytes: letters and digits, marks, blanks (all ASCII), and the rest.
+_REST, _WORD, _MARK, _BLANK = range(4)
+_KINDS = np.array(
+    [_BLANK if chr(i) in BLANKS else _REST if not 32 < i < 127 else _WORD if chr(i).isalnum() else _MARK for i in range(256)],
+    np.uint8,
+)
+_MAYBE_BLANK = re.compile(f"[{MAYBE_BLANK}]")
+#: The bytes of each character beyond ASCII that may be white space, as a number.
+_WIDE_BLANKS = [
+    int.from_bytes(chr(i).encode())
+    for i in range(0x80, 0x10000)
+    if not 0xD800 <= i < 0xE000 and _MAYBE_BLANK.match(chr(i))
+]
+#: Whether there is a cut between two bytes, by 4 * kind + kind.
+_CUTS = np.isin(np.arange(16), [4 * _WORD + _MARK, 4 * _WORD + _BLANK, 4 * _MARK + _BLANK])
+
+
+def _ends_in_blank(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether what may be white space (``MAYBE_BLANK``) ends before each place; the byte there is not ASCII."""
+    one, two, three = (data[np.maximum(places - i, 0)].astype(np.int64) for i in (1, 2, 3))
+    return np.isin(two << 8 | one, _WIDE_BLANKS) | np.isin(three << 16 | two << 8 | one, _WIDE_BLANKS)
+
+
+def _may_end_blank(unit: bytes) -> bool:
+    if unit[-1] < 0x80:
+        return _KINDS[unit[-1]] in (_BLANK, _REST)
+    return _MAYBE_BLANK.match(unit.decode()[-1]) is not None
+
+
+def cut_units(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts in units that have the same ids wherever they stand, and where the units of each text begin and end.
+
+    The byte-level splitting pattern has letters, digits and marks in runs of
+    their own, each with at most one blank before it. So no match spans the
+    place before an ASCII blank that follows something other than white space,
+    nor that between an ASCII letter or digit and a mark. One blank that is not
+    a space is a match of its own between things that are not white space.
+    """
+    data, starts = utf8(column)
+    cut = np.zeros(len(data) + 1, bool)
+    if len(data):
+        kinds = _KINDS[data]
+        cut[1:-1] = _CUTS[4 * kinds[:-1] + kinds[1:]]
+        beyond = np.flatnonzero((kinds[1:] == _BLANK) & (data[:-1] >= 0x80)) + 1
+        cut[beyond[~_ends_in_blank(data, beyond)]] = True
+        cut[starts] = True
+        lone = np.flatnonzero(cut[:-2] & (kinds[:-1] == _BLANK) & (data[:-1] != 0x20) & (kinds[1:] != _BLANK) & (kinds[1:] != _REST))
+        cut[lone + 1] = True
+    begins = np.flatnonzero(cut)
+    return stretches(data, np.diff(begins)), np.searchsorted(begins, starts)
 
 
 class WordIds:
     """Ids of texts by a tokenizers file, as little-endian unsigned 32-bit bytes.
 
-    No match of the byte-level splitting pattern spans a blank that follows
-    something other than white space, so text between such blanks has the same
-    ids wherever it stands. New ones are encoded together.
+    Ids of units are remembered; new units are encoded together.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -57,61 +107,63 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.remembered = remembered
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             lengths[i] = len(token)  # one character for each byte
         self.lengths = lengths
 
-    def _encode(self, units: list[str]) -> list[bytes]:
-        batch = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in batch]
-
-    def _learn(self, units: list[str]) -> None:
-        # a unit with a blank before it and none at its end can be encoded between others like it
-        inner = [u for u in units if u[:1] == " " and not _BLANK.match(u[-1])]
-        others = set(units).difference(inner)
-        for start in range(0, len(inner), 2000):
-            group = inner[start : start + 2000]
-            ids = np.array(self._ids("".join(group)), "<u4")
-            ends = np.cumsum(self.lengths[ids])
-            wanted = np.cumsum([len(u.encode()) for u in group])
-            cuts = np.searchsorted(ends, wanted)
-            if cuts[-1] >= len(ends) or not np.array_equal(ends[cuts], wanted):
-                others.update(group)  # cannot happen while the pattern keeps blanks apart
-                continue
-            raw, at = ids.tobytes(), 0
-            for unit, cut in zip(group, (4 * (cuts + 1)).tolist()):
-                self.young[unit] = raw[at:cut]
-                at = cut
+    def _learn(self, units: list[bytes]) -> None:
+        # a unit with a space before it and something else than white space at its end can stand between others like it
+        inner = [u for u in units if u[0] == 32 and not _may_end_blank(u)]
+        # a line feed alone between other things is one token, so that words without a space can stand between others, too
+        lines = [u for u in units if _KINDS[u[0]] == _WORD and not _may_end_blank(u)]
+        others = set(units).difference(inner, lines)
+        for kind, before in ((inner, b""), (lines, b"\n")):
+            for start in range(0, len(kind), 2000):
+                group = kind[start : start + 2000]
+                ids = np.array(self._ids(b"".join([before + u for u in group])), "<u4")
+                ends = np.cumsum(self.lengths[ids])
+                wanted = np.cumsum([len(before + u) for u in group])
+                cuts = np.searchsorted(ends, wanted)
+                firsts = np.r_[0, cuts[:-1] + 1]
+                if cuts[-1] >= len(ends) or not np.array_equal(ends[cuts], wanted) or (before and (self.lengths[ids[firsts]] != 1).any()):
+                    others.update(group)  # cannot happen while the pattern keeps blanks apart
+                    continue
+                raw = ids.tobytes()
+                for unit, first, cut in zip(group, (4 * (firsts + len(before))).tolist(), (4 * (cuts + 1)).tolist()):
+                    self.young[unit] = raw[first:cut]
         rest = sorted(others)
-        self.young.update(zip(rest, self._encode(rest)))
+        batch = self.tokenizer.encode_batch_fast([u.decode() for u in rest], add_special_tokens=False)
+        self.young.update(zip(rest, [np.array(e.ids, "<u4").tobytes() for e in batch]))
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _ids(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
 
-    def of(self, batch: list[str]) -> list[bytes]:
-        split = []
-        for text in batch:
-            if _BLANK_AFTER_BLANK.search(text):
-                split.append(_BOUNDARY.split(text))
-            else:
-                first, *rest = text.split(" ")
-                split.append([first, *[" " + word for word in rest]])
+    def of(self, batch) -> list[bytes]:
+        """Ids of each text of a list or an Arrow column."""
+        column = batch if isinstance(batch, pa.Array) else pa.array(batch, pa.string())
+        units, bounds = cut_units(column)
+        words, which = distinct(units)
         if len(self.young) > self.remembered:
             self.old, self.young = self.young, {}
-        young, old, new = self.young, self.old, []
-        for unit in set().union(*split) if split else ():
-            if unit not in young:
-                known = old.get(unit)
-                if known is None:
-                    new.append(unit)
-                else:
-                    young[unit] = known
-        if new:
-            self._learn(new)
-        return [b"".join(map(young.__getitem__, units)) for units in split]
+        found = list(map(self.young.get, words))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in unknown:
+            known = self.old.get(words[i])
+            if known is None:
+                new.append(words[i])
+            else:
+                self.young[words[i]] = known
+        self._learn(new)
+        for i in unknown:
+            found[i] = self.young[words[i]]
+        joined = pa.array(found, pa.binary()).take(pa.array(which))
+        raw, places = utf8(joined)
+        raw, ends = raw.tobytes(), places[bounds].tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -139,13 +191,8 @@ def token_pieces(
         own = _word_ids(tokenizer)
         for batch in batches:
             ids, words = batch.column(0), batch.column(1)
-            at = 0
-            while at < batch.num_rows:
-                group, chars, first = [], 0, at
-                while at < batch.num_rows and (not group or chars < 1 << 21):
-                    group.append(words[at].as_py())
-                    chars += len(group[-1])
-                    at += 1
+            first = 0
+            for group in row_groups(words, TEXT):
                 row, piece, start, length, raw = [], [], [], [], []
                 for i, tokens in enumerate(own.of(group)):
                     tokens += end
@@ -162,6 +209,7 @@ def token_pieces(
                     [ids.take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(raw, pa.binary())], schema.names,
                 )
+                first += len(group)
 
     return documents.mapInArrow(cut, schema)
 

@@ -451,3 +451,21 @@ def test_words_are_placed_without_work_for_each_token():
     assert numbers[:5].tolist() == [1, -1, 0, -1, -1] and classes[:5].tolist() == [2, 0, 1, 0, 0]
     want = [np.frombuffer(hashlib.blake2b(w, digest_size=16).digest(), "<u8").tolist() for w in (b"rare", b"rare", b"other")]
     assert digests[:3].tolist() == want and len(digests) == 600_000
+
+
+def test_units_have_the_ids_of_the_library():
+    rng = random.Random(8)
+    own = packing.WordIds(TOKENIZER, remembered=500)
+    bits = [*"aZé北9½.,'!\"(<|>_-", *[" "] * 4, "  ", "\n", "\n\n", "\r\n", "\t", " \n", "\n ", "\x85", "\xa0", "\u3000", "\u2009"]
+    bits += ["\u200b", "\x1c", "\x00", "\x7f", "'s", "'ll", "\u0301", "\ufeff", "😀", "<|endoftext|>", "\x0b", "\x0c", "١", "word", " end"]
+    for _ in range(60):
+        batch = ["".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(100)]
+        want = [np.array(own.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in batch]
+        assert own.of(batch) == want and own.of(pa.array(["first", *batch])[1:]) == want
+    assert own.of([]) == [] and own.of(["", ""]) == [b"", b""]
+
+
+def test_words_are_remembered_without_marks():
+    own, marks = packing.WordIds(TOKENIZER), [".", ",", ";", "!", ".\n", ",\n", "?\"", ")", "\n", ""]
+    own.of([f"A {word}{mark} end" for word in ("thonre", "ertionhe", "hotiné") for mark in marks])
+    assert len([unit for unit in own.young if b"thonre" in unit or b"ertionhe" in unit]) == 2
