@@ -1,10 +1,13 @@
 """Neighbours by random projections against brute force, and synthetic rows of small classes."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import synthetic
+from tabloom.sources.workspace import workspace
 
 FEATURES = ["a", "b", "c"]
 
@@ -85,3 +88,28 @@ def test_leaves_that_projections_cannot_cut_are_dealt(spark, monkeypatch):
     nodes = spark.createDataFrame([("k", f"n{i}", list(map(float, r))) for i, r in enumerate(x)], "class string, node string, vector array<double>")
     got = synthetic.nearest(nodes, 2, 5, leaf=40)
     assert got.count() == 400 and got.filter(F.size("near") < 5).count() == 0
+
+
+def test_branches_cut_by_passes_and_few_wanted_nodes(spark, monkeypatch, tmp_path):
+    """Neighbours are the same whether a task cuts a class alone or passes cut it before, and whether or not others are asked for."""
+    x = np.random.default_rng(5).normal(size=(3000, 3))
+    rows = [("p" if i < 2500 else "q", f"n{i}", list(map(float, r)), i % 500 == 7) for i, r in enumerate(x)]
+    spark.createDataFrame(rows, "class string, node string, vector array<double>, wanted boolean").repartition(5).write.parquet(str(tmp_path / "n"))
+    nodes = spark.read.parquet(str(tmp_path / "n"))
+    found = lambda df: {r["node"]: r["near"] for r in synthetic.nearest(df, 3, 5, leaf=64).collect()}
+    alone = found(nodes.drop("wanted"))
+    monkeypatch.setattr(synthetic, "HELD", 300)
+    assert len(alone) == 3000 and found(nodes.drop("wanted")) == alone
+    assert found(nodes) == {r[1]: alone[r[1]] for r in rows if r[3]}
+
+
+def test_tables_written_stay_near_the_size_of_the_input(spark, tmp_path):
+    """Nothing is written once for each tree and cut: nodes of the small class, and rows that become parents."""
+    x = np.random.default_rng(2).normal(size=(12000, 3))
+    rows = [(i, "large" if i < 6100 else "small", *map(float, r)) for i, r in enumerate(x)]
+    spark.createDataFrame(rows, "id long, label string, a double, b double, c double").repartition(4).write.parquet(str(tmp_path / "t"))
+    size = lambda folder: sum(f.stat().st_size for f in Path(str(folder).removeprefix("file:")).rglob("*") if f.is_file())
+    before = size(workspace(spark))
+    made = synthetic.add_synthetic(spark.read.parquet(str(tmp_path / "t")), "label", ["id"], FEATURES)
+    assert {r["label"]: r["count"] for r in made.groupBy("label").count().collect()} == {"large": 6100, "small": 6100}
+    assert size(workspace(spark)) - before < 2 * size(tmp_path / "t")
