@@ -4,6 +4,9 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LinearSVC
+from pyspark.sql import functions as F
 
 from tabloom.operators import kernel_machine, models
 from tabloom.operators.evaluation import confusion, metrics, roc_auc
@@ -114,3 +117,31 @@ def test_planted_columns_rank_first(spark):
 def test_no_weights_to_read(ring, fitted):
     with pytest.raises(ValueError, match="permutation_importance"):
         models.feature_importance(fitted["kernel_svc"], ["x", "y"], ring[1])
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_the_machine_is_that_of_the_library(ring, weight, monkeypatch):
+    """Weights are those of MLlib's machine on the same random features; all machines learn in the passes of one, over packed rows."""
+    monkeypatch.setattr(kernel_machine, "RESULTS", 2)  # tasks' sums are added in steps
+    monkeypatch.setattr(kernel_machine, "SLICE", 100)
+    passes, losses = [], kernel_machine._Passes.losses
+    monkeypatch.setattr(kernel_machine._Passes, "losses", lambda self, points: passes.append(len(points)) or losses(self, points))
+    rows = ring[0].frame.withColumn("w", 1 + (F.col("id") % 3))
+    model = kernel_machine.fit_kernel_machine(rows, ["x", "y"], "inner", 1 / 900, weight, size=32)
+    weighted = {"weightCol": weight} if weight else {}
+    library = LinearSVC(maxIter=100, tol=1e-4, regParam=1 / 900, standardization=False, labelCol="inner", **weighted)
+    wanted = library.fit(PipelineModel(stages=model.stages[:3]).transform(rows))
+    assert np.abs(model.stages[3].coefficients.toArray() - wanted.coefficients.toArray()).max() < 1e-6
+    assert abs(model.stages[3].intercept - wanted.intercept) < 1e-6
+    assert passes[0] == 4 and len(passes) < 150
+
+
+def test_packed_rows_and_cosines():
+    random = np.random.default_rng(1)
+    x = np.stack([random.integers(0, 2, 500), random.normal(size=500), random.integers(0, 9, 500) / 4, random.integers(0, 10**9, 500)], axis=1).astype(float)
+    part, label, weight = random.integers(0, 3, 500).astype(float), x[:, 0], np.full(500, 0.1)
+    block = kernel_machine._packed(part, label, weight, x)
+    assert all(np.array_equal(a, b) for a, b in zip(kernel_machine._unpacked(block), (part, label, weight, x)))
+    assert len(block) < 500 * (1 + 1 + 8 + 1 + 8 + 4 + 8) + 500
+    turns = random.normal(size=(50, 40)) * 5
+    assert np.abs(kernel_machine.cosines(turns.copy()) - np.cos(2 * np.pi * turns)).max() < 1e-13
