@@ -145,3 +145,14 @@ def test_packed_rows_and_cosines():
     assert len(block) < 500 * (1 + 1 + 8 + 1 + 8 + 4 + 8) + 500
     turns = random.normal(size=(50, 40)) * 5
     assert np.abs(kernel_machine.cosines(turns.copy()) - np.cos(2 * np.pi * turns)).max() < 1e-13
+
+
+def test_exchanged_features_without_copies_of_rows(ring, fitted):
+    """The kernel machine's confusions are those of scoring a copy of each row for each feature."""
+    matrix, test = ring
+    dealt = models._permuted(matrix, test, 0)
+    own = kernel_machine.exchanged_confusion(fitted["kernel_svc"], dealt, matrix.features)
+    copied = models._exchanged(fitted["kernel_svc"], matrix, dealt)
+    order = ["j", "tp", "fp", "fn", "tn"]
+    assert sorted(map(tuple, own.select(order).collect())) == sorted(map(tuple, copied.select(order).collect()))
+    assert kernel_machine.exchanged_confusion(fitted["linear_svc"], dealt, matrix.features) is None
