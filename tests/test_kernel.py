@@ -156,3 +156,8 @@ def test_exchanged_features_without_copies_of_rows(ring, fitted):
     order = ["j", "tp", "fp", "fn", "tn"]
     assert sorted(map(tuple, own.select(order).collect())) == sorted(map(tuple, copied.select(order).collect()))
     assert kernel_machine.exchanged_confusion(fitted["linear_svc"], dealt, matrix.features) is None
+
+
+def test_fewer_fits_at_once_on_large_tables(spark, monkeypatch):
+    monkeypatch.setattr(models, "FITTED", 1000)
+    assert [models.at_once(spark.range(n), ["a", "b"], 4) for n in (0, 100, 200, 400, 10_000)] == [4, 4, 2, 1, 1]
